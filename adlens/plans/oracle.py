@@ -139,3 +139,114 @@ register("int_monthly_metrics", "SELECT * FROM int_monthly_metrics")
 register("mart_installs_reinstalls", "SELECT * FROM mart_installs_reinstalls")
 register("mart_click_through_rate", "SELECT * FROM mart_click_through_rate")
 register("mart_cost_per_install", "SELECT * FROM mart_cost_per_install")
+
+
+# --- Validation and report queries ------------------------------------------
+def _share(x: str, total: str, places: int) -> str:
+    return rnd(f"CAST({x} AS DOUBLE) * 100.0 / NULLIF(CAST({total} AS DOUBLE), 0)", places)
+
+
+def _exact_sum(x: str) -> str:
+    return f"SUM(CAST(({x}) AS DECIMAL(28,6)))"
+
+
+def _exact_avg(x: str) -> str:
+    return f"(CAST(SUM(CAST(({x}) AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
+
+
+register("v01_record_count", f"SELECT {big('COUNT(*)')} AS total_events FROM stg_mmp_events")
+
+register("v02_event_distribution", f"""
+SELECT event_type, event_count, {_share('event_count', 'SUM(event_count) OVER ()', 1)} AS percentage,
+       {rnd('CAST(c AS DOUBLE)', 2)} AS total_cost
+FROM (SELECT event_type, {big('COUNT(*)')} AS event_count, {_exact_sum('cost_usd')} AS c
+      FROM stg_mmp_events GROUP BY event_type) g""")
+
+register("v03_partner_distribution", f"""
+SELECT partner, event_count, {_share('event_count', 'SUM(event_count) OVER ()', 1)} AS percentage
+FROM (SELECT partner, {big('COUNT(*)')} AS event_count FROM stg_mmp_events GROUP BY partner) g""")
+
+register("v04_daily_summary", f"""
+SELECT event_date, partner, platform, installs, clicks, impressions,
+       {rnd('clicks / NULLIF(impressions, 0) * 100', 2)} AS ctr_pct,
+       {rnd('total_cost', 2)} AS total_cost
+FROM int_daily_metrics
+ORDER BY event_date DESC, partner, platform
+LIMIT 20""")
+
+
+def _ratio_stats(table: str, keys: str, col: str, prefix: str) -> str:
+    return f"""
+SELECT {keys}, {rnd(_exact_avg(col), 2)} AS avg_{prefix}, {rnd(f'MIN({col})', 2)} AS min_{prefix},
+       {rnd(f'MAX({col})', 2)} AS max_{prefix}, {big('COUNT(*)')} AS record_count
+FROM {table} GROUP BY {keys}"""
+
+
+register("v05_ctr_stats", _ratio_stats("mart_click_through_rate", "grain, partner",
+                                       "ctr_percentage", "ctr_pct"))
+register("v06_cpi_stats", _ratio_stats("mart_cost_per_install", "grain, platform",
+                                       "cpi_direct_rounded", "cpi"))
+
+register("v07_grain_coverage", "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS mart_name, grain, {big('COUNT(*)')} AS record_count FROM {t} GROUP BY grain"
+    for n, t in (("installs_reinstalls", "mart_installs_reinstalls"),
+                 ("click_through_rate", "mart_click_through_rate"),
+                 ("cost_per_install", "mart_cost_per_install"))))
+
+register("v08_install_volume", f"""
+SELECT partner, platform, {big('SUM(installs)')} AS total_installs,
+       {big('SUM(reinstalls)')} AS total_reinstalls,
+       {rnd(f"CAST({_exact_sum('total_install_cost')} AS DOUBLE)", 2)} AS total_cost
+FROM mart_installs_reinstalls WHERE grain = 'monthly' GROUP BY partner, platform""")
+
+register("v09_cost_efficiency", f"""
+SELECT partner, {rnd(_exact_avg('cpi_direct_rounded'), 2)} AS avg_cpi,
+       {big('SUM(installs)')} AS total_installs,
+       {rnd(f"CAST({_exact_sum('install_cost')} AS DOUBLE)", 2)} AS total_spend
+FROM mart_cost_per_install WHERE grain = 'daily' GROUP BY partner""")
+
+register("v10_daily_trend", f"""
+SELECT CAST(event_date AS VARCHAR) AS period, {big('SUM(installs)')} AS total_installs,
+       {big('SUM(clicks)')} AS total_clicks, {big('SUM(impressions)')} AS total_impressions
+FROM int_daily_metrics GROUP BY event_date ORDER BY period DESC LIMIT 30""")
+
+register("v11_null_audit", f"""
+SELECT {big('count_if(event_id IS NULL)')} AS null_event_id,
+       {big('count_if(event_timestamp IS NULL)')} AS null_timestamp,
+       {big('count_if(event_type IS NULL)')} AS null_event_type,
+       {big('count_if(partner IS NULL)')} AS null_partner,
+       {big('count_if(cost_usd IS NULL)')} AS null_cost,
+       {big('COUNT(*)')} AS total_records
+FROM stg_mmp_events""")
+
+register("v12_cost_share", f"""
+SELECT event_type, event_count, {rnd('CAST(c AS DOUBLE)', 2)} AS total_cost,
+       {rnd('CAST(c AS DOUBLE) / NULLIF(n, 0)', 4)} AS avg_cost_per_event,
+       {_share('c', 'SUM(c) OVER ()', 1)} AS cost_percentage
+FROM (SELECT event_type, {big('COUNT(*)')} AS event_count, {_exact_sum('cost_usd')} AS c,
+             COUNT(cost_usd) AS n
+      FROM stg_mmp_events GROUP BY event_type) g""")
+
+register("rep_avg_ctr", f"""
+SELECT grain, partner, platform, {_exact_avg('ctr_percentage')} AS avg_ctr
+FROM mart_click_through_rate GROUP BY grain, partner, platform""")
+
+register("rep_daily_installs", f"""
+SELECT period, partner, {big('SUM(installs)')} AS installs, {big('SUM(reinstalls)')} AS reinstalls
+FROM mart_installs_reinstalls WHERE grain = 'daily' GROUP BY period, partner""")
+
+register("rep_ctr_platform", f"""
+SELECT grain, period, platform, clicks, impressions, clicks / NULLIF(impressions, 0) AS ctr,
+       {rnd('clicks / NULLIF(impressions, 0) * 100', 2)} AS ctr_percentage
+FROM (SELECT grain, period, platform, {big('SUM(clicks)')} AS clicks,
+             {big('SUM(impressions)')} AS impressions
+      FROM mart_click_through_rate GROUP BY grain, period, platform) g""")
+
+register("rep_cpi_partner", f"""
+SELECT grain, period, partner, installs, CAST(ic AS DOUBLE) AS install_cost,
+       CAST(tc AS DOUBLE) AS total_cost,
+       {rnd('CAST(ic AS DOUBLE) / NULLIF(installs, 0)', 2)} AS cpi_direct,
+       {rnd('CAST(tc AS DOUBLE) / NULLIF(installs, 0)', 2)} AS cpi_blended
+FROM (SELECT grain, period, partner, {big('SUM(installs)')} AS installs,
+             {_exact_sum('install_cost')} AS ic, {_exact_sum('total_cost')} AS tc
+      FROM mart_cost_per_install GROUP BY grain, period, partner) g""")

@@ -35,3 +35,46 @@ for _name in ("stg_mmp_events", "int_daily_metrics", "int_weekly_metrics",
               "int_monthly_metrics", "mart_installs_reinstalls",
               "mart_click_through_rate", "mart_cost_per_install"):
     QUERIES[_name] = _model(_name)
+
+
+# --- Validation and report queries (V1-V12, dashboard views) ---------------
+from adlens.operators import reports as R  # noqa: E402
+
+
+def _l(spark: SparkSession, sf_dir: str) -> Layers:
+    return Layers(spark, sf_dir)
+
+
+_REPORTS: dict[str, Callable[[Layers], DataFrame]] = {
+    "v01_record_count": lambda L: R.record_count(L.stg_mmp_events),
+    "v02_event_distribution": lambda L: R.event_distribution(L.stg_mmp_events),
+    "v03_partner_distribution": lambda L: R.partner_distribution(L.stg_mmp_events),
+    "v04_daily_summary": lambda L: R.daily_summary(L.int_daily_metrics),
+    "v05_ctr_stats": lambda L: R.ctr_stats(L.mart_click_through_rate),
+    "v06_cpi_stats": lambda L: R.cpi_stats(L.mart_cost_per_install),
+    "v07_grain_coverage": lambda L: R.grain_coverage(L.mart_installs_reinstalls,
+                                                     L.mart_click_through_rate,
+                                                     L.mart_cost_per_install),
+    "v08_install_volume": lambda L: R.install_volume(L.mart_installs_reinstalls),
+    "v09_cost_efficiency": lambda L: R.cost_efficiency(L.mart_cost_per_install),
+    "v10_daily_trend": lambda L: R.daily_trend(L.int_daily_metrics),
+    "v11_null_audit": lambda L: R.null_audit(L.stg_mmp_events),
+    "v12_cost_share": lambda L: R.cost_share(L.stg_mmp_events),
+    "rep_avg_ctr": lambda L: R.avg_ctr(L.mart_click_through_rate),
+    "rep_daily_installs": lambda L: R.daily_installs_by_partner(L.mart_installs_reinstalls),
+    "rep_ctr_platform": lambda L: R.ctr_by_platform(L.mart_click_through_rate),
+    "rep_cpi_partner": lambda L: R.cpi_by_partner(L.mart_cost_per_install),
+}
+
+
+def _report(name: str) -> QueryFn:
+    build = _REPORTS[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(_l(spark, sf_dir))
+    run.__name__ = name
+    return run
+
+
+for _name in _REPORTS:
+    QUERIES[_name] = _report(_name)
