@@ -250,3 +250,68 @@ SELECT grain, period, partner, installs, CAST(ic AS DOUBLE) AS install_cost,
 FROM (SELECT grain, period, partner, {big('SUM(installs)')} AS installs,
              {_exact_sum('install_cost')} AS ic, {_exact_sum('total_cost')} AS tc
       FROM mart_cost_per_install GROUP BY grain, period, partner) g""")
+
+
+# --- Data tests ---------------------------------------------------------------
+from adlens.operators.checks import DECLARED_CHECKS, Check  # noqa: E402
+
+
+def _check_expr(c: Check) -> str:
+    if c.kind == "expression_is_true":
+        return f"{c.column} {c.expression}" if c.column else c.expression
+    if c.kind == "accepted_range":
+        return f"{c.column} >= {c.lo} AND {c.column} <= {c.hi}"
+    raise ValueError(c.kind)
+
+
+def _failing_sql(c: Check) -> str:
+    if c.kind == "unique":
+        return (f"SELECT {c.column} AS unique_field, {big('COUNT(*)')} AS n_records FROM {c.table} "
+                f"WHERE {c.column} IS NOT NULL GROUP BY {c.column} HAVING COUNT(*) > 1")
+    if c.kind == "not_null":
+        return f"SELECT * FROM {c.table} WHERE {c.column} IS NULL"
+    if c.kind == "accepted_values":
+        return (f"SELECT * FROM (SELECT {c.column} AS value_field, {big('COUNT(*)')} AS n_records "
+                f"FROM {c.table} GROUP BY {c.column}) v WHERE value_field NOT IN ({sql_list(c.values)})")
+    where = f"({c.where}) AND " if c.where else ""
+    return f"SELECT * FROM {c.table} WHERE {where}NOT ({_check_expr(c)})"
+
+
+def _meta_sql(c: Check) -> str:
+    col = f"'{c.column}'" if c.column else "CAST(NULL AS VARCHAR)"
+    return (f"'{c.test_name}' AS test_name, '{c.table}' AS table_name, {col} AS column_name, "
+            f"'{c.severity}' AS severity")
+
+
+def _count_sql(c: Check) -> str:
+    return f"SELECT {_meta_sql(c)}, {big('COUNT(*)')} AS failures FROM ({_failing_sql(c)}) f"
+
+
+def _report_sql(checks) -> str:
+    body = "\nUNION ALL\n".join(_count_sql(c) for c in checks)
+    return (f"SELECT *, CASE WHEN failures = 0 THEN 'PASS' WHEN severity = 'warn' THEN 'WARN' "
+            f"ELSE 'FAIL' END AS status FROM (\n{body}\n) r")
+
+
+def _by_name(n: str) -> Check:
+    return next(c for c in DECLARED_CHECKS if c.test_name == n)
+
+
+for _key, _test in (
+        ("dq_unique_event_id", "unique_stg_mmp_events_event_id"),
+        ("dq_cost_non_negative", "expression_is_true_stg_mmp_events_cost_usd"),
+        ("dq_ctr_range", "expression_is_true_mart_click_through_rate_ctr_in_0_1"),
+        ("dq_impressions_ge_clicks", "expression_is_true_mart_click_through_rate_impressions_ge_clicks"),
+        ("dq_ctr_percentage_range", "accepted_range_mart_click_through_rate_ctr_percentage"),
+        ("dq_cpi_direct_non_negative", "expression_is_true_mart_cost_per_install_cpi_direct_ge_0"),
+        ("dq_cpi_blended_ge_direct", "expression_is_true_mart_cost_per_install_cpi_blended_ge_direct")):
+    register(_key, _failing_sql(_by_name(_test)))
+
+register("dq_not_null", "SELECT test_name, table_name, column_name, failures FROM (\n"
+         + "\nUNION ALL\n".join(_count_sql(c) for c in DECLARED_CHECKS if c.kind == "not_null")
+         + "\n) r")
+register("dq_accepted_values", "\nUNION ALL\n".join(
+    f"SELECT '{c.table}' AS table_name, '{c.column}' AS column_name, "
+    f"CAST(value_field AS VARCHAR) AS value_field, n_records FROM ({_failing_sql(c)}) f"
+    for c in DECLARED_CHECKS if c.kind == "accepted_values"))
+register("dq_report", _report_sql(DECLARED_CHECKS))

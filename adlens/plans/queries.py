@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlens.plans.layers import Layers
 
@@ -78,3 +79,59 @@ def _report(name: str) -> QueryFn:
 
 for _name in _REPORTS:
     QUERIES[_name] = _report(_name)
+
+
+# --- Data tests (T1-T9) ------------------------------------------------------
+from adlens.operators import checks as C  # noqa: E402
+
+_CHECK_TABLES = ("stg_mmp_events", "mart_installs_reinstalls", "mart_click_through_rate",
+                 "mart_cost_per_install")
+
+
+def check_tables(L: Layers) -> dict[str, DataFrame]:
+    return {t: L.table(t) for t in _CHECK_TABLES}
+
+
+def _dq_rows(test_name: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        chk = C.check_by_name(test_name)
+        return C.failing_rows(chk, _l(spark, sf_dir).table(chk.table))
+    run.__name__ = test_name
+    return run
+
+
+QUERIES["dq_unique_event_id"] = _dq_rows("unique_stg_mmp_events_event_id")
+QUERIES["dq_cost_non_negative"] = _dq_rows("expression_is_true_stg_mmp_events_cost_usd")
+QUERIES["dq_ctr_range"] = _dq_rows("expression_is_true_mart_click_through_rate_ctr_in_0_1")
+QUERIES["dq_impressions_ge_clicks"] = _dq_rows(
+    "expression_is_true_mart_click_through_rate_impressions_ge_clicks")
+QUERIES["dq_ctr_percentage_range"] = _dq_rows(
+    "accepted_range_mart_click_through_rate_ctr_percentage")
+QUERIES["dq_cpi_direct_non_negative"] = _dq_rows(
+    "expression_is_true_mart_cost_per_install_cpi_direct_ge_0")
+QUERIES["dq_cpi_blended_ge_direct"] = _dq_rows(
+    "expression_is_true_mart_cost_per_install_cpi_blended_ge_direct")
+
+
+@query("dq_not_null")
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    specs = [c for c in C.DECLARED_CHECKS if c.kind == "not_null"]
+    return (C.run_checks(check_tables(_l(spark, sf_dir)), specs)
+            .select("test_name", "table_name", "column_name", "failures"))
+
+
+@query("dq_accepted_values")
+def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = _l(spark, sf_dir)
+    out = None
+    for c in (c for c in C.DECLARED_CHECKS if c.kind == "accepted_values"):
+        part = (C.failing_rows(c, L.table(c.table))
+                .select(F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
+                        F.col("value_field").cast("string").alias("value_field"), "n_records"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("dq_report")
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.run_checks(check_tables(_l(spark, sf_dir)), C.DECLARED_CHECKS)
