@@ -315,3 +315,51 @@ register("dq_accepted_values", "\nUNION ALL\n".join(
     f"CAST(value_field AS VARCHAR) AS value_field, n_records FROM ({_failing_sql(c)}) f"
     for c in DECLARED_CHECKS if c.kind == "accepted_values"))
 register("dq_report", _report_sql(DECLARED_CHECKS))
+
+
+# --- Sources, staging extras, incremental -------------------------------------
+register("src_jsonl_roundtrip", "SELECT * FROM raw")
+
+register("src_batch_counts", f"""
+SELECT 'mmp_events_' || replace(substr("timestamp", 1, 10), '-', '') || '_000000' AS batch,
+       {big('COUNT(*)')} AS event_count, CAST({_exact_sum('cost_usd')} AS DOUBLE) AS total_cost
+FROM raw GROUP BY 1""")
+
+register("out_table_roundtrip", "SELECT * FROM int_daily_metrics")
+
+register("stg_date_parts", f"""
+SELECT year, month, week, day_of_week, {big('COUNT(*)')} AS events,
+       MIN(event_date) AS first_date, MAX(event_date) AS last_date
+FROM stg_mmp_events GROUP BY year, month, week, day_of_week""")
+
+register("stg_rejects_by_reason", f"""
+SELECT reject_reason, {big('COUNT(*)')} AS rejected_rows FROM (
+  SELECT CASE WHEN "timestamp" IS NULL THEN 'null_timestamp'
+              WHEN NOT COALESCE(event_type IN ({sql_list(EVENT_TYPES)}), false) THEN 'invalid_event_type'
+              WHEN NOT COALESCE(cost_usd >= 0 AND isfinite(cost_usd), false) THEN 'invalid_cost'
+              WHEN try_strptime("timestamp", '%Y-%m-%dT%H:%M:%SZ') IS NULL THEN 'invalid_timestamp_format'
+         END AS reject_reason
+  FROM raw) r
+WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")
+
+_STG_KEEP = "event_id, event_date, event_type, partner, platform, cost_usd"
+_CUT = "(SELECT CAST(date_trunc('month', MAX(event_date)) AS DATE) FROM stg_mmp_events)"
+
+register("incr_new_rows", f"""
+SELECT {_STG_KEEP} FROM stg_mmp_events
+WHERE COALESCE(event_date > (SELECT MAX(event_date) FROM stg_mmp_events WHERE event_date < {_CUT}), true)""")
+
+register("incr_merge_by_key", f"""
+SELECT {_STG_KEEP}, 'initial' AS load_batch FROM stg_mmp_events t
+WHERE event_date < {_CUT}
+  AND NOT EXISTS (SELECT 1 FROM stg_mmp_events n
+                  WHERE n.event_id = t.event_id AND n.event_date >= CAST({_CUT} - INTERVAL 7 DAY AS DATE))
+UNION ALL
+SELECT {_STG_KEEP}, 'increment' AS load_batch FROM stg_mmp_events
+WHERE event_date >= CAST({_CUT} - INTERVAL 7 DAY AS DATE)""")
+
+register("out_partition_pruned", f"""
+SELECT event_date, {big('COUNT(*)')} AS events, CAST({_exact_sum('cost_usd')} AS DOUBLE) AS total_cost
+FROM stg_mmp_events
+WHERE event_date > CAST((SELECT MAX(event_date) FROM stg_mmp_events) - INTERVAL 7 DAY AS DATE)
+GROUP BY event_date""")

@@ -135,3 +135,108 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_report")
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.run_checks(check_tables(_l(spark, sf_dir)), C.DECLARED_CHECKS)
+
+
+# --- Sources, sinks, staging extras (S1-S12, P7-P9, F4) ----------------------
+from adlens.constants import METRIC_DOCS  # noqa: E402
+from adlens.operators.staging import rejects_by_reason  # noqa: E402
+from adlens.session import scratch_path  # noqa: E402
+from adlens.sources import jsonl as J  # noqa: E402
+from adlens.sources import tables as TB  # noqa: E402
+from adlens.sources.driver_events import raw_events  # noqa: E402
+
+
+def batch_of(ts: F.Column) -> F.Column:
+    """Landing batch of an event: one ``mmp_events_<day>_000000`` per day."""
+    return F.concat(F.lit(J.BATCH_PREFIX),
+                    F.regexp_replace(F.substring(ts, 1, 10), "-", ""), F.lit("_000000"))
+
+
+@query("src_jsonl_roundtrip")
+def src_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "jsonl")
+    J.write_events(raw_events(spark, sf_dir), out)
+    return J.read_events(spark, out)
+
+
+def _land_by_batch(spark: SparkSession, sf_dir: str) -> str:
+    out = scratch_path(spark, "landing")
+    raw = raw_events(spark, sf_dir).withColumn("batch", batch_of(F.col("timestamp")))
+    J.write_partitioned(raw, out, "batch")
+    return out
+
+
+@query("src_batch_counts")
+def src_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _land_by_batch(spark, sf_dir)
+    back = J.read_events(spark, out, base_path=out)
+    return back.groupBy("batch").agg(F.count(F.lit(1)).alias("event_count"),
+                                     R.exact_sum("cost_usd").cast("double").alias("total_cost"))
+
+
+@query("src_file_inventory")
+def src_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _land_by_batch(spark, sf_dir)
+    return J.file_inventory(spark, out).select(
+        F.regexp_extract("path", r"batch=([^/]+)/", 1).alias("batch"),
+        "file_name", "size_bytes", "size_kb", "event_count")
+
+
+@query("out_table_roundtrip")
+def out_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "int_daily_metrics")
+    TB.write_table(_l(spark, sf_dir).int_daily_metrics, path, docs=METRIC_DOCS)
+    return TB.read_table(spark, path)
+
+
+@query("stg_date_parts")
+def stg_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (_l(spark, sf_dir).stg_mmp_events
+            .groupBy("year", "month", "week", "day_of_week")
+            .agg(F.count(F.lit(1)).alias("events"), F.min("event_date").alias("first_date"),
+                 F.max("event_date").alias("last_date")))
+
+
+@query("stg_rejects_by_reason")
+def stg_rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejects_by_reason(raw_events(spark, sf_dir), mode="quarantine")
+
+
+# --- Incremental (X1-X3) -----------------------------------------------------
+from adlens.operators import incremental as INC  # noqa: E402
+
+STG_KEEP = ["event_id", "event_date", "event_type", "partner", "platform", "cost_usd"]
+
+
+def _split_month(stg: DataFrame) -> F.Column:
+    """First day of the newest month in the data: target = before it."""
+    return stg.select(F.trunc(F.max("event_date"), "month")).scalar()
+
+
+@query("incr_new_rows")
+def incr_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = _l(spark, sf_dir).stg_mmp_events
+    target = stg.filter(F.col("event_date") < _split_month(stg))
+    return INC.incremental_rows(target, stg).select(*STG_KEEP)
+
+
+@query("incr_merge_by_key")
+def incr_merge_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = _l(spark, sf_dir).stg_mmp_events.select(*STG_KEEP)
+    cut = _split_month(stg)
+    target = stg.filter(F.col("event_date") < cut).withColumn("load_batch", F.lit("initial"))
+    new = (stg.filter(F.col("event_date") >= F.date_sub(cut, 7))
+              .withColumn("load_batch", F.lit("increment")))
+    return INC.upsert(target, new, "event_id")
+
+
+@query("out_partition_pruned")
+def out_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stg_by_date")
+    INC.write_partitioned_by_date(_l(spark, sf_dir).stg_mmp_events, path)
+    back = spark.read.parquet(path)
+    newest = back.select(F.max("event_date")).scalar()
+    return (back.filter(F.col("event_date") > F.date_sub(newest, 7))
+                .groupBy("event_date")
+                .agg(F.count(F.lit(1)).alias("events"),
+                     R.exact_sum("cost_usd").cast("double").alias("total_cost")))
