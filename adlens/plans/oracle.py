@@ -363,3 +363,131 @@ SELECT event_date, {big('COUNT(*)')} AS events, CAST({_exact_sum('cost_usd')} AS
 FROM stg_mmp_events
 WHERE event_date > CAST((SELECT MAX(event_date) FROM stg_mmp_events) - INTERVAL 7 DAY AS DATE)
 GROUP BY event_date""")
+
+
+# --- Raw-event validator --------------------------------------------------------
+from adlens.constants import REQUIRED_FIELDS, VALID_EVENT_TYPES, VALID_PLATFORMS  # noqa: E402
+from adlens.operators.validate import _ISO, _NUMERIC_STRING, _OFFSET, _TIME, _pylist  # noqa: E402
+from adlens.sources.driver_events import LINES_SQL  # noqa: E402
+
+
+def _t(f: str) -> str:
+    return f"json_type(sl, '$.{f}')"
+
+
+def _s(f: str) -> str:
+    return f"json_extract_string(sl, '$.{f}')"
+
+
+def _py(f: str) -> str:
+    t, s = _t(f), _s(f)
+    return (f"(CASE WHEN {t} = 'VARCHAR' THEN {s} WHEN {t} = 'NULL' THEN 'None' "
+            f"WHEN {t} = 'BOOLEAN' THEN (CASE WHEN {s} = 'true' THEN 'True' ELSE 'False' END) "
+            f"WHEN {t} = 'DOUBLE' THEN CAST(CAST({s} AS DOUBLE) AS VARCHAR) ELSE {s} END)")
+
+
+def _str(f: str) -> str:
+    return f"(CASE WHEN {_t(f)} = 'VARCHAR' THEN {_s(f)} END)"
+
+
+_COST_NUM = (f"(CASE WHEN {_t('cost_usd')} IN ('UBIGINT', 'BIGINT', 'DOUBLE') "
+             f"THEN CAST({_s('cost_usd')} AS DOUBLE) "
+             f"WHEN {_t('cost_usd')} = 'BOOLEAN' THEN CAST({_s('cost_usd')} = 'true' AS DOUBLE) "
+             f"WHEN {_t('cost_usd')} = 'VARCHAR' AND regexp_matches({_s('cost_usd')}, '{_NUMERIC_STRING}') "
+             f"THEN TRY_CAST(trim({_s('cost_usd')}) AS DOUBLE) END)")
+
+_TS2 = f"replace({_str('timestamp')}, 'Z', '+00:00')"
+
+
+def _g(pattern: str, i: int) -> str:
+    return f"COALESCE(TRY_CAST(NULLIF(regexp_extract({_TS2}, '{pattern}', {i}), '') AS INTEGER), 0)"
+
+
+_TS_OK = (f"COALESCE(regexp_matches({_TS2}, '{_ISO}') AND TRY_CAST(substr({_TS2}, 1, 4) AS INTEGER) >= 1 "
+          f"AND TRY_CAST(substr({_TS2}, 1, 10) AS DATE) IS NOT NULL "
+          f"AND {_g(_TIME, 1)} <= 23 AND {_g(_TIME, 3)} <= 59 AND {_g(_TIME, 5)} <= 59 "
+          f"AND {_g(_OFFSET, 1)} * 3600 + {_g(_OFFSET, 2)} * 60 + {_g(_OFFSET, 4)} < 86400, false)")
+
+_RULES = f"""list_filter([
+  CASE WHEN NOT COALESCE({_str('event_type')} IN ({sql_list(VALID_EVENT_TYPES)}), false)
+       THEN 'Invalid event_type: ' || {_py('event_type')} || '. Must be one of {_pylist(VALID_EVENT_TYPES).replace("'", "''")}' END,
+  CASE WHEN NOT COALESCE({_str('platform')} IN ({sql_list(VALID_PLATFORMS)}), false)
+       THEN 'Invalid platform: ' || {_py('platform')} || '. Must be one of {_pylist(VALID_PLATFORMS).replace("'", "''")}' END,
+  CASE WHEN {_COST_NUM} IS NULL OR NOT isfinite({_COST_NUM}) THEN 'Invalid cost_usd value: ' || {_py('cost_usd')}
+       WHEN {_COST_NUM} < 0 THEN 'Cost must be non-negative: ' || CAST({_COST_NUM} AS VARCHAR) END,
+  CASE WHEN NOT {_TS_OK} THEN 'Invalid timestamp format: ' || {_py('timestamp')} END,
+  CASE WHEN NOT COALESCE(length({_str('event_id')}) > 0, false) THEN 'event_id must be a non-empty string' END
+], lambda x: x IS NOT NULL)"""
+
+_REQ = "[" + sql_list(REQUIRED_FIELDS) + "]"
+
+VALIDATED_SQL = f"""
+SELECT line_id, line, keys, sl,
+  CASE WHEN keys IS NULL THEN ['Event is not a JSON object']
+       WHEN len(missing) > 0 THEN missing
+       ELSE {_RULES} END AS errors
+FROM (
+  SELECT *, list_transform(list_filter({_REQ}, lambda f: NOT list_contains(keys, f)),
+                           lambda f: 'Missing required field: ' || f) AS missing
+  FROM (
+    SELECT line_id, line, sl, CASE WHEN json_type(sl) = 'OBJECT' THEN json_keys(sl) END AS keys
+    FROM (SELECT *, CASE WHEN json_valid(line) THEN line ELSE 'null' END AS sl FROM val_lines) a
+  ) b
+) c
+"""
+
+_VAL_CTES = [("val_lines", LINES_SQL), ("validated", VALIDATED_SQL)]
+
+_RULE_OF = """CASE WHEN msg = 'Event is not a JSON object' THEN 'not_object'
+  WHEN starts_with(msg, 'Missing required field: ') THEN 'missing_field'
+  WHEN starts_with(msg, 'Invalid event_type') THEN 'event_type'
+  WHEN starts_with(msg, 'Invalid platform') THEN 'platform'
+  WHEN starts_with(msg, 'Invalid cost_usd') THEN 'cost_invalid'
+  WHEN starts_with(msg, 'Cost must be') THEN 'cost_negative'
+  WHEN starts_with(msg, 'Invalid timestamp') THEN 'timestamp'
+  WHEN msg = 'event_id must be a non-empty string' THEN 'event_id' ELSE 'other' END"""
+
+register("val_missing_fields", f"""
+SELECT substr(msg, length('Missing required field: ') + 1) AS field, {big('COUNT(*)')} AS events
+FROM (SELECT unnest(errors) AS msg FROM validated) m
+WHERE starts_with(msg, 'Missing required field: ') GROUP BY 1""", _VAL_CTES)
+
+register("val_errors_by_rule", f"""
+SELECT {_RULE_OF} AS rule, {big('COUNT(*)')} AS errors
+FROM (SELECT unnest(errors) AS msg FROM validated) m GROUP BY 1""", _VAL_CTES)
+
+register("val_batch_counts", f"""
+SELECT {big('count_if(len(errors) = 0)')} AS valid_count,
+       {big('count_if(len(errors) > 0)')} AS invalid_count FROM validated""", _VAL_CTES)
+
+register("val_first_errors", """
+SELECT line_id, 'Event ' || CAST(line_id AS VARCHAR) || ': ' || array_to_string(errors, '; ') AS summary
+FROM validated WHERE len(errors) > 0 ORDER BY line_id LIMIT 10""", _VAL_CTES)
+
+register("val_event_distribution", f"""
+SELECT CASE WHEN keys IS NOT NULL AND list_contains(keys, 'event_type') THEN {_py('event_type')}
+            ELSE 'unknown' END AS event_type, {big('COUNT(*)')} AS events
+FROM validated GROUP BY 1""", _VAL_CTES)
+
+register("val_total_cost", f"""
+SELECT CAST(SUM(CAST(CASE WHEN {_COST_NUM} IS NOT NULL AND isfinite({_COST_NUM}) THEN {_COST_NUM} ELSE 0.0 END
+                AS DECIMAL(28,6))) AS DOUBLE) AS total_cost
+FROM validated""", _VAL_CTES)
+
+_OK_EVENTS = f"""
+SELECT {_str('event_type')} AS event_type, {_str('partner')} AS partner, {_str('platform')} AS platform,
+       {_COST_NUM} AS cost_usd
+FROM validated WHERE len(errors) = 0"""
+
+register("val_summary", f"""
+SELECT dimension, value, events,
+       {rnd('events * 100.0 / NULLIF(CAST(n AS DOUBLE), 0)', 1)} AS percentage,
+       n AS total_events, c AS total_cost, {rnd('c / NULLIF(n, 0)', 2)} AS avg_cost
+FROM (
+  SELECT 'event_type' AS dimension, event_type AS value, {big('COUNT(*)')} AS events FROM ok_events GROUP BY event_type
+  UNION ALL
+  SELECT 'partner', partner, {big('COUNT(*)')} FROM ok_events GROUP BY partner
+  UNION ALL
+  SELECT 'platform', platform, {big('COUNT(*)')} FROM ok_events GROUP BY platform
+) g, (SELECT {big('COUNT(*)')} AS n, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE) AS c FROM ok_events) t
+""", _VAL_CTES + [("ok_events", _OK_EVENTS)])

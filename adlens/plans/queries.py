@@ -240,3 +240,24 @@ def out_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .groupBy("event_date")
                 .agg(F.count(F.lit(1)).alias("events"),
                      R.exact_sum("cost_usd").cast("double").alias("total_cost")))
+
+
+# --- Raw-event validator (R1-R11) ---------------------------------------------
+from adlens.operators import validate as V  # noqa: E402
+from adlens.sources.driver_events import validation_lines  # noqa: E402
+
+
+def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.validate_lines(validation_lines(spark, sf_dir))
+
+
+_VALIDATOR: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "val_missing_fields": lambda s, d: V.missing_fields(_validated(s, d)),
+    "val_errors_by_rule": lambda s, d: V.errors_by_rule(_validated(s, d)),
+    "val_batch_counts": lambda s, d: V.batch_verdict(_validated(s, d)),
+    "val_first_errors": lambda s, d: V.first_errors(_validated(s, d), "line_id", 10),
+    "val_event_distribution": lambda s, d: V.event_distribution(validation_lines(s, d)),
+    "val_total_cost": lambda s, d: V.total_cost(validation_lines(s, d)),
+    "val_summary": lambda s, d: V.batch_summary(V.parsed_events(_validated(s, d))),
+}
+QUERIES.update(_VALIDATOR)

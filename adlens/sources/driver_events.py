@@ -88,3 +88,98 @@ SELECT
        ELSE list_extract({_sql_list(COUNTRY_CODES)}, CAST(user_id % 10 + 1 AS INTEGER)) END AS country_code
 FROM events
 """
+
+
+# ---------------------------------------------------------------------------
+# JSON text lines for the validator: adapter rows written as JSON objects,
+# with defects by key residue (again: every row becomes exactly one line).
+# ---------------------------------------------------------------------------
+NULL_ID_AND_TYPE_MOD = 89      # "event_id": null and "event_type": null
+NUMERIC_ID_MOD = 59            # "event_id": 123 (a number)
+DROP_PARTNER_PLATFORM_MOD = 53  # two keys absent at once
+LOWER_PLATFORM_MOD = 61        # "ios" / "android"
+BAD_MONTH_MOD = 71             # month 13 in the timestamp
+SPACE_SEPARATOR_MOD = 67       # "2024-01-05 10:00:00Z" (valid ISO, not staging's form)
+STRING_COST_MOD = 73           # "cost_usd": "12.31"
+TEXT_COST_MOD = 79             # "cost_usd": "n/a"
+TRUNCATED_MOD = 83             # line cut after 20 characters
+
+
+def _json_scalar(c: F.Column) -> F.Column:
+    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+
+
+def _pair(key: str, value_json: F.Column) -> F.Column:
+    return F.concat(F.lit(f'"{key}":'), value_json)
+
+
+def lines_from_raw(raw: DataFrame) -> DataFrame:
+    """``line_id`` (the driver key) and ``line`` (JSON text) per raw event."""
+    e = F.col("event_id").cast("bigint")
+    ts0 = F.col("timestamp")
+    ts = (F.when(e % BAD_MONTH_MOD == 0,
+                 F.concat(F.substring(ts0, 1, 5), F.lit("13"), F.substring(ts0, 8, 100)))
+           .when(e % SPACE_SEPARATOR_MOD == 0, F.regexp_replace(ts0, "T", " "))
+           .otherwise(ts0))
+    platform = F.when(e % LOWER_PLATFORM_MOD == 0, F.lower("platform")).otherwise(F.col("platform"))
+    fields = [
+        _pair("event_id", F.when(e % NULL_ID_AND_TYPE_MOD == 0, F.lit("null"))
+                           .when(e % NUMERIC_ID_MOD == 0, e.cast("string"))
+                           .otherwise(_json_scalar(F.col("event_id")))),
+        F.when(ts.isNotNull(), _pair("timestamp", _json_scalar(ts))),
+        _pair("event_type", F.when(e % NULL_ID_AND_TYPE_MOD == 0, F.lit("null"))
+                             .otherwise(_json_scalar(F.col("event_type")))),
+        F.when(e % DROP_PARTNER_PLATFORM_MOD != 0, _pair("partner", _json_scalar(F.col("partner")))),
+        _pair("cost_usd", F.when(e % TEXT_COST_MOD == 0, F.lit('"n/a"'))
+                           .when(e % STRING_COST_MOD == 0,
+                                 _json_scalar(F.col("cost_usd").cast("string")))
+                           .otherwise(_json_scalar(F.col("cost_usd")))),
+        _pair("app_id", _json_scalar(F.col("app_id"))),
+        _pair("campaign_id", _json_scalar(F.col("campaign_id"))),
+        F.when(e % DROP_PARTNER_PLATFORM_MOD != 0, _pair("platform", _json_scalar(platform))),
+        _pair("country_code", _json_scalar(F.col("country_code"))),
+    ]
+    line = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    line = F.when(e % TRUNCATED_MOD == 0, F.substring(line, 1, 20)).otherwise(line)
+    return raw.select(e.alias("line_id"), line.alias("line"))
+
+
+def validation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines_from_raw(raw_events(spark, sf_dir))
+
+
+def _sql_pair(key: str, value_sql: str) -> str:
+    return f"""'"{key}":' || ({value_sql})"""
+
+
+# DuckDB form of ``lines_from_raw`` over the ``raw`` CTE.
+LINES_SQL = f"""
+SELECT line_id, CASE WHEN line_id % {TRUNCATED_MOD} = 0 THEN substr(l, 1, 20) ELSE l END AS line
+FROM (
+  SELECT line_id, '{{' || concat_ws(',',
+    {_sql_pair('event_id', f"CASE WHEN line_id % {NULL_ID_AND_TYPE_MOD} = 0 THEN 'null' "
+                           f"WHEN line_id % {NUMERIC_ID_MOD} = 0 THEN CAST(line_id AS VARCHAR) "
+                           f"ELSE to_json(event_id) END")},
+    CASE WHEN ts IS NOT NULL THEN {_sql_pair('timestamp', 'to_json(ts)')} END,
+    {_sql_pair('event_type', f"CASE WHEN line_id % {NULL_ID_AND_TYPE_MOD} = 0 THEN 'null' "
+                             f"ELSE to_json(event_type) END")},
+    CASE WHEN line_id % {DROP_PARTNER_PLATFORM_MOD} <> 0 THEN {_sql_pair('partner', 'to_json(partner)')} END,
+    {_sql_pair('cost_usd', f"""CASE WHEN line_id % {TEXT_COST_MOD} = 0 THEN '"n/a"' """
+                           f"WHEN line_id % {STRING_COST_MOD} = 0 THEN to_json(CAST(cost_usd AS VARCHAR)) "
+                           f"ELSE to_json(cost_usd) END")},
+    {_sql_pair('app_id', 'to_json(app_id)')},
+    {_sql_pair('campaign_id', 'to_json(campaign_id)')},
+    CASE WHEN line_id % {DROP_PARTNER_PLATFORM_MOD} <> 0 THEN {_sql_pair('platform', 'to_json(pf)')} END,
+    {_sql_pair('country_code', 'to_json(country_code)')}
+  ) || '}}' AS l
+  FROM (
+    SELECT *, CAST(event_id AS BIGINT) AS line_id,
+      CASE WHEN CAST(event_id AS BIGINT) % {BAD_MONTH_MOD} = 0
+             THEN substr("timestamp", 1, 5) || '13' || substr("timestamp", 8)
+           WHEN CAST(event_id AS BIGINT) % {SPACE_SEPARATOR_MOD} = 0 THEN replace("timestamp", 'T', ' ')
+           ELSE "timestamp" END AS ts,
+      CASE WHEN CAST(event_id AS BIGINT) % {LOWER_PLATFORM_MOD} = 0 THEN lower(platform)
+           ELSE platform END AS pf
+    FROM raw) r
+) x
+"""
