@@ -491,3 +491,72 @@ FROM (
   SELECT 'platform', platform, {big('COUNT(*)')} FROM ok_events GROUP BY platform
 ) g, (SELECT {big('COUNT(*)')} AS n, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE) AS c FROM ok_events) t
 """, _VAL_CTES + [("ok_events", _OK_EVENTS)])
+
+
+# --- Synthetic events -----------------------------------------------------------
+from adlens.operators.synth import COST_RANGES, WEIGHTED_FIELDS, cumulative  # noqa: E402
+from adlens.constants import SAMPLE_APPS, SAMPLE_CAMPAIGNS  # noqa: E402
+
+_SEED, _DAYS, _AS_OF = 42, 30, "2026-02-12 00:00:00"
+
+
+def _dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def _u(field: str) -> str:
+    h = f"md5('{_SEED}:{field}:' || CAST(event_id AS VARCHAR))"
+    return f"(CAST(('0x' || substr({h}, 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
+
+
+def _weighted(field: str) -> str:
+    cum = cumulative(WEIGHTED_FIELDS[field])
+    whens = " ".join(f"WHEN {_u(field)} < {_dbl(b)} THEN '{v}'" for v, b in cum[:-1])
+    return f"(CASE {whens} ELSE '{cum[-1][0]}' END)"
+
+
+def _uniform(field: str, values) -> str:
+    return f"list_extract([{sql_list(values)}], CAST(floor({_u(field)} * {len(values)}) + 1 AS INTEGER))"
+
+
+_H = f"md5('{_SEED}:event_id:' || CAST(event_id AS VARCHAR))"
+_COST = "(CASE " + " ".join(
+    f"WHEN event_type = '{t}' THEN {rnd(f'{_dbl(lo)} + {_dbl(hi - lo)} * u_cost', 2)}"
+    for t, (lo, hi) in COST_RANGES.items()) + " END)"
+
+GEN_SQL = f"""
+SELECT synth_key, event_id, "timestamp", event_type, partner, {_COST} AS cost_usd,
+       app_id, campaign_id, platform, country_code
+FROM (
+  SELECT CAST(event_id AS BIGINT) AS synth_key,
+    substr({_H}, 1, 8) || '-' || substr({_H}, 9, 4) || '-' || substr({_H}, 13, 4) || '-'
+      || substr({_H}, 17, 4) || '-' || substr({_H}, 21, 12) AS event_id,
+    strftime(TIMESTAMP '{_AS_OF}' - to_seconds(CAST(floor({_u('timestamp')} * {_DAYS * 86400 + 1}) AS BIGINT)),
+             '%Y-%m-%dT%H:%M:%SZ') AS "timestamp",
+    {_weighted('event_type')} AS event_type,
+    {_weighted('partner')} AS partner,
+    {_u('cost_usd')} AS u_cost,
+    {_uniform('app_id', SAMPLE_APPS)} AS app_id,
+    {_uniform('campaign_id', SAMPLE_CAMPAIGNS)} AS campaign_id,
+    {_weighted('platform')} AS platform,
+    {_weighted('country_code')} AS country_code
+  FROM events) g
+"""
+
+_GEN_CTES = [("gen", GEN_SQL)]
+register("gen_events", "SELECT * FROM gen", _GEN_CTES)
+
+_COUNTS = "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS field, {f} AS value, {big('COUNT(*)')} AS events FROM gen GROUP BY {f}"
+    for f in WEIGHTED_FIELDS)
+register("gen_weighted_choice", _COUNTS, _GEN_CTES)
+
+_WEIGHTS = "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS field, '{v}' AS value, {_dbl(w)} AS weight"
+    for f, ws in WEIGHTED_FIELDS.items() for v, w in ws)
+register("gen_distribution_check", f"""
+SELECT c.field, c.value, c.events, c.events / CAST(t.n AS DOUBLE) AS share, w.weight,
+       abs(c.events / CAST(t.n AS DOUBLE) - w.weight) <= 0.05 AS within_tolerance
+FROM ({_COUNTS}) c
+LEFT JOIN ({_WEIGHTS}) w ON c.field = w.field AND c.value = w.value,
+     (SELECT COUNT(*) AS n FROM gen) t""", _GEN_CTES)

@@ -261,3 +261,18 @@ _VALIDATOR: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "val_summary": lambda s, d: V.batch_summary(V.parsed_events(_validated(s, d))),
 }
 QUERIES.update(_VALIDATOR)
+
+
+# --- Synthetic events (G1-G7) ---------------------------------------------------
+from adlens.operators import synth as G  # noqa: E402
+from adlens.sources.driver_events import read_driver_events  # noqa: E402
+
+
+def _synth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One synthetic event per driver event key (work grows with the table)."""
+    return G.synth_from_keys(read_driver_events(spark, sf_dir), "event_id")
+
+
+QUERIES["gen_events"] = lambda s, d: _synth(s, d)
+QUERIES["gen_weighted_choice"] = lambda s, d: G.value_counts(_synth(s, d))
+QUERIES["gen_distribution_check"] = lambda s, d: G.distribution_check(_synth(s, d))
