@@ -107,3 +107,18 @@ def present(metrics: DataFrame) -> DataFrame:
     """Presentation order: newest period first, then partner, platform."""
     key = next(k for k in GRAIN_KEY.values() if k in metrics.columns)
     return metrics.orderBy(F.col(key).desc(), "partner", "platform")
+
+
+def roll_up_published(daily: DataFrame, grain: str,
+                      load_stamp: bool | Column = True) -> DataFrame:
+    """Weekly/monthly metrics from a *published* (double-cost) daily table.
+
+    Daily costs are decimal sums with at most six places, so casting them
+    back to decimal recovers the exact values and the roll-up equals a
+    direct aggregation of the events. The input is one row per day, partner
+    and platform, never the events themselves.
+    """
+    exact = daily.select("event_date", "partner", "platform",
+                         *[F.col(m) for m in COUNT_MEASURES + ["total_events"]],
+                         *[F.col(m).cast("decimal(28,6)").alias(m) for m in COST_MEASURES])
+    return publish(roll_up(exact, grain), grain, load_stamp)

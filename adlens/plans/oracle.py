@@ -560,3 +560,10 @@ SELECT c.field, c.value, c.events, c.events / CAST(t.n AS DOUBLE) AS share, w.we
 FROM ({_COUNTS}) c
 LEFT JOIN ({_WEIGHTS}) w ON c.field = w.field AND c.value = w.value,
      (SELECT COUNT(*) AS n FROM gen) t""", _GEN_CTES)
+
+
+# --- Pipeline build and streaming ingest -------------------------------------------
+register("build_mart_click_through_rate", "SELECT * FROM mart_click_through_rate")
+register("build_int_monthly_metrics", "SELECT * FROM int_monthly_metrics")
+register("build_test_report", _report_sql(DECLARED_CHECKS))
+register("incr_stream_ingest", f"SELECT {_STG_KEEP} FROM stg_mmp_events")

@@ -276,3 +276,50 @@ def _synth(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["gen_events"] = lambda s, d: _synth(s, d)
 QUERIES["gen_weighted_choice"] = lambda s, d: G.value_counts(_synth(s, d))
 QUERIES["gen_distribution_check"] = lambda s, d: G.distribution_check(_synth(s, d))
+
+
+# --- Pipeline build and streaming ingest (S8-S11, X1-X3 as a stream) -------------
+from adlens.plans import pipeline as P  # noqa: E402
+from adlens.streaming.ingest import ingest  # noqa: E402
+
+
+def _build(spark: SparkSession, sf_dir: str, select=None) -> P.BuildResult:
+    return P.build(spark, raw_events(spark, sf_dir), scratch_path(spark, "build"),
+                   select=select, load_stamp=False)
+
+
+@query("build_mart_click_through_rate")
+def build_mart_click_through_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart as written by the layered build (roll-ups from the written daily table)."""
+    res = _build(spark, sf_dir, select=None)
+    return TB.read_table(spark, res.tables["mart_click_through_rate"])
+
+
+@query("build_int_monthly_metrics")
+def build_int_monthly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = _build(spark, sf_dir, select=["intermediate"])
+    return TB.read_table(spark, res.tables["int_monthly_metrics"])
+
+
+@query("build_test_report")
+def build_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _build(spark, sf_dir).report
+
+
+@query("incr_stream_ingest")
+def incr_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land events in two runs (the second re-sends a day) and ingest each
+    run incrementally; the target holds every staged event exactly once."""
+    raw = raw_events(spark, sf_dir).withColumn("batch", batch_of(F.col("timestamp")))
+    month = F.substring(F.col("timestamp"), 1, 7)
+    first_month = raw.select(F.min(month)).scalar()
+    last_day_first = raw.filter(month == first_month).select(F.max("batch")).scalar()
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "staged")
+    ckpt, rejects = scratch_path(spark, "ingest-ckpt"), scratch_path(spark, "rejects")
+    J.write_partitioned(raw.filter(month == first_month), landing, "batch")
+    ingest(spark, f"{landing}/batch=*", target, ckpt, rejects)
+    second = raw.filter(~F.coalesce(month == first_month, F.lit(False))
+                        | (F.col("batch") == last_day_first))
+    J.write_partitioned(second, landing, "batch", mode="append")
+    ingest(spark, f"{landing}/batch=*", target, ckpt, rejects)
+    return spark.read.parquet(target).select(*STG_KEEP)
