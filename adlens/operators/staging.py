@@ -75,7 +75,13 @@ def stage_events(raw: DataFrame, mode: str = "strict") -> DataFrame:
     if mode not in ("strict", "quarantine"):
         raise ValueError("mode must be 'strict' or 'quarantine'")
     kept = raw.filter(staging_predicate())
-    ts = parse_event_timestamp(F.col("timestamp"), strict=(mode == "strict"))
+    # Parse once into a column; the strict check then only reads it.
+    kept = kept.withColumn("_parsed", parse_event_timestamp(F.col("timestamp"), strict=False))
+    ts = F.col("_parsed")
+    if mode == "strict":
+        ts = F.when(F.col("_parsed").isNull(),
+                    F.raise_error(F.concat(F.lit("Invalid event timestamp: "), F.col("timestamp")))
+                    ).otherwise(F.col("_parsed"))
     staged = _normalize(kept, ts)
     if mode == "quarantine":
         staged = staged.filter(F.col("event_timestamp").isNotNull())
