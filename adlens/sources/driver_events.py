@@ -106,7 +106,9 @@ TRUNCATED_MOD = 83             # line cut after 20 characters
 
 
 def _json_scalar(c: F.Column) -> F.Column:
-    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+    """JSON text of one value (escaped by the JSON writer, brackets cut)."""
+    t = F.to_json(F.array(c))
+    return t.substr(F.lit(2), F.length(t) - 2)
 
 
 def _pair(key: str, value_json: F.Column) -> F.Column:
