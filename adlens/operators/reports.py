@@ -38,7 +38,12 @@ def exact_avg(c: Column | str, dec: str = AVG_DECIMAL) -> Column:
 
 
 def _share(grouped: DataFrame, col: str, places: int) -> Column:
-    total = grouped.select(F.sum(col)).scalar()
+    # The subquery aggregates every measure of ``grouped`` (not just ``col``)
+    # so that its plan equals the main query's and the shuffle is reused.
+    numeric = ("bigint", "int", "double", "decimal")
+    measures = [c for c, t in grouped.dtypes if c != col and t.startswith(numeric)]
+    total = grouped.select(F.struct(F.sum(col).alias("t"),
+                                    *[F.sum(c).alias(c) for c in measures])).scalar()["t"]
     return round_half_up(safe_divide(F.col(col).cast("double") * F.lit(100.0),
                                      total.cast("double")), places)
 

@@ -2,7 +2,7 @@
 
 Each line is parsed once (``try_parse_json`` -> variant); every rule is a
 column expression producing an optional message, and the messages are
-gathered in rule order with ``filter(array(...), x -> x is not null)``. No
+gathered in rule order with ``array_compact(array(...))``. No
 Python runs per row, nothing is collected: verdicts, counts and summaries
 are aggregates.
 
@@ -78,7 +78,7 @@ def _parse(lines: DataFrame, line_col: str, fields: list[str]) -> DataFrame:
     df = lines.withColumn("_j", F.from_json(_c(line_col), _JSON_SCHEMA, _JSON_OPTIONS))
     df = df.withColumns({
         "_is_object": F.coalesce(_c("_j").isNotNull() & _c("_j._corrupt").isNull(), F.lit(False)),
-        **{f"_v_{f}": _c(f"_j.{f}") for f in fields},
+        **{f"_v_{f}": _c(f"_j.{f}") for f in REQUIRED_FIELDS},
         **{f"_present_{f}": _c(f"_j.{f}").isNotNull() for f in REQUIRED_FIELDS},
     })
     df = df.withColumns({f"_k_{f}": F.schema_of_variant(_c(f"_v_{f}")) for f in fields})
@@ -154,7 +154,8 @@ def _drop_work(df: DataFrame) -> DataFrame:
 
 
 def validate_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Add ``errors`` (array<string>, rule order) and ``is_valid``."""
+    """Add ``errors`` (array<string>, rule order), ``is_valid`` and ``event``
+    (the typed fields: strings, and ``cost_usd`` as a double)."""
     df = _with_timestamp_ok(_with_cost_number(_parse(lines, line_col, _CHECKED)))
     df = df.withColumns({
         "_m_type": F.when(~_member("event_type", VALID_EVENT_TYPES),
@@ -171,16 +172,22 @@ def validate_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
                                                _text("timestamp"))),
         "_m_id": F.when(~F.coalesce(F.length(_c("_s_event_id")) > 0, F.lit(False)),
                         F.lit(BAD_EVENT_ID)),
-        "_missing": F.filter(F.array(*[F.when(~_c(f"_present_{f}"), F.lit(MISSING + f))
-                                       for f in REQUIRED_FIELDS]), lambda x: x.isNotNull()),
+        "_missing": F.array_compact(F.array(*[F.when(~_c(f"_present_{f}"), F.lit(MISSING + f))
+                                              for f in REQUIRED_FIELDS])),
     })
-    rules = F.filter(F.array("_m_type", "_m_platform", "_m_cost", "_m_ts", "_m_id"),
-                     lambda x: x.isNotNull())
+    # array_compact (no lambda) keeps the plan canonical, so a shuffle over
+    # validated rows can be reused by a subquery of the same query.
+    rules = F.array_compact(F.array("_m_type", "_m_platform", "_m_cost", "_m_ts", "_m_id"))
     errors = (F.when(~_c("_is_object"), F.array(F.lit(NOT_OBJECT)))
                .when(F.size("_missing") > 0, _c("_missing"))
                .otherwise(rules))
     df = df.withColumn("_errors", errors)
-    verdict = F.struct(_c("_errors").alias("errors"), (F.size("_errors") == 0).alias("is_valid"))
+    typed = F.struct(*[(_c(f"_s_{f}") if f in _CHECKED
+                        else F.try_variant_get(_c(f"_v_{f}"), "$", "string")).alias(f)
+                       for f in REQUIRED_FIELDS if f != "cost_usd"],
+                     _c("_num").alias("cost_usd"))
+    verdict = F.struct(_c("_errors").alias("errors"), (F.size("_errors") == 0).alias("is_valid"),
+                       typed.alias("event"))
     # The verdict leaves through a one-element generator. A later filter on
     # it (is_valid, a non-empty explode) then stays above the generator; a
     # plain projection would let the optimizer inline the whole parse chain
@@ -249,31 +256,37 @@ def total_cost(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return df.agg(F.sum(cost).cast("double").alias("total_cost"))
 
 
-def parsed_events(validated: DataFrame, line_col: str = "line") -> DataFrame:
-    """Typed fields of valid lines."""
-    df = _with_cost_number(_parse(validated.filter(_c("is_valid")), line_col, REQUIRED_FIELDS))
-    return df.select(*[_c(f"_s_{f}").alias(f) for f in REQUIRED_FIELDS if f != "cost_usd"],
-                     _c("_num").alias("cost_usd"))
+def parsed_events(validated: DataFrame) -> DataFrame:
+    """Typed fields of valid lines (carried out of ``validate_lines``)."""
+    return validated.filter(_c("is_valid")).select("event.*")
 
 
 def batch_summary(events: DataFrame) -> DataFrame:
-    """Totals and per-type, per-partner, per-platform counts and shares.
-
-    One grouping-sets aggregate; the batch total is a scalar subquery over a
-    one-row aggregate, so no dimension is gathered into a single task.
+    """Batch totals plus per-type, per-partner and per-platform counts,
+    costs and shares.
+
+    One grouping-sets aggregate; the empty set ``()`` is the ``total`` row.
+    The totals every row needs come from a scalar subquery that reads the
+    same grouped rows with conditional sums (no filter), so its plan equals
+    the main one and the shuffle is shared; no dimension is gathered into a
+    single task.
     """
     cost = F.col("cost_usd").cast("decimal(28,6)")
-    g = (events.groupingSets([["event_type"], ["partner"], ["platform"]],
+    g = (events.groupingSets([["event_type"], ["partner"], ["platform"], []],
                              "event_type", "partner", "platform")
-               .agg(F.count(F.lit(1)).alias("events"),
+               .agg(F.count(F.lit(1)).alias("events"), F.sum(cost).alias("_cost"),
                     F.grouping_id().alias("_gid")))
-    totals = events.agg(F.count(F.lit(1)).alias("n"), F.sum(cost).alias("c"))
-    n = totals.select("n").scalar()
-    c = totals.select("c").scalar().cast("double")
+    is_total = F.col("_gid") == 7
+    totals = g.select(F.struct(F.sum(F.when(is_total, F.col("events"))).alias("n"),
+                               F.sum(F.when(is_total, F.col("_cost"))).cast("double").alias("c"))
+                      ).scalar()
+    n, c = totals.getField("n"), totals.getField("c")
     dim = (F.when(F.col("_gid") == 3, F.lit("event_type"))
-            .when(F.col("_gid") == 5, F.lit("partner")).otherwise(F.lit("platform")))
+            .when(F.col("_gid") == 5, F.lit("partner"))
+            .when(F.col("_gid") == 6, F.lit("platform")).otherwise(F.lit("total")))
     value = F.coalesce(F.col("event_type"), F.col("partner"), F.col("platform"))
     return g.select(dim.alias("dimension"), value.alias("value"), "events",
+                    F.col("_cost").cast("double").alias("cost"),
                     round_half_up(safe_divide(F.col("events") * F.lit(100.0), n.cast("double")), 1)
                     .alias("percentage"),
                     n.alias("total_events"), c.alias("total_cost"),

@@ -480,15 +480,21 @@ SELECT {_str('event_type')} AS event_type, {_str('partner')} AS partner, {_str('
 FROM validated WHERE len(errors) = 0"""
 
 register("val_summary", f"""
-SELECT dimension, value, events,
+SELECT dimension, value, events, cost,
        {rnd('events * 100.0 / NULLIF(CAST(n AS DOUBLE), 0)', 1)} AS percentage,
        n AS total_events, c AS total_cost, {rnd('c / NULLIF(n, 0)', 2)} AS avg_cost
 FROM (
-  SELECT 'event_type' AS dimension, event_type AS value, {big('COUNT(*)')} AS events FROM ok_events GROUP BY event_type
+  SELECT 'event_type' AS dimension, event_type AS value, {big('COUNT(*)')} AS events,
+         CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE) AS cost FROM ok_events GROUP BY event_type
   UNION ALL
-  SELECT 'partner', partner, {big('COUNT(*)')} FROM ok_events GROUP BY partner
+  SELECT 'partner', partner, {big('COUNT(*)')}, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE)
+  FROM ok_events GROUP BY partner
   UNION ALL
-  SELECT 'platform', platform, {big('COUNT(*)')} FROM ok_events GROUP BY platform
+  SELECT 'platform', platform, {big('COUNT(*)')}, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE)
+  FROM ok_events GROUP BY platform
+  UNION ALL
+  SELECT 'total', NULL, {big('COUNT(*)')}, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE)
+  FROM ok_events
 ) g, (SELECT {big('COUNT(*)')} AS n, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE) AS c FROM ok_events) t
 """, _VAL_CTES + [("ok_events", _OK_EVENTS)])
 
