@@ -80,11 +80,11 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str,
                       mode: str = "errorifexists") -> str:
     """Land rows under ``<partition_col>=<value>/`` directories in one job.
 
-    Rows are only sorted within each task (no shuffle), so a partition value
-    that holds a third of the data is written by every task in parallel
-    instead of by one.
+    A REBALANCE on the partition column lets AQE merge small batches into one
+    task and split a batch that holds a third of the data over many tasks of
+    the advisory size, so files stay few and no task is overloaded.
     """
-    (df.sortWithinPartitions(partition_col).write.mode(mode)
+    (df.hint("rebalance", partition_col).write.mode(mode)
        .partitionBy(partition_col).json(path))
     return path
 
