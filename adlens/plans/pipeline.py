@@ -7,9 +7,11 @@ what to build, like a model selector.
 
 Execution plan, chosen for scale:
 
-1. One job scans the raw events once, stages them and writes the daily
-   table (partial aggregation on the map side; the shuffle carries at most
-   one row per day/partner/platform per task).
+0. The staged events are written once as a date-partitioned table (or kept
+   as a view with ``staging="view"``): the JSON is parsed a single time.
+1. One job reads the staged columns it needs and writes the daily table
+   (partial aggregation on the map side; the shuffle carries at most one
+   row per day/partner/platform per task).
 2. Weekly and monthly tables roll up the *written* daily table (exact, see
    ``roll_up_published``): their input is tiny and does not touch events.
 3. Marts read the written intermediates. Every written table cuts the
@@ -28,6 +30,7 @@ from adlens.constants import METRIC_DOCS, STAGED_DOCS
 from adlens.operators import checks as C
 from adlens.operators import marts as M
 from adlens.operators import metrics as MET
+from adlens.operators.incremental import write_partitioned_by_date
 from adlens.operators.staging import stage_events
 from adlens.sources.tables import create_view, read_table, with_docs, write_table
 
@@ -75,13 +78,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] | None = None,
           mode: str = "strict", load_stamp: bool | Column = True, run_tests: bool = True,
-          fail_on_error: bool = False) -> BuildResult:
+          fail_on_error: bool = False, staging: str = "table") -> BuildResult:
+    """Build the selected models under ``out_dir``.
+
+    ``staging="table"`` (default) writes the staged events once, partitioned
+    by ``event_date``, so the raw JSON is parsed a single time and every
+    later job reads only the Parquet columns it needs. ``staging="view"``
+    keeps the staging model lazy, as a view over the raw source.
+    """
+    if staging not in ("table", "view"):
+        raise ValueError("staging must be 'table' or 'view'")
     models = select_models(select)
     out_dir = out_dir.rstrip("/")
     path = lambda layer, m: f"{out_dir}/{layer}/{m}"
     res = BuildResult()
 
-    stg = create_view(with_docs(stage_events(raw, mode), STAGED_DOCS), "stg_mmp_events")
+    stg = with_docs(stage_events(raw, mode), STAGED_DOCS)
+    stg_path = path("staging", "stg_mmp_events")
+    if staging == "table" and "stg_mmp_events" in models:
+        res.tables["stg_mmp_events"] = write_partitioned_by_date(stg, stg_path)
+    if staging == "table" and _exists(spark, stg_path):
+        stg = read_table(spark, stg_path).select(*stg.columns)
+    stg = create_view(stg, "stg_mmp_events")
     tables: dict[str, DataFrame] = {"stg_mmp_events": stg}
 
     def materialize(layer: str, name: str, build_df) -> DataFrame | None:
