@@ -23,6 +23,7 @@ STAGED_COLUMNS = [
 ]
 
 # Reject reasons in the order the rules are checked.
+REASON_MALFORMED = "malformed_record"
 REASON_NULL_TIMESTAMP = "null_timestamp"
 REASON_EVENT_TYPE = "invalid_event_type"
 REASON_COST = "invalid_cost"
@@ -75,6 +76,8 @@ def stage_events(raw: DataFrame, mode: str = "strict") -> DataFrame:
     if mode not in ("strict", "quarantine"):
         raise ValueError("mode must be 'strict' or 'quarantine'")
     kept = raw.filter(staging_predicate())
+    if "_corrupt_record" in raw.columns:
+        kept = kept.filter(F.col("_corrupt_record").isNull())
     # Parse once into a column; the strict check then only reads it.
     kept = kept.withColumn("_parsed", parse_event_timestamp(F.col("timestamp"), strict=False))
     ts = F.col("_parsed")
@@ -88,15 +91,23 @@ def stage_events(raw: DataFrame, mode: str = "strict") -> DataFrame:
     return staged
 
 
-def reject_reason(mode: str = "strict") -> Column:
-    """First failing rule for a raw row, null when the row is staged."""
-    reason = (F.when(F.col("timestamp").isNull(), F.lit(REASON_NULL_TIMESTAMP))
-              .when(~F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False)),
-                    F.lit(REASON_EVENT_TYPE))
-              .when(~F.coalesce(_cost_ok(F.col("cost_usd")), F.lit(False)), F.lit(REASON_COST)))
+def reject_reason(mode: str = "strict", corrupt_col: str | None = None) -> Column:
+    """First failing rule for a raw row, null when the row is staged.
+
+    With ``corrupt_col`` (the JSON reader's corrupt-record column in
+    PERMISSIVE mode) a line that did not parse is reported as malformed.
+    """
+    rules = [(F.col("timestamp").isNull(), REASON_NULL_TIMESTAMP),
+             (~F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False)), REASON_EVENT_TYPE),
+             (~F.coalesce(_cost_ok(F.col("cost_usd")), F.lit(False)), REASON_COST)]
+    if corrupt_col:
+        rules.insert(0, (F.col(corrupt_col).isNotNull(), REASON_MALFORMED))
     if mode == "quarantine":
         parsed = parse_event_timestamp(F.col("timestamp"), strict=False)
-        reason = reason.when(parsed.isNull(), F.lit(REASON_TIMESTAMP_FORMAT))
+        rules.append((parsed.isNull(), REASON_TIMESTAMP_FORMAT))
+    reason = F.when(rules[0][0], F.lit(rules[0][1]))
+    for cond, name in rules[1:]:
+        reason = reason.when(cond, F.lit(name))
     return reason
 
 
@@ -106,7 +117,8 @@ def rejected_events(raw: DataFrame, mode: str = "quarantine") -> DataFrame:
     The null-safe complement of the staging filter: ``accepted + rejected``
     always equals the raw row count.
     """
-    return (raw.withColumn("reject_reason", reject_reason(mode))
+    corrupt = "_corrupt_record" if "_corrupt_record" in raw.columns else None
+    return (raw.withColumn("reject_reason", reject_reason(mode, corrupt))
                .filter(F.col("reject_reason").isNotNull()))
 
 

@@ -100,3 +100,28 @@ def test_stream_ingest_exactly_once(spark, tmp_dir):
     ingest(spark, tmp_dir + "/land/batch=*", tmp_dir + "/tgt", tmp_dir + "/ck", tmp_dir + "/rej")
     tgt = spark.read.parquet(tmp_dir + "/tgt")
     assert tgt.count() == stage_events(raw).count() == tgt.select("event_id").distinct().count()
+
+
+def test_permissive_read_quarantines_malformed(spark, tmp_dir):
+    from adlens.operators.staging import rejected_events
+    p = tmp_dir + "/mixed.jsonl"
+    with open(p, "w") as f:
+        f.write(json.dumps(event(event_id="a")) + "\n{bad\n" + json.dumps(event(event_id="b")) + "\n")
+    raw = J.read_events(spark, p, mode="PERMISSIVE")
+    assert stage_events(raw, "quarantine").count() == 2
+    assert [r["reject_reason"] for r in rejected_events(raw).collect()] == ["malformed_record"]
+
+
+def test_build_selection_and_docs(spark, tmp_dir):
+    from adlens.plans import pipeline as P
+    assert P.select_models(["daily_refresh"]) == P.LAYERS["marts"]
+    assert P.select_models(["int_daily_metrics"]) == ["int_daily_metrics"]
+    raw = raw_events(spark, SF_SMALL)
+    with pytest.raises(P.BuildFailed):
+        P.build(spark, raw, tmp_dir + "/b", select=["marts"], run_tests=False)
+    res = P.build(spark, raw, tmp_dir + "/b", load_stamp=False)
+    assert set(res.tables) >= {"stg_mmp_events", "int_daily_metrics", "mart_cost_per_install",
+                               "test_report"}
+    stg = TB.read_table(spark, res.tables["stg_mmp_events"])
+    assert TB.column_docs(stg)["event_type"] == STAGED_DOCS["event_type"]
+    assert res.report.count() == 30
