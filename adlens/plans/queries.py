@@ -323,3 +323,16 @@ def incr_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     J.write_partitioned(second, landing, "batch", mode="append")
     ingest(spark, f"{landing}/batch=*", target, ckpt, rejects)
     return spark.read.parquet(target).select(*STG_KEEP)
+
+
+# --- Landing job (generate -> validate -> stamped JSONL batch) -------------------
+from adlens.plans.landing import land_synthetic  # noqa: E402
+
+
+@query("gen_landed_batch")
+def gen_landed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthetic events for every driver event key, validated, landed as a
+    stamped batch and read back with the fixed raw schema."""
+    landing = scratch_path(spark, "landing")
+    path = land_synthetic(spark, read_driver_events(spark, sf_dir), "event_id", landing)
+    return J.read_events(spark, path)

@@ -36,3 +36,17 @@ def test_repeatable_and_partition_independent(spark):
     b = sorted(tuple(r) for r in G.synth_events(spark, 300, num_partitions=7).collect())
     c = sorted(tuple(r) for r in G.synth_events(spark, 300, seed=7).collect())
     assert a == b and a != c
+
+
+def test_landing_refuses_invalid_batch(spark, tmp_dir):
+    import pytest
+    from adlens.plans.landing import InvalidBatch, land_events, land_synthetic
+    from adlens.sources.jsonl import read_events
+    keys = spark.range(50)
+    path = land_synthetic(spark, keys, "id", tmp_dir + "/land", batch="b1")
+    assert read_events(spark, path).count() == 50
+    bad = G.synth_from_keys(keys, "id").withColumn("platform", F.lit("ios"))
+    with pytest.raises(InvalidBatch):
+        land_events(bad, tmp_dir + "/land", "synth_key", batch="b2")
+    import os
+    assert not os.path.exists(tmp_dir + "/land/batch=b2")
