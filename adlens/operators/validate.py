@@ -214,17 +214,24 @@ def batch_verdict(validated: DataFrame) -> DataFrame:
                          F.count_if(~F.col("is_valid")).alias("invalid_count"))
 
 
-def error_summaries(validated: DataFrame, key: str) -> DataFrame:
-    """``Event <key>: e1; e2`` for every invalid line (stays distributed)."""
+def error_summaries(validated: DataFrame, key: str | list[str]) -> DataFrame:
+    """``Event <key>: e1; e2`` for every invalid line (stays distributed).
+
+    ``key`` names the column(s) that locate a line, e.g. ``["file_path",
+    "line_id"]`` for landed files (joined with ``:``); a distributed read
+    has no global line number.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    where = F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
     return (validated.filter(~F.col("is_valid"))
-                     .select(F.col(key), F.concat(F.lit("Event "), F.col(key).cast("string"),
-                                                  F.lit(": "), F.concat_ws("; ", "errors"))
-                             .alias("summary")))
+                     .select(*keys, F.concat(F.lit("Event "), where, F.lit(": "),
+                                             F.concat_ws("; ", "errors")).alias("summary")))
 
 
-def first_errors(validated: DataFrame, key: str, n: int = 10) -> DataFrame:
+def first_errors(validated: DataFrame, key: str | list[str], n: int = 10) -> DataFrame:
     """The first ``n`` error summaries by key (top-k, each task keeps n)."""
-    return error_summaries(validated, key).orderBy(key).limit(n)
+    keys = [key] if isinstance(key, str) else list(key)
+    return error_summaries(validated, keys).orderBy(*keys).limit(n)
 
 
 def errors_by_rule(validated: DataFrame) -> DataFrame:

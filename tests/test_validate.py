@@ -90,3 +90,14 @@ def test_no_filter_pushed_through_parse(spark):
     df = spark.createDataFrame([(0, json.dumps(VALID))], "line_id long, line string")
     q = V.first_errors(V.validate_lines(df), "line_id")
     assert len(q._jdf.queryExecution().optimizedPlan().toString()) < 60000
+
+
+def test_error_summaries_with_file_position(spark, tmp_dir):
+    from adlens.sources.jsonl import read_lines
+    with open(tmp_dir + "/a.jsonl", "w") as f:
+        f.write(json.dumps(VALID) + "\n" + _with(platform="ios") + "\n")
+    lines = read_lines(spark, tmp_dir + "/a.jsonl").withColumn(
+        "line_id", F.get_json_object("line", "$.event_id"))
+    out = V.first_errors(V.validate_lines(lines), ["file_path", "line_id"]).collect()
+    assert len(out) == 1 and out[0]["summary"].startswith("Event file:")
+    assert out[0]["summary"].endswith(":test-123: Invalid platform: ios. Must be one of ['iOS', 'Android']")
