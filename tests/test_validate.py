@@ -24,7 +24,7 @@ def _with(**kw):
     return json.dumps(d)
 
 
-def test_reference_fixtures(spark):
+def test_validator_unit_fixtures(spark):
     out = _validate(spark, [json.dumps(VALID), _with(event_type=KeyError),
                             _with(event_type="invalid_type"), _with(cost_usd=-5.50)])
     assert out[0]["is_valid"] and out[0]["errors"] == []
