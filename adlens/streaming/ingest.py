@@ -19,7 +19,6 @@ date-partitioned staged table:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from adlens.constants import RAW_SCHEMA
 from adlens.operators.incremental import upsert, write_partitioned_by_date
@@ -31,10 +30,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).limit(0).collect()
         return True
-    except Exception:  # noqa: BLE001 - missing path
+    except Exception:  # noqa: BLE001 - missing or empty path
         return False
 
 
+def staged_schema(spark: SparkSession):
+    return stage_events(spark.createDataFrame([], RAW_SCHEMA)).schema
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, target: str,
                 rejects: str | None, epoch_id: int) -> None:
     checkpoint_root(spark)  # make sure a reliable checkpoint folder is set
@@ -42,12 +45,10 @@ def merge_batch(spark: SparkSession, batch: DataFrame, target: str,
     if rejects:
         (rejected_events(batch, mode="quarantine").write.mode("overwrite")
          .parquet(f"{rejects}/epoch={epoch_id}"))
-    if _exists(spark, target):
-        touched = staged.select("event_date").distinct()
-        current = spark.read.parquet(target).join(touched, "event_date", "left_semi")
-        merged = upsert(current.select(*staged.columns), staged, "event_id")
-    else:
-        merged = staged
+    touched = staged.select("event_date").distinct()
+    current = (spark.read.schema(staged.schema).parquet(target)
+               .join(touched, "event_date", "left_semi"))
+    merged = upsert(current.select(*staged.columns), staged, "event_id")
     write_partitioned_by_date(merged.checkpoint(eager=True), target)
 
 
@@ -55,6 +56,11 @@ def ingest(spark: SparkSession, landing_glob: str, target: str,
            checkpoint: str | None = None, rejects: str | None = None) -> None:
     """Process every batch landed under ``landing_glob`` not yet ingested."""
     checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    if not _exists(spark, target):
+        # An empty, date-partitioned target: every micro-batch can then read
+        # it with the staged schema and merge, with no existence probing.
+        spark.createDataFrame([], staged_schema(spark)).write.mode("append") \
+             .partitionBy("event_date").parquet(target)
     stream = (spark.readStream.schema(RAW_SCHEMA)
               .option("mode", "PERMISSIVE")
               .option("allowNonNumericNumbers", "false")
