@@ -13,8 +13,13 @@ differences are handled explicitly:
 
 from __future__ import annotations
 
-from adlens.constants import EVENT_TYPES
-from adlens.sources.driver_events import RAW_SQL
+from adlens.constants import (
+    EVENT_TYPES, REQUIRED_FIELDS, SAMPLE_APPS, SAMPLE_CAMPAIGNS, VALID_EVENT_TYPES, VALID_PLATFORMS,
+)
+from adlens.operators.checks import Check, DECLARED_CHECKS
+from adlens.operators.synth import COST_RANGES, WEIGHTED_FIELDS, cumulative
+from adlens.operators.validate import _ISO, _NUMERIC_STRING, _OFFSET, _TIME, _pylist
+from adlens.sources.driver_events import LINES_SQL, RAW_SQL
 
 
 def rnd(x: str, places: int) -> str:
@@ -253,7 +258,6 @@ FROM (SELECT grain, period, partner, {big('SUM(installs)')} AS installs,
 
 
 # --- Data tests ---------------------------------------------------------------
-from adlens.operators.checks import DECLARED_CHECKS, Check  # noqa: E402
 
 
 def _check_expr(c: Check) -> str:
@@ -366,9 +370,6 @@ GROUP BY event_date""")
 
 
 # --- Raw-event validator --------------------------------------------------------
-from adlens.constants import REQUIRED_FIELDS, VALID_EVENT_TYPES, VALID_PLATFORMS  # noqa: E402
-from adlens.operators.validate import _ISO, _NUMERIC_STRING, _OFFSET, _TIME, _pylist  # noqa: E402
-from adlens.sources.driver_events import LINES_SQL  # noqa: E402
 
 
 def _t(f: str) -> str:
@@ -500,8 +501,6 @@ FROM (
 
 
 # --- Synthetic events -----------------------------------------------------------
-from adlens.operators.synth import COST_RANGES, WEIGHTED_FIELDS, cumulative  # noqa: E402
-from adlens.constants import SAMPLE_APPS, SAMPLE_CAMPAIGNS  # noqa: E402
 
 _SEED, _DAYS, _AS_OF = 42, 30, "2026-02-12 00:00:00"
 

@@ -12,7 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlens.constants import METRIC_DOCS
+from adlens.operators import checks as C
+from adlens.operators import incremental as INC
+from adlens.operators import reports as R
+from adlens.operators import synth as G
+from adlens.operators import validate as V
+from adlens.operators.staging import rejects_by_reason
+from adlens.plans import pipeline as P
+from adlens.plans.landing import land_synthetic
 from adlens.plans.layers import Layers
+from adlens.session import scratch_path
+from adlens.sources import jsonl as J
+from adlens.sources import tables as TB
+from adlens.sources.driver_events import raw_events, read_driver_events, validation_lines
+from adlens.streaming.ingest import ingest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -39,7 +53,6 @@ for _name in ("stg_mmp_events", "int_daily_metrics", "int_weekly_metrics",
 
 
 # --- Validation and report queries (V1-V12, dashboard views) ---------------
-from adlens.operators import reports as R  # noqa: E402
 
 
 def _l(spark: SparkSession, sf_dir: str) -> Layers:
@@ -82,7 +95,6 @@ for _name in _REPORTS:
 
 
 # --- Data tests (T1-T9) ------------------------------------------------------
-from adlens.operators import checks as C  # noqa: E402
 
 _CHECK_TABLES = ("stg_mmp_events", "mart_installs_reinstalls", "mart_click_through_rate",
                  "mart_cost_per_install")
@@ -138,12 +150,6 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- Sources, sinks, staging extras (S1-S12, P7-P9, F4) ----------------------
-from adlens.constants import METRIC_DOCS  # noqa: E402
-from adlens.operators.staging import rejects_by_reason  # noqa: E402
-from adlens.session import scratch_path  # noqa: E402
-from adlens.sources import jsonl as J  # noqa: E402
-from adlens.sources import tables as TB  # noqa: E402
-from adlens.sources.driver_events import raw_events  # noqa: E402
 
 
 def batch_of(ts: F.Column) -> F.Column:
@@ -203,7 +209,6 @@ def stg_rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- Incremental (X1-X3) -----------------------------------------------------
-from adlens.operators import incremental as INC  # noqa: E402
 
 STG_KEEP = ["event_id", "event_date", "event_type", "partner", "platform", "cost_usd"]
 
@@ -243,8 +248,6 @@ def out_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- Raw-event validator (R1-R11) ---------------------------------------------
-from adlens.operators import validate as V  # noqa: E402
-from adlens.sources.driver_events import validation_lines  # noqa: E402
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,8 +267,6 @@ QUERIES.update(_VALIDATOR)
 
 
 # --- Synthetic events (G1-G7) ---------------------------------------------------
-from adlens.operators import synth as G  # noqa: E402
-from adlens.sources.driver_events import read_driver_events  # noqa: E402
 
 
 def _synth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,8 +280,6 @@ QUERIES["gen_distribution_check"] = lambda s, d: G.distribution_check(_synth(s,
 
 
 # --- Pipeline build and streaming ingest (S8-S11, X1-X3 as a stream) -------------
-from adlens.plans import pipeline as P  # noqa: E402
-from adlens.streaming.ingest import ingest  # noqa: E402
 
 
 def _build(spark: SparkSession, sf_dir: str, select=None) -> P.BuildResult:
@@ -326,7 +325,6 @@ def incr_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- Landing job (generate -> validate -> stamped JSONL batch) -------------------
-from adlens.plans.landing import land_synthetic  # noqa: E402
 
 
 @query("gen_landed_batch")
