@@ -574,3 +574,8 @@ register("build_test_report", _report_sql(DECLARED_CHECKS))
 register("incr_stream_ingest", f"SELECT {_STG_KEEP} FROM stg_mmp_events")
 register("gen_landed_batch", 'SELECT event_id, "timestamp", event_type, partner, cost_usd, app_id, '
          "campaign_id, platform, country_code FROM gen", _GEN_CTES)
+register("src_inventory_by_batch", f"""
+SELECT COALESCE('mmp_events_' || replace(substr("timestamp", 1, 10), '-', '') || '_000000',
+                '__HIVE_DEFAULT_PARTITION__') AS batch,
+       {big('COUNT(*)')} AS event_count, true AS has_bytes
+FROM raw GROUP BY 1""")

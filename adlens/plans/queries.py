@@ -334,3 +334,11 @@ def gen_landed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     path = land_synthetic(spark, read_driver_events(spark, sf_dir), "event_id", landing)
     return J.read_events(spark, path)
+
+
+@query("src_inventory_by_batch")
+def src_inventory_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file inventory rolled up per landed batch: files, bytes, events."""
+    inv = src_file_inventory(spark, sf_dir)
+    return inv.groupBy("batch").agg(F.sum("event_count").alias("event_count"),
+                                    (F.sum("size_bytes") > 0).alias("has_bytes"))
