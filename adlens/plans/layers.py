@@ -2,7 +2,7 @@
 
 ``Layers(spark, sf_dir)`` resolves every model by name (one catalog instead
 of per-layer schema names). Staging is lazy; the daily groups behind all
-grains and marts are computed once per ``Layers`` and checkpointed, so any
+grains and marts are computed once per ``Layers`` and written, so any
 query over several marts scans the events a single time.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adlens.operators import marts as M
 from adlens.operators import metrics as MET
 from adlens.operators.staging import stage_events
-from adlens.session import checkpoint_root
+from adlens.session import materialize
 from adlens.sources.driver_events import raw_events
 
 
@@ -38,15 +38,14 @@ class Layers:
 
     @cached_property
     def _daily_parts(self) -> DataFrame:
-        """Daily groups with exact (decimal) measures, checkpointed once.
+        """Daily groups with exact (decimal) measures, written once.
 
         Their size is days x partners x platforms whatever the event volume,
-        and every grain and mart is derived from them; checkpointing them to
-        the shared checkpoint folder means a plan that needs several marts
-        scans the events once, and lineage stops here.
+        and every grain and mart is derived from them; writing them to the
+        shared checkpoint folder means a plan that needs several marts scans
+        the events once, and lineage stops here.
         """
-        checkpoint_root(self.spark)
-        return MET.daily_parts(self.stg_mmp_events).checkpoint(eager=True)
+        return materialize(MET.daily_parts(self.stg_mmp_events), "daily-parts")
 
     @cached_property
     def _grains(self) -> dict[str, DataFrame]:

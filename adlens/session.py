@@ -61,3 +61,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/adlens-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to a fresh folder under the shared checkpoint folder
+    and return it read back: lineage stops here and the plan runs once.
+
+    (An eager ``DataFrame.checkpoint()`` runs one job to count and another
+    to write; the second re-reads its inputs unless they end in a shuffle.)
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -11,9 +11,9 @@ date-partitioned staged table:
 * the touched ``event_date`` partitions of the target are read back (the
   join on the partition column prunes the rest), upserted by ``event_id``
   (new row wins) and written with dynamic partition overwrite;
-* the merged rows are checkpointed to the cluster's checkpoint folder first,
-  which cuts the read-from-target lineage before those partitions are
-  replaced.
+* the merged rows are first written once below the cluster's checkpoint
+  folder, which cuts the read-from-target lineage before those partitions
+  are replaced.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adlens.constants import RAW_SCHEMA
 from adlens.operators.incremental import upsert, write_partitioned_by_date
 from adlens.operators.staging import rejected_events, stage_events
-from adlens.session import checkpoint_root, scratch_path
+from adlens.session import materialize, scratch_path
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -40,7 +40,6 @@ def staged_schema(spark: SparkSession):
 
 def merge_batch(spark: SparkSession, batch: DataFrame, target: str,
                 rejects: str | None, epoch_id: int) -> None:
-    checkpoint_root(spark)  # make sure a reliable checkpoint folder is set
     staged = stage_events(batch, mode="quarantine")
     if rejects:
         (rejected_events(batch, mode="quarantine").write.mode("overwrite")
@@ -49,7 +48,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, target: str,
     current = (spark.read.schema(staged.schema).parquet(target)
                .join(touched, "event_date", "left_semi"))
     merged = upsert(current.select(*staged.columns), staged, "event_id")
-    write_partitioned_by_date(merged.checkpoint(eager=True), target)
+    write_partitioned_by_date(materialize(merged, "ingest-merge"), target)
 
 
 def ingest(spark: SparkSession, landing_glob: str, target: str,
