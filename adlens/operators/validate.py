@@ -272,29 +272,34 @@ def batch_summary(events: DataFrame) -> DataFrame:
     """Batch totals plus per-type, per-partner and per-platform counts,
     costs and shares.
 
-    One grouping-sets aggregate; the empty set ``()`` is the ``total`` row.
-    The totals every row needs come from a scalar subquery that reads the
-    same grouped rows with conditional sums (no filter), so its plan equals
-    the main one and the shuffle is shared; no dimension is gathered into a
-    single task.
+    One grouping-sets aggregate gives the dimension rows; the batch totals
+    are a global aggregate read as a scalar subquery (one row, evaluated
+    once), which also fills the ``total`` row. An empty batch yields just
+    the ``total`` row, with zero events and null shares; no dimension is
+    gathered into a single task.
     """
     cost = F.col("cost_usd").cast("decimal(28,6)")
-    g = (events.groupingSets([["event_type"], ["partner"], ["platform"], []],
+    g = (events.groupingSets([["event_type"], ["partner"], ["platform"]],
                              "event_type", "partner", "platform")
                .agg(F.count(F.lit(1)).alias("events"), F.sum(cost).alias("_cost"),
                     F.grouping_id().alias("_gid")))
-    is_total = F.col("_gid") == 7
-    totals = g.select(F.struct(F.sum(F.when(is_total, F.col("events"))).alias("n"),
-                               F.sum(F.when(is_total, F.col("_cost"))).cast("double").alias("c"))
-                      ).scalar()
+    totals = events.select(F.struct(F.count(F.lit(1)).alias("n"),
+                                    F.sum(cost).cast("double").alias("c"))).scalar()
     n, c = totals.getField("n"), totals.getField("c")
+
+    def shares(events_col: Column, cost_col: Column) -> list[Column]:
+        return [events_col.alias("events"), cost_col.alias("cost"),
+                round_half_up(safe_divide(events_col * F.lit(100.0), n.cast("double")), 1)
+                .alias("percentage"),
+                n.alias("total_events"), c.alias("total_cost"),
+                round_half_up(safe_divide(c, n), 2).alias("avg_cost")]
     dim = (F.when(F.col("_gid") == 3, F.lit("event_type"))
-            .when(F.col("_gid") == 5, F.lit("partner"))
-            .when(F.col("_gid") == 6, F.lit("platform")).otherwise(F.lit("total")))
+            .when(F.col("_gid") == 5, F.lit("partner")).otherwise(F.lit("platform")))
     value = F.coalesce(F.col("event_type"), F.col("partner"), F.col("platform"))
-    return g.select(dim.alias("dimension"), value.alias("value"), "events",
-                    F.col("_cost").cast("double").alias("cost"),
-                    round_half_up(safe_divide(F.col("events") * F.lit(100.0), n.cast("double")), 1)
-                    .alias("percentage"),
-                    n.alias("total_events"), c.alias("total_cost"),
-                    round_half_up(safe_divide(c, n), 2).alias("avg_cost"))
+    rows = g.select(dim.alias("dimension"), value.alias("value"),
+                    *shares(F.col("events"), F.col("_cost").cast("double")))
+    # One-row carrier for the scalar totals (no data of its own).
+    total = events.sparkSession.range(1).select(
+        F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("value"),
+        *shares(n, c))
+    return rows.unionByName(total)

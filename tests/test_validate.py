@@ -75,7 +75,8 @@ def test_distribution_total_and_empty_batch(spark):
     empty = df.filter(F.lit(False))
     verdict = V.batch_verdict(V.validate_lines(empty)).collect()[0]
     assert (verdict["valid_count"], verdict["invalid_count"]) == (0, 0)
-    assert V.batch_summary(V.parsed_events(V.validate_lines(empty))).count() == 0
+    summary = V.batch_summary(V.parsed_events(V.validate_lines(empty))).collect()
+    assert [(r["dimension"], r["events"], r["percentage"]) for r in summary] == [("total", 0, None)]
 
 
 def test_summary_shares(spark):
