@@ -52,18 +52,25 @@ def merge_batch(spark: SparkSession, batch: DataFrame, target: str,
 
 
 def ingest(spark: SparkSession, landing_glob: str, target: str,
-           checkpoint: str | None = None, rejects: str | None = None) -> None:
-    """Process every batch landed under ``landing_glob`` not yet ingested."""
+           checkpoint: str | None = None, rejects: str | None = None,
+           max_files_per_trigger: int | None = None) -> None:
+    """Process every batch landed under ``landing_glob`` not yet ingested.
+
+    ``max_files_per_trigger`` bounds each micro-batch; ``availableNow`` then
+    works through a large backlog in several bounded merges.
+    """
     checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
     if not _exists(spark, target):
         # An empty, date-partitioned target: every micro-batch can then read
         # it with the staged schema and merge, with no existence probing.
         spark.createDataFrame([], staged_schema(spark)).write.mode("append") \
              .partitionBy("event_date").parquet(target)
-    stream = (spark.readStream.schema(RAW_SCHEMA)
+    reader = (spark.readStream.schema(RAW_SCHEMA)
               .option("mode", "PERMISSIVE")
-              .option("allowNonNumericNumbers", "false")
-              .json(landing_glob))
+              .option("allowNonNumericNumbers", "false"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.json(landing_glob)
     q = (stream.writeStream
          .foreachBatch(lambda df, epoch: merge_batch(spark, df, target, rejects, epoch))
          .option("checkpointLocation", checkpoint)

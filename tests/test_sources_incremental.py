@@ -125,3 +125,13 @@ def test_build_selection_and_docs(spark, tmp_dir):
     stg = TB.read_table(spark, res.tables["stg_mmp_events"])
     assert TB.column_docs(stg)["event_type"] == STAGED_DOCS["event_type"]
     assert res.report.count() == 30
+
+
+def test_stream_ingest_bounded_micro_batches(spark, tmp_dir):
+    from adlens.streaming.ingest import ingest
+    raw = raw_events(spark, SF_SMALL).repartition(4)
+    J.write_events(raw, tmp_dir + "/land", batch="b1")
+    ingest(spark, tmp_dir + "/land/batch=*", tmp_dir + "/tgt", tmp_dir + "/ck",
+           max_files_per_trigger=1)
+    assert spark.read.parquet(tmp_dir + "/tgt").count() == stage_events(raw).count()
+    assert len([p for p in os.listdir(tmp_dir + "/ck/commits") if p.isdigit()]) == 4
