@@ -572,6 +572,7 @@ register("build_mart_click_through_rate", "SELECT * FROM mart_click_through_rate
 register("build_int_monthly_metrics", "SELECT * FROM int_monthly_metrics")
 register("build_test_report", _report_sql(DECLARED_CHECKS))
 register("incr_stream_ingest", f"SELECT {_STG_KEEP} FROM stg_mmp_events")
+register("incr_stream_marts", "SELECT * FROM mart_click_through_rate")
 register("gen_landed_batch", 'SELECT event_id, "timestamp", event_type, partner, cost_usd, app_id, '
          "campaign_id, platform, country_code FROM gen", _GEN_CTES)
 register("src_inventory_by_batch", f"""

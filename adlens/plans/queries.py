@@ -26,7 +26,9 @@ from adlens.session import scratch_path
 from adlens.sources import jsonl as J
 from adlens.sources import tables as TB
 from adlens.sources.driver_events import raw_events, read_driver_events, validation_lines
-from adlens.streaming.ingest import ingest
+from adlens.operators import marts as M
+from adlens.operators import metrics as MET
+from adlens.streaming.ingest import ingest, read_daily
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -305,10 +307,9 @@ def build_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _build(spark, sf_dir).report
 
 
-@query("incr_stream_ingest")
-def incr_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land events in two runs (the second re-sends a day) and ingest each
-    run incrementally; the target holds every staged event exactly once."""
+def _two_landings(spark: SparkSession, sf_dir: str, daily_path: str | None = None) -> str:
+    """Land events in two runs (the second re-sends a day), ingesting each
+    run incrementally; returns the staged target's path."""
     raw = raw_events(spark, sf_dir).withColumn("batch", batch_of(F.col("timestamp")))
     month = F.substring(F.col("timestamp"), 1, 7)
     first_month = raw.select(F.min(month)).scalar()
@@ -316,12 +317,29 @@ def incr_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, target = scratch_path(spark, "landing"), scratch_path(spark, "staged")
     ckpt, rejects = scratch_path(spark, "ingest-ckpt"), scratch_path(spark, "rejects")
     J.write_partitioned(raw.filter(month == first_month), landing, "batch")
-    ingest(spark, f"{landing}/batch=*", target, ckpt, rejects)
+    ingest(spark, f"{landing}/batch=*", target, ckpt, rejects, daily_path=daily_path)
     second = raw.filter(~F.coalesce(month == first_month, F.lit(False))
                         | (F.col("batch") == last_day_first))
     J.write_partitioned(second, landing, "batch", mode="append")
-    ingest(spark, f"{landing}/batch=*", target, ckpt, rejects)
-    return spark.read.parquet(target).select(*STG_KEEP)
+    ingest(spark, f"{landing}/batch=*", target, ckpt, rejects, daily_path=daily_path)
+    return target
+
+
+@query("incr_stream_ingest")
+def incr_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two incremental runs; the target holds every staged event exactly once."""
+    return spark.read.parquet(_two_landings(spark, sf_dir)).select(*STG_KEEP)
+
+
+@query("incr_stream_marts")
+def incr_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CTR mart over daily metrics maintained per micro-batch (only the
+    touched dates are recomputed); equals a full rebuild."""
+    daily_path = scratch_path(spark, "daily")
+    _two_landings(spark, sf_dir, daily_path)
+    daily = read_daily(spark, daily_path)
+    return M.mart_click_through_rate(daily, MET.roll_up_published(daily, "weekly", False),
+                                     MET.roll_up_published(daily, "monthly", False))
 
 
 # --- Landing job (generate -> validate -> stamped JSONL batch) -------------------
