@@ -135,3 +135,16 @@ def test_stream_ingest_bounded_micro_batches(spark, tmp_dir):
            max_files_per_trigger=1)
     assert spark.read.parquet(tmp_dir + "/tgt").count() == stage_events(raw).count()
     assert len([p for p in os.listdir(tmp_dir + "/ck/commits") if p.isdigit()]) == 4
+
+
+def test_catalog_table_with_relation_and_column_comments(spark):
+    name = "adlens_test_docs"
+    df = spark.createDataFrame([(1, 2.0)], "installs long, total_cost double")
+    try:
+        TB.save_table(spark, df, name, docs=METRIC_DOCS, table_comment="Daily metrics")
+        rows = {r["col_name"]: (r["data_type"], r["comment"])
+                for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        assert rows["installs"][1] == METRIC_DOCS["installs"]
+        assert rows["Comment"][0] == "Daily metrics"
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
