@@ -40,3 +40,19 @@ def test_hash_draws_uniform_and_repeatable(spark):
     assert 0 <= stats[0] and stats[1] < 1 and abs(stats[2] - 0.5) < 0.01 and stats[3] == 20000
     assert df.limit(5).collect() == df.limit(5).collect()
     assert len(df.first()["uid"]) == 36
+
+
+def test_scratch_and_materialize_use_the_shared_checkpoint_folder(spark):
+    from adlens.session import checkpoint_root, materialize, scratch_path
+    root = checkpoint_root(spark)
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a.startswith(root) and b.startswith(root) and a != b
+    df = materialize(spark.range(10).withColumn("y", F.col("id") * 2), "t")
+    assert df.count() == 10 and "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_public_api_imports():
+    import adlens
+    for name in ("build", "stage_events", "grain_metrics", "run_checks", "validate_lines",
+                 "synth_events", "ingest", "read_events", "upsert"):
+        assert callable(getattr(adlens, name))
