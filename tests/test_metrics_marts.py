@@ -86,3 +86,12 @@ def test_load_stamp_and_present(spark):
     assert "dbt_updated_at" in d.columns
     assert MET.present(d).count() == 1 and M.present(M.mart_installs_reinstalls(
         *MET.all_grain_metrics(stg, load_stamp=False).values())).count() == 3
+
+
+def test_double_cost_option_is_close_to_exact(spark):
+    stg = stage_events(raw_events(spark, SF_SMALL))
+    exact = {tuple(r[:3]): r["total_cost"] for r in MET.grain_metrics(stg, "daily", load_stamp=False).collect()}
+    fast = {tuple(r[:3]): r["total_cost"]
+            for r in MET.grain_metrics(stg, "daily", exact_cost=False, load_stamp=False).collect()}
+    assert exact.keys() == fast.keys()
+    assert all(abs(exact[k] - fast[k]) < 1e-6 for k in exact)
