@@ -78,13 +78,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] | None = None,
           mode: str = "strict", load_stamp: bool | Column = True, run_tests: bool = True,
-          fail_on_error: bool = False, staging: str = "table") -> BuildResult:
+          fail_on_error: bool = False, staging: str = "table",
+          exact_cost: bool = True) -> BuildResult:
     """Build the selected models under ``out_dir``.
 
     ``staging="table"`` (default) writes the staged events once, partitioned
     by ``event_date``, so the raw JSON is parsed a single time and every
     later job reads only the Parquet columns it needs. ``staging="view"``
     keeps the staging model lazy, as a view over the raw source.
+    ``exact_cost=False`` sums costs as doubles (for costs finer than 1e-6;
+    the default decimal sums are exact for cents and independent of
+    partitioning).
     """
     if staging not in ("table", "view"):
         raise ValueError("staging must be 'table' or 'view'")
@@ -116,7 +120,7 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
         return df
 
     daily = materialize("intermediate", "int_daily_metrics",
-                        lambda: MET.grain_metrics(stg, "daily", load_stamp=load_stamp))
+                        lambda: MET.grain_metrics(stg, "daily", exact_cost, load_stamp))
     weekly = materialize("intermediate", "int_weekly_metrics",
                          lambda: daily and MET.roll_up_published(daily, "weekly", load_stamp))
     monthly = materialize("intermediate", "int_monthly_metrics",
