@@ -148,3 +148,17 @@ def test_catalog_table_with_relation_and_column_comments(spark):
         assert rows["Comment"][0] == "Daily metrics"
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_stream_merge_is_idempotent_on_retry(spark, tmp_dir):
+    from adlens.streaming.ingest import merge_batch, read_daily, staged_schema
+    raw = raw_events(spark, SF_SMALL)
+    target, daily = tmp_dir + "/tgt", tmp_dir + "/daily"
+    spark.createDataFrame([], staged_schema(spark)).write.partitionBy("event_date").parquet(target)
+    merge_batch(spark, raw, target, tmp_dir + "/rej", 0, daily)
+    first = sorted(tuple(r) for r in spark.read.parquet(target).collect())
+    first_daily = sorted(tuple(r) for r in read_daily(spark, daily).collect())
+    merge_batch(spark, raw, target, tmp_dir + "/rej", 0, daily)  # the same epoch, retried
+    assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == first
+    assert sorted(tuple(r) for r in read_daily(spark, daily).collect()) == first_daily
+    assert spark.read.parquet(tmp_dir + "/rej").count() == raw.count() - len(first)
