@@ -9,6 +9,8 @@ Design rules for scale and repeatability:
   does not depend on the order rows arrive in.
 * Top-k reports use ``orderBy().limit()`` (TakeOrderedAndProject: each task
   keeps k rows) with a total order; the limit is the feature there.
+* Reports keep the source queries' ORDER BY (with a tie-break for a total
+  order); they sort small aggregated results only.
 """
 
 from __future__ import annotations
@@ -55,14 +57,16 @@ def record_count(stg: DataFrame) -> DataFrame:
 def event_distribution(stg: DataFrame) -> DataFrame:
     g = stg.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"),
                                       exact_sum("cost_usd").alias("_cost"))
-    return g.select("event_type", "event_count",
-                    _share(g, "event_count", 1).alias("percentage"),
-                    round_half_up(as_double(F.col("_cost")), 2).alias("total_cost"))
+    return (g.select("event_type", "event_count",
+                     _share(g, "event_count", 1).alias("percentage"),
+                     round_half_up(as_double(F.col("_cost")), 2).alias("total_cost"))
+             .orderBy(F.col("event_count").desc(), "event_type"))
 
 
 def partner_distribution(stg: DataFrame) -> DataFrame:
     g = stg.groupBy("partner").agg(F.count(F.lit(1)).alias("event_count"))
-    return g.select("partner", "event_count", _share(g, "event_count", 1).alias("percentage"))
+    return (g.select("partner", "event_count", _share(g, "event_count", 1).alias("percentage"))
+             .orderBy(F.col("event_count").desc(), "partner"))
 
 
 def daily_summary(daily: DataFrame, top: int = 20) -> DataFrame:
@@ -83,11 +87,13 @@ def _ratio_stats(mart: DataFrame, keys: list[str], col: str, prefix: str) -> Dat
 
 
 def ctr_stats(ctr_mart: DataFrame) -> DataFrame:
-    return _ratio_stats(ctr_mart, ["grain", "partner"], "ctr_percentage", "ctr_pct")
+    return (_ratio_stats(ctr_mart, ["grain", "partner"], "ctr_percentage", "ctr_pct")
+            .orderBy("grain", F.col("avg_ctr_pct").desc(), "partner"))
 
 
 def cpi_stats(cpi_mart: DataFrame) -> DataFrame:
-    return _ratio_stats(cpi_mart, ["grain", "platform"], "cpi_direct_rounded", "cpi")
+    return (_ratio_stats(cpi_mart, ["grain", "platform"], "cpi_direct_rounded", "cpi")
+            .orderBy("grain", "avg_cpi", "platform"))
 
 
 def grain_coverage(ir: DataFrame, ctr: DataFrame, cpi: DataFrame) -> DataFrame:
@@ -97,21 +103,23 @@ def grain_coverage(ir: DataFrame, ctr: DataFrame, cpi: DataFrame) -> DataFrame:
         part = (mart.groupBy("grain").agg(F.count(F.lit(1)).alias("record_count"))
                     .select(F.lit(name).alias("mart_name"), "grain", "record_count"))
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.orderBy("mart_name", "grain")
 
 
 def install_volume(ir: DataFrame) -> DataFrame:
     return (ir.filter(F.col("grain") == "monthly").groupBy("partner", "platform")
               .agg(F.sum("installs").alias("total_installs"),
                    F.sum("reinstalls").alias("total_reinstalls"),
-                   round_half_up(as_double(exact_sum("total_install_cost")), 2).alias("total_cost")))
+                   round_half_up(as_double(exact_sum("total_install_cost")), 2).alias("total_cost"))
+              .orderBy(F.col("total_installs").desc(), "partner", "platform"))
 
 
 def cost_efficiency(cpi: DataFrame) -> DataFrame:
     return (cpi.filter(F.col("grain") == "daily").groupBy("partner")
                .agg(round_half_up(exact_avg("cpi_direct_rounded"), 2).alias("avg_cpi"),
                     F.sum("installs").alias("total_installs"),
-                    round_half_up(as_double(exact_sum("install_cost")), 2).alias("total_spend")))
+                    round_half_up(as_double(exact_sum("install_cost")), 2).alias("total_spend"))
+               .orderBy("avg_cpi", "partner"))
 
 
 def daily_trend(daily: DataFrame, top: int = 30) -> DataFrame:
@@ -140,11 +148,12 @@ def cost_share(stg: DataFrame) -> DataFrame:
     g = stg.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"),
                                       exact_sum("cost_usd").alias("_cost"),
                                       F.count("cost_usd").alias("_n"))
-    return g.select("event_type", "event_count",
-                    round_half_up(as_double(F.col("_cost")), 2).alias("total_cost"),
-                    round_half_up(safe_divide(as_double(F.col("_cost")), F.col("_n")), 4)
-                    .alias("avg_cost_per_event"),
-                    _share(g, "_cost", 1).alias("cost_percentage"))
+    return (g.select("event_type", "event_count",
+                     round_half_up(as_double(F.col("_cost")), 2).alias("total_cost"),
+                     round_half_up(safe_divide(as_double(F.col("_cost")), F.col("_n")), 4)
+                     .alias("avg_cost_per_event"),
+                     _share(g, "_cost", 1).alias("cost_percentage"))
+             .orderBy(F.col("total_cost").desc(), "event_type"))
 
 
 # Dashboard measures and views documented for the BI layer.

@@ -95,3 +95,13 @@ def test_double_cost_option_is_close_to_exact(spark):
             for r in MET.grain_metrics(stg, "daily", exact_cost=False, load_stamp=False).collect()}
     assert exact.keys() == fast.keys()
     assert all(abs(exact[k] - fast[k]) < 1e-6 for k in exact)
+
+
+def test_reports_keep_source_ordering(spark):
+    from adlens.plans.queries import QUERIES
+    v05 = [(r["grain"], r["avg_ctr_pct"]) for r in QUERIES["v05_ctr_stats"](spark, SF_SMALL).collect()]
+    assert v05 == sorted(v05, key=lambda t: (t[0], -(t[1] if t[1] is not None else float("-inf"))))
+    v08 = [r["total_installs"] for r in QUERIES["v08_install_volume"](spark, SF_SMALL).collect()]
+    assert v08 == sorted(v08, reverse=True)
+    v09 = [r["avg_cpi"] for r in QUERIES["v09_cost_efficiency"](spark, SF_SMALL).collect()]
+    assert v09 == sorted(v09)
