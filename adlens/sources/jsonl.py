@@ -56,7 +56,7 @@ def read_events(spark: SparkSession, path: str, mode: str = "FAILFAST",
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw text lines (``value``) plus the file each came from."""
+    """Raw text lines (``line``) plus the file each came from (``file_path``)."""
     return (spark.read.text(path)
             .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path")))
 
