@@ -38,6 +38,7 @@ def test_every_query_has_an_oracle_or_is_listing():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "ctr_percentage" in df.columns
+    assert E.entry(spark).schema == df.schema  # stable schema across calls
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
