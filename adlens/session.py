@@ -50,11 +50,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     and registered; on a cluster the configured shared location is used.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:  # a classic session; Spark Connect has no SparkContext here
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="adlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
