@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adlens.llm.common import read
 from adlens.llm.ngram_join import ngram_join
+from adlens.llm.quality import quality_scores
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op10_quality_classifier": op10_quality_classifier,
 }
