@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adlens.llm.common import read
+from adlens.llm.line_dedup import line_dedup
+from adlens.llm.mixing import mixed_words
 from adlens.llm.ngram_join import ngram_join
+from adlens.llm.packing import pack
 from adlens.llm.quality import quality_scores
 
 
@@ -19,7 +22,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(read(spark, sf_dir).select("doc_id", "text"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_words(read(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir)).drop("text_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
+    "op3_line_dedup": op3_line_dedup,
+    "op7_source_mixing": op7_source_mixing,
+    "op2_best_fit_packing": op2_best_fit_packing,
 }
