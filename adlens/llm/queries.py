@@ -12,6 +12,7 @@ from adlens.llm.mixing import mixed_words
 from adlens.llm.ngram_join import ngram_join
 from adlens.llm.packing import pack
 from adlens.llm.quality import quality_scores
+from adlens.llm.token_counts import token_counts
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,10 +35,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir)).drop("text_hash")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return token_counts(read(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op8_token_counts": op8_token_counts,
 }
