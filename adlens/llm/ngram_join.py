@@ -16,8 +16,8 @@ documents link when 100 * |intersection| >= 75 * |union|.
    document has are dropped. Documents with equal sets form one class.
 3. ``links``: classes meet on prefix shingles, pass the length and positional
    filters, are made distinct and verified once per pair, where a suffix
-   filter comes before the exact intersection. A few star rounds first link
-   each member to one leader of each shingle's group; afterwards only pairs
+   filter comes before the exact intersection. Star rounds first compare each
+   member with a few leaders of each shingle's group; afterwards only pairs
    of classes in different components are still looked at, all of them, so a
    group of thousands of near copies never emits all its pairs.
 4. Components of the links give each document its ``component_id``.
@@ -47,7 +47,8 @@ THRESHOLD = 75            # per cent of the union
 SKETCH_BITS = 26          # at most 2^26 cells of half a byte: 32 MB broadcast
 BUCKET_SHINGLES = 1 << 20  # aimed at in one counting group (4 MB)
 BLOCK_SHINGLES = 1 << 20   # gathered by a task before it ships its blocks
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+LEADERS = 4               # of one shingle's group in one star round
 
 
 def need(n: int, m: int, per_cent: int = THRESHOLD) -> int:
@@ -186,11 +187,16 @@ def _verify(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
 
 
 def _may_link(per_cent: int):
-    """Length and positional filter between members l and r of one shingle's group."""
+    """Length and positional filter between members l and r of one shingle's group.
+
+    Nothing in common stands before the first shingle that two sets share, so
+    there the rest of either set bounds the overlap; a pair that links passes
+    at that shingle, whatever its others say.
+    """
     n, m = F.col("n"), F.col("ln")
     least = F.ceil(F.lit(per_cent) * (n + m) / F.lit(100 + per_cent))
     return ((F.least(n, m) * 100 >= F.greatest(n, m) * per_cent)
-            & (F.least(n - F.col("pos"), m - F.col("lpos")) + F.least("pos", "lpos") >= least))
+            & (F.least(n - F.col("pos"), m - F.col("lpos")) >= least))
 
 
 def links(classes: DataFrame, per_cent: int = THRESHOLD) -> DataFrame:
@@ -211,9 +217,10 @@ def links(classes: DataFrame, per_cent: int = THRESHOLD) -> DataFrame:
             here = here.join(here.groupBy("token").agg(F.min("root").alias("p"), F.max("root").alias("q"))
                              .where("p < q").select("token"), "token")
         if turn < STAR_ROUNDS:
-            other = here.groupBy("token").agg(F.min(F.struct(
-                F.xxhash64("cls", F.lit(turn)).alias("h"), F.col("cls").alias("lcls"), F.col("n").alias("ln"),
-                F.col("pos").alias("lpos"), F.col("root").alias("lroot"))).alias("l")).select("token", "l.*").drop("h")
+            h = F.xxhash64("cls", F.lit(turn))
+            other = here.groupBy("token", F.pmod(h, F.lit(LEADERS))).agg(F.min(F.struct(
+                h.alias("h"), F.col("cls").alias("lcls"), F.col("n").alias("ln"), F.col("pos").alias("lpos"),
+                F.col("root").alias("lroot"))).alias("l")).select("token", "l.*").drop("h")
         else:
             other = here.select("token", F.col("cls").alias("lcls"), F.col("n").alias("ln"),
                                 F.col("pos").alias("lpos"), F.col("root").alias("lroot"))
