@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from adlens.llm.licenses import TEMPLATES
+
+_NOTICES = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in TEMPLATES)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 ORACLE: dict[str, str] = {
@@ -28,5 +31,62 @@ reach(a, b) AS (
 SELECT r.a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.b) AS component_id
 FROM reach r LEFT JOIN sizes s ON s.doc_id = r.a
 GROUP BY r.a
+""",
+    "op3_line_dedup": """
+WITH lines AS MATERIALIZED (
+  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+spots AS MATERIALIZED (
+  SELECT doc_id, pos, l[pos + 1:pos + 3] AS w
+  FROM (SELECT doc_id, l, unnest(range(0, len(l) - 2)) AS pos FROM lines)
+  WHERE trim(array_to_string(l[pos + 1:pos + 3], ''), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+later AS (
+  SELECT doc_id, pos
+  FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY w ORDER BY doc_id, pos) AS nth FROM spots)
+  WHERE nth > 1),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest([0, 1, 2]) AS k)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS text
+  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(0, len(l))) AS pos FROM lines) ANTI JOIN gone USING (doc_id, pos)
+  GROUP BY doc_id)
+SELECT a.doc_id, CASE WHEN a.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       coalesce(len(a.l), 0) AS n_lines, coalesce(len(a.l), 0) - coalesce(k.n, 0) AS n_removed
+FROM lines a LEFT JOIN kept k USING (doc_id)
+""",
+    "op9_exact_top_k": """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0)
+SELECT query_id, nth::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM scored)
+WHERE nth <= 10
+""",
+    "op6_license_scan": f"""
+WITH texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM documents),
+notices AS (
+  SELECT template, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM (VALUES {_NOTICES}) AS t(template, text)),
+parts AS MATERIALIZED (
+  SELECT DISTINCT template, array_to_string(w[i + 1:i + 5], ' ') AS shingle
+  FROM (SELECT template, w, unnest(range(0, len(w) - 4)) AS i FROM notices)),
+sizes AS (SELECT template, count(*) AS n FROM parts GROUP BY template),
+spots AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 5], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS i FROM texts)),
+hits AS (
+  SELECT doc_id, template, n, i, shingle, unnest([i // n, i // n - 1]) AS region
+  FROM spots JOIN parts USING (shingle) JOIN sizes USING (template)),
+regions AS (
+  SELECT doc_id, template, region, count(DISTINCT shingle) / any_value(n) AS containment, min(i) AS first_word
+  FROM hits WHERE region >= 0 GROUP BY ALL)
+SELECT doc_id, template, max(containment) AS containment, arg_min(first_word, (-containment, first_word)) AS first_word
+FROM regions WHERE containment >= 0.75 GROUP BY doc_id, template
 """,
 }

@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlens.llm.common import read
+from adlens.llm.fingerprints import edited_fingerprints
+from adlens.llm.knn import top_k
+from adlens.llm.licenses import license_matches
 from adlens.llm.line_dedup import line_dedup
 from adlens.llm.mixing import mixed_words
 from adlens.llm.ngram_join import ngram_join
 from adlens.llm.packing import pack
+from adlens.llm.pii import pseudonymise
 from adlens.llm.quality import quality_scores
 from adlens.llm.token_counts import token_counts
 
@@ -40,6 +45,24 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read(spark, sf_dir))
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonymise(read(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "text", F.size("found").alias("n_values"),
+                      F.array_join(F.transform("found", lambda x: x["kind"]), ",").alias("kinds"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(read(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
@@ -47,4 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mixing": op7_source_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op8_token_counts": op8_token_counts,
+    "op4_document_fingerprints": op4_document_fingerprints,
+    "op9_exact_top_k": op9_exact_top_k,
+    "op5_pii_pseudonyms": op5_pii_pseudonyms,
+    "op6_license_scan": op6_license_scan,
 }
