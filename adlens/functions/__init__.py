@@ -5,6 +5,6 @@ from adlens.functions.dates import (  # noqa: F401
     timestamp_shape_ok, timestamp_text,
 )
 from adlens.functions.numeric import (  # noqa: F401
-    exact_cost, round_half_up, safe_divide,
+    exact_sum, round_half_up, safe_divide,
 )
 from adlens.functions.hashing import uniform_draw, uuid_from_hash  # noqa: F401

@@ -10,11 +10,12 @@ Generic tests (semantics of the usual schema-test package):
 * ``accepted_range``    - rows where (``where``) holds and ``c`` is outside
                           ``[lo, hi]`` (null passes)
 
-``run_checks`` evaluates a whole suite as one Spark job that scans each
-table once: a grouping-sets aggregate serves the grouped tests and the
-row-level ``count_if`` of all others (see ``_table_failures``). Only counts
-reach the report; failing rows stay distributed and are returned by the
-per-test functions.
+``run_checks`` evaluates a whole suite as one Spark job: per table one
+aggregate for all row-level and accepted-values tests, whose shuffle holds
+one row per value and task, and for each ``unique`` test a narrow aggregate of
+its own (key and count), the only one that moves a row per distinct key. Only
+counts reach the report; failing rows stay distributed and are returned by
+the per-test functions.
 """
 
 from __future__ import annotations
@@ -133,32 +134,34 @@ def _meta(check: Check) -> list[Column]:
             F.lit(check.severity).alias("severity")]
 
 
+def _unique_failures(df: DataFrame, check: Check) -> DataFrame:
+    """Values seen more than once, counted from a shuffle of key and count."""
+    return (unique(df.select(check.column), check.column)
+            .agg(F.count(F.lit(1)).alias("failures")).select(*_meta(check), "failures"))
+
+
 def _table_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Failure counts of all ``checks`` on one table, from one scan.
+    """Failure counts of the ``checks`` on one table other than ``unique``,
+    from one scan.
 
-    One grouping-sets aggregate serves every test: a set per column under a
-    ``unique`` or ``accepted_values`` test (their groups are combined on the
-    map side, so only ``unique`` moves one row per distinct key), plus the
-    empty set, whose single group carries one ``count_if`` per row-level
-    test. A global aggregate over the groups then yields every count.
+    A set of grouping sets serves every test: one per column under an
+    ``accepted_values`` test (few values, combined on the map side) and the
+    empty set, whose single group carries one ``count_if`` per row-level test.
+    A global aggregate over the groups then yields every count.
     """
-    group_cols = sorted({c.column for c in checks if c.kind in ("unique", "accepted_values")})
-    row_level = [c for c in checks if c.kind not in ("unique", "accepted_values")]
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.count_if(_row_failure(c)).alias(f"_f{i}") for i, c in enumerate(row_level)]
+    group_cols = sorted({c.column for c in checks if c.kind == "accepted_values"})
+    row_level = [c for c in checks if c.kind != "accepted_values"]
+    aggs = [F.count_if(_row_failure(c)).alias(f"_f{i}") for i, c in enumerate(row_level)]
     sets = [[c] for c in group_cols] + [[]]
     g = (df.groupingSets(sets, *group_cols) if group_cols else df.groupBy())
-    g = g.agg(*aggs, *([F.grouping_id().alias("_gid")] if group_cols else []))
+    g = g.agg(*(aggs or [F.count(F.lit(1)).alias("_n")]), *([F.grouping_id().alias("_gid")] if group_cols else []))
     full = (1 << len(group_cols)) - 1
 
     def in_set(col: str) -> Column:
         return F.col("_gid") == full - (1 << (len(group_cols) - 1 - group_cols.index(col)))
     counts = []
     for c in checks:
-        if c.kind == "unique":
-            cond = in_set(c.column) & F.col(c.column).isNotNull() & (F.col("_n") > 1)
-            counts.append(F.count_if(cond))
-        elif c.kind == "accepted_values":
+        if c.kind == "accepted_values":
             cond = in_set(c.column) & F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values)
             counts.append(F.count_if(cond))
         else:
@@ -174,14 +177,18 @@ def _table_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
 def run_checks(tables: Mapping[str, DataFrame], specs: list[Check]) -> DataFrame:
     """One row per test: test_name, table_name, column_name, severity,
     failures, status (PASS, WARN for a failing warn test, FAIL otherwise).
-    Each table is scanned once for all of its tests."""
+    Each table is scanned once for all of its tests but ``unique``."""
     by_table: dict[str, list[Check]] = {}
     for c in specs:
         by_table.setdefault(c.table, []).append(c)
     out = None
     for table, checks in by_table.items():
-        part = _table_failures(tables[table], checks)
-        out = part if out is None else out.unionByName(part)
+        apart = [c for c in checks if c.kind == "unique"]
+        parts = [_unique_failures(tables[table], c) for c in apart]
+        if len(apart) < len(checks):
+            parts.append(_table_failures(tables[table], [c for c in checks if c.kind != "unique"]))
+        for part in parts:
+            out = part if out is None else out.unionByName(part)
     status = (F.when(F.col("failures") == 0, F.lit("PASS"))
                .when(F.col("severity") == "warn", F.lit("WARN")).otherwise(F.lit("FAIL")))
     return out.withColumn("failures", F.col("failures").cast("long")).withColumn("status", status)

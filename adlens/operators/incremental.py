@@ -8,14 +8,19 @@
   loaded is not picked up (documented behaviour); a lookback fixes that when
   combined with ``upsert``.
 * ``upsert`` replaces target rows by key: target rows whose key is not in
-  the new batch (left-anti join, shuffled on the key) plus all new rows.
+  the new batch (left-anti join, shuffled on the key) plus one new row per
+  key, the last in a stated order (``latest``). New rows without a key can't
+  be told from those of an earlier sending; they are left out, and
+  ``keyless`` gives them.
 * ``write_partitioned_by_date`` replaces only the touched ``event_date``
   partitions (dynamic partition overwrite).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,23 +34,51 @@ def incremental_rows(target: DataFrame | None, source: DataFrame,
     return source.filter(F.coalesce(F.col(date_col) > bound, F.lit(True)))
 
 
-def upsert(target: DataFrame, new: DataFrame, key: str | list[str] = "event_id") -> DataFrame:
-    keys = [key] if isinstance(key, str) else list(key)
-    # Distinct keys (combined map-side) keep the anti-join's right side small
-    # even when one key repeats; a hot key on the target side is split by
-    # AQE's skew-join handling.
-    kept = target.join(new.select(*keys).distinct(), on=keys, how="left_anti")
-    return kept.unionByName(new.select(*target.columns))
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _has_key(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def latest(new: DataFrame, key: str | list[str] = "event_id", order: list[str] | None = None) -> DataFrame:
+    """One row per key: the greatest by ``order``, then by all other columns.
+
+    A struct maximum, combined on the map side, so a key that repeats very
+    often costs one row per task; equal rows are one row.
+    """
+    keys = _keys(key)
+    first = [c for c in (order or []) if c in new.columns]
+    rest = [c for c in new.columns if c not in first and c not in keys]
+    return (new.filter(_has_key(keys)).groupBy(*keys).agg(F.max(F.struct(*first, *rest)).alias("_row"))
+            .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in new.columns]))
+
+
+def keyless(new: DataFrame, key: str | list[str] = "event_id") -> DataFrame:
+    """New rows that ``upsert`` leaves out, as their key is null."""
+    return new.filter(~_has_key(_keys(key)))
+
+
+def upsert(target: DataFrame, new: DataFrame, key: str | list[str] = "event_id",
+           order: list[str] | None = None) -> DataFrame:
+    keys = _keys(key)
+    new = latest(new, keys, order)
+    # a hot key on the target side is split by AQE's skew-join handling
+    kept = target.join(new.select(*keys), on=keys, how="left_anti")
+    return kept.select(*target.columns).unionByName(new.select(*target.columns))
 
 
-def write_partitioned_by_date(df: DataFrame, path: str, date_col: str = "event_date") -> str:
-    """Overwrite only the ``date_col`` partitions present in ``df``.
+def write_partitioned_by_date(df: DataFrame, path: str, date_col: str = "event_date",
+                              replace_all: bool = False) -> str:
+    """Overwrite only the ``date_col`` partitions present in ``df``, or with
+    ``replace_all`` the whole table (a full refresh).
 
     A REBALANCE on the date lets AQE size the write tasks: small dates are
     merged into one task (few files), and a hot date is split over as many
     tasks as its size needs, so no task writes a third of the data.
     """
     (df.hint("rebalance", date_col).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
+       .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
        .partitionBy(date_col).parquet(path))
     return path

@@ -4,8 +4,8 @@ All ten measures are counts and sums, so they re-aggregate exactly:
 
 * ``daily_parts`` aggregates staged events once (partial aggregation on the
   map side, so a hot partner/day costs one row per map task, not one per
-  event); costs are summed as decimals, which is exact and independent of
-  partitioning.
+  event); costs are summed as decimals with a double beside them for what
+  decimals can't hold, so no value is lost (``functions.numeric``).
 * ``roll_up`` re-sums those parts to weeks or months; its input is
   days x partners x platforms, not events.
 * ``publish`` casts to the published types (long counts, double costs).
@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlens.functions.dates import period_start
-from adlens.functions.numeric import exact_cost
+from adlens.functions.numeric import cost_parts, joined, sum_parts
 
 GRAIN_KEY = {"daily": "event_date", "weekly": "week_start_date", "monthly": "month_start_date"}
 COUNT_MEASURES = ["installs", "reinstalls", "clicks", "impressions"]
@@ -35,24 +36,22 @@ _TYPE_OF = {"installs": "install", "reinstalls": "reinstall", "clicks": "click",
 
 def _event_aggs(exact: bool) -> list[Column]:
     t = F.col("event_type")
-    cost = exact_cost(F.col("cost_usd"), exact)
-    zero = F.lit(0).cast(cost_type(exact))
     aggs = [F.count_if(t == _TYPE_OF[m]).alias(m) for m in COUNT_MEASURES]
-    aggs += [F.sum(F.when(t == _TYPE_OF[m], cost).otherwise(zero)).alias(m)
-             for m in COST_MEASURES[:-1]]
-    aggs += [F.sum(cost).alias("total_cost"), F.count(F.lit(1)).alias("total_events")]
-    return aggs
-
-
-def cost_type(exact: bool) -> str:
-    return "decimal(18,6)" if exact else "double"
+    for m in COST_MEASURES:
+        def of(cost: Column, m: str = m) -> Column:
+            return F.when(t == _TYPE_OF[m], cost).otherwise(F.lit(0)) if m in _TYPE_OF else cost
+        total = (F.struct(F.sum(of(F.col("_cost.d"))).alias("d"), F.sum(of(F.col("_cost.r"))).alias("r"))
+                 if exact else F.sum(of(F.col("_cost"))))
+        aggs.append(total.alias(m))
+    return aggs + [F.count(F.lit(1)).alias("total_events")]
 
 
 def grain_parts(staged: DataFrame, grain: str, exact_cost: bool = True) -> DataFrame:
     """Aggregate staged events straight to one grain (one shuffle)."""
     key = GRAIN_KEY[grain]
     return (staged.select(period_start(F.col("event_date"), grain).alias(key),
-                          "partner", "platform", "event_type", "cost_usd")
+                          "partner", "platform", "event_type",
+                          (cost_parts(F.col("cost_usd")) if exact_cost else F.col("cost_usd")).alias("_cost"))
                   .groupBy(key, "partner", "platform")
                   .agg(*_event_aggs(exact_cost)))
 
@@ -69,7 +68,11 @@ def roll_up(daily: DataFrame, grain: str) -> DataFrame:
     return (daily.select(period_start(F.col("event_date"), grain).alias(key),
                          "partner", "platform", *MEASURES)
                  .groupBy(key, "partner", "platform")
-                 .agg(*[F.sum(m).alias(m) for m in MEASURES]))
+                 .agg(*[(sum_parts(F.col(m)) if _split(daily, m) else F.sum(m)).alias(m) for m in MEASURES]))
+
+
+def _split(parts: DataFrame, measure: str) -> bool:
+    return isinstance(parts.schema[measure].dataType, T.StructType)
 
 
 def publish(parts: DataFrame, grain: str, load_stamp: bool | Column = True) -> DataFrame:
@@ -81,7 +84,7 @@ def publish(parts: DataFrame, grain: str, load_stamp: bool | Column = True) -> D
     key = GRAIN_KEY[grain]
     cols = [F.col(key), F.col("partner"), F.col("platform")]
     cols += [F.col(m).cast("long").alias(m) for m in COUNT_MEASURES]
-    cols += [F.col(m).cast("double").alias(m) for m in COST_MEASURES]
+    cols += [(joined(F.col(m)) if _split(parts, m) else F.col(m).cast("double")).alias(m) for m in COST_MEASURES]
     cols += [F.col("total_events").cast("long").alias("total_events")]
     if load_stamp is True:
         cols.append(F.current_timestamp().alias("dbt_updated_at"))
@@ -109,16 +112,16 @@ def present(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy(F.col(key).desc(), "partner", "platform")
 
 
-def roll_up_published(daily: DataFrame, grain: str,
-                      load_stamp: bool | Column = True) -> DataFrame:
+def roll_up_published(daily: DataFrame, grain: str, load_stamp: bool | Column = True,
+                      exact_cost: bool = True) -> DataFrame:
     """Weekly/monthly metrics from a *published* (double-cost) daily table.
 
-    Daily costs are decimal sums with at most six places, so casting them
-    back to decimal recovers the exact values and the roll-up equals a
-    direct aggregation of the events. The input is one row per day, partner
-    and platform, never the events themselves.
+    A daily cost is the double nearest its exact sum; its shortest decimal form
+    is that sum again, so the roll-up equals a direct aggregation of the events
+    wherever daily sums have at most 15 digits, and is correct to a double's
+    precision elsewhere. ``exact_cost=False`` adds the doubles as they are. The
+    input is one row per day, partner and platform, never the events.
     """
-    exact = daily.select("event_date", "partner", "platform",
-                         *[F.col(m) for m in COUNT_MEASURES + ["total_events"]],
-                         *[F.col(m).cast("decimal(28,6)").alias(m) for m in COST_MEASURES])
-    return publish(roll_up(exact, grain), grain, load_stamp)
+    parts = daily.select("event_date", "partner", "platform", *COUNT_MEASURES, "total_events",
+                         *[(cost_parts(F.col(m)) if exact_cost else F.col(m)).alias(m) for m in COST_MEASURES])
+    return publish(roll_up(parts, grain), grain, load_stamp)

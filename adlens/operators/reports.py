@@ -5,8 +5,8 @@ Design rules for scale and repeatability:
 * Every query is an aggregate whose shuffle input is already combined on the
   map side; a share of the grand total uses a scalar subquery over the
   grouped result (one row), not ``OVER ()`` with all groups in one task.
-* Sums and averages of doubles are accumulated as decimals, so the answer
-  does not depend on the order rows arrive in.
+* Sums and averages of doubles are exact as far as decimals reach and lose
+  no value beyond (``functions.numeric``).
 * Top-k reports use ``orderBy().limit()`` (TakeOrderedAndProject: each task
   keeps k rows) with a total order; the limit is the feature there.
 * Reports keep the source queries' ORDER BY (with a tie-break for a total
@@ -18,25 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.numeric import round_half_up, safe_divide
+from adlens.functions.numeric import exact_sum, round_half_up, safe_divide
 
-SUM_DECIMAL = "decimal(28,6)"
-AVG_DECIMAL = "decimal(18,2)"
-
-
-def exact_sum(c: Column | str, dec: str = SUM_DECIMAL) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(dec))
-
-
-def as_double(c: Column) -> Column:
-    return c.cast("double")
-
-
-def exact_avg(c: Column | str, dec: str = AVG_DECIMAL) -> Column:
+def exact_avg(c: Column | str) -> Column:
     """Mean of non-null values, summed exactly; null for no values."""
     c = F.col(c) if isinstance(c, str) else c
-    return safe_divide(F.sum(c.cast(dec)).cast("double"), F.count(c))
+    return safe_divide(exact_sum(c), F.count(c))
 
 
 def _share(grouped: DataFrame, col: str, places: int) -> Column:
@@ -44,7 +31,8 @@ def _share(grouped: DataFrame, col: str, places: int) -> Column:
     # so that its plan equals the main query's and the shuffle is reused.
     numeric = ("bigint", "int", "double", "decimal")
     measures = [c for c, t in grouped.dtypes if c != col and t.startswith(numeric)]
-    total = grouped.select(F.struct(F.sum(col).alias("t"),
+    of = exact_sum if dict(grouped.dtypes)[col] == "double" else F.sum
+    total = grouped.select(F.struct(of(col).alias("t"),
                                     *[F.sum(c).alias(c) for c in measures])).scalar()["t"]
     return round_half_up(safe_divide(F.col(col).cast("double") * F.lit(100.0),
                                      total.cast("double")), places)
@@ -59,7 +47,7 @@ def event_distribution(stg: DataFrame) -> DataFrame:
                                       exact_sum("cost_usd").alias("_cost"))
     return (g.select("event_type", "event_count",
                      _share(g, "event_count", 1).alias("percentage"),
-                     round_half_up(as_double(F.col("_cost")), 2).alias("total_cost"))
+                     round_half_up(F.col("_cost"), 2).alias("total_cost"))
              .orderBy(F.col("event_count").desc(), "event_type"))
 
 
@@ -110,7 +98,7 @@ def install_volume(ir: DataFrame) -> DataFrame:
     return (ir.filter(F.col("grain") == "monthly").groupBy("partner", "platform")
               .agg(F.sum("installs").alias("total_installs"),
                    F.sum("reinstalls").alias("total_reinstalls"),
-                   round_half_up(as_double(exact_sum("total_install_cost")), 2).alias("total_cost"))
+                   round_half_up(exact_sum("total_install_cost"), 2).alias("total_cost"))
               .orderBy(F.col("total_installs").desc(), "partner", "platform"))
 
 
@@ -118,7 +106,7 @@ def cost_efficiency(cpi: DataFrame) -> DataFrame:
     return (cpi.filter(F.col("grain") == "daily").groupBy("partner")
                .agg(round_half_up(exact_avg("cpi_direct_rounded"), 2).alias("avg_cpi"),
                     F.sum("installs").alias("total_installs"),
-                    round_half_up(as_double(exact_sum("install_cost")), 2).alias("total_spend"))
+                    round_half_up(exact_sum("install_cost"), 2).alias("total_spend"))
                .orderBy("avg_cpi", "partner"))
 
 
@@ -149,8 +137,8 @@ def cost_share(stg: DataFrame) -> DataFrame:
                                       exact_sum("cost_usd").alias("_cost"),
                                       F.count("cost_usd").alias("_n"))
     return (g.select("event_type", "event_count",
-                     round_half_up(as_double(F.col("_cost")), 2).alias("total_cost"),
-                     round_half_up(safe_divide(as_double(F.col("_cost")), F.col("_n")), 4)
+                     round_half_up(F.col("_cost"), 2).alias("total_cost"),
+                     round_half_up(safe_divide(F.col("_cost"), F.col("_n")), 4)
                      .alias("avg_cost_per_event"),
                      _share(g, "_cost", 1).alias("cost_percentage"))
              .orderBy(F.col("total_cost").desc(), "event_type"))
@@ -182,9 +170,9 @@ def cpi_by_partner(cpi: DataFrame) -> DataFrame:
         F.sum("installs").alias("installs"),
         exact_sum("install_cost").alias("_ic"), exact_sum("total_cost").alias("_tc"))
     return g.select("grain", "period", "partner", "installs",
-                    as_double(F.col("_ic")).alias("install_cost"),
-                    as_double(F.col("_tc")).alias("total_cost"),
-                    round_half_up(safe_divide(as_double(F.col("_ic")), F.col("installs")), 2)
+                    F.col("_ic").alias("install_cost"),
+                    F.col("_tc").alias("total_cost"),
+                    round_half_up(safe_divide(F.col("_ic"), F.col("installs")), 2)
                     .alias("cpi_direct"),
-                    round_half_up(safe_divide(as_double(F.col("_tc")), F.col("installs")), 2)
+                    round_half_up(safe_divide(F.col("_tc"), F.col("installs")), 2)
                     .alias("cpi_blended"))

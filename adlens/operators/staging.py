@@ -28,6 +28,7 @@ REASON_NULL_TIMESTAMP = "null_timestamp"
 REASON_EVENT_TYPE = "invalid_event_type"
 REASON_COST = "invalid_cost"
 REASON_TIMESTAMP_FORMAT = "invalid_timestamp_format"
+REASON_NO_ID = "null_event_id"  # only where rows are merged by their id
 
 
 def _cost_ok(c: Column) -> Column:
@@ -35,19 +36,24 @@ def _cost_ok(c: Column) -> Column:
     return (c >= 0) & ~F.isnan(c) & (c < F.lit(float("inf")))
 
 
-def staging_predicate(raw: DataFrame | None = None) -> Column:
-    """The source model's WHERE clause, on raw columns (null -> not kept)."""
+def staging_predicate(check_cost: bool = True) -> Column:
+    """The source model's WHERE clause, on raw columns (null -> not kept).
+
+    ``check_cost=False`` leaves out the cost rule (any finite cost stays), for
+    data tests of what that rule keeps away.
+    """
+    cost = F.col("cost_usd")
     return (F.col("timestamp").isNotNull()
             & F.col("event_type").isin(*EVENT_TYPES)
-            & _cost_ok(F.col("cost_usd")))
+            & (_cost_ok(cost) if check_cost else F.abs(cost) < F.lit(float("inf"))))
 
 
-def _normalize(df: DataFrame, ts: Column) -> DataFrame:
-    """Project raw (already filtered) rows to the 14 staged columns."""
+def _normalize(df: DataFrame, ts: Column, *keep: str) -> DataFrame:
+    """Project raw rows to the 14 staged columns and those to ``keep``."""
     d = F.col("event_timestamp").cast("date")
     return (df.select(
                 "event_id", ts.alias("event_timestamp"), "event_type", "partner",
-                "cost_usd", "app_id", "campaign_id", "platform", "country_code")
+                "cost_usd", "app_id", "campaign_id", "platform", "country_code", *keep)
             .select(
                 "event_id",
                 "event_timestamp",
@@ -63,10 +69,11 @@ def _normalize(df: DataFrame, ts: Column) -> DataFrame:
                 F.month(d).cast("long").alias("month"),
                 sunday_week_of_year(d).alias("week"),
                 day_of_week(d).alias("day_of_week"),
+                *keep,
             ))
 
 
-def stage_events(raw: DataFrame, mode: str = "strict") -> DataFrame:
+def stage_events(raw: DataFrame, mode: str = "strict", check_cost: bool = True) -> DataFrame:
     """Typed and normalized events.
 
     ``mode="strict"`` fails the job on a timestamp that does not parse (as the
@@ -75,7 +82,7 @@ def stage_events(raw: DataFrame, mode: str = "strict") -> DataFrame:
     """
     if mode not in ("strict", "quarantine"):
         raise ValueError("mode must be 'strict' or 'quarantine'")
-    kept = raw.filter(staging_predicate())
+    kept = raw.filter(staging_predicate(check_cost))
     if "_corrupt_record" in raw.columns:
         kept = kept.filter(F.col("_corrupt_record").isNull())
     # Parse once into a column; the strict check then only reads it.
@@ -122,6 +129,26 @@ def rejected_events(raw: DataFrame, mode: str = "quarantine") -> DataFrame:
                .filter(F.col("reject_reason").isNotNull()))
 
 
+def staged_and_rejected(raw: DataFrame, mode: str = "strict", require_id: bool = False,
+                        keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every raw row once: the staged columns, ``reject_reason`` (null when
+    staged), ``rejected`` (the raw columns of a rejected row) and the columns
+    to ``keep``. Written once, it serves both outputs from one parse."""
+    corrupt = "_corrupt_record" if "_corrupt_record" in raw.columns else None
+    reason = reject_reason(mode, corrupt)
+    if require_id:
+        reason = F.coalesce(reason, F.when(F.col("event_id").isNull(), F.lit(REASON_NO_ID)))
+    df = raw.withColumn("reject_reason", reason).withColumn(
+        "_parsed", parse_event_timestamp(F.col("timestamp"), strict=False))
+    df = df.withColumn("rejected", F.when(F.col("reject_reason").isNotNull(), F.struct(
+        *[c for c in raw.columns if c not in keep])))
+    ts = F.col("_parsed")
+    if mode == "strict":
+        ts = F.when(F.col("_parsed").isNull() & F.col("reject_reason").isNull(),
+                    F.raise_error(F.concat(F.lit("Invalid event timestamp: "), F.col("timestamp")))).otherwise(ts)
+    return _normalize(df, ts, "reject_reason", "rejected", *keep)
+
+
 def rejects_by_reason(raw: DataFrame, mode: str = "quarantine") -> DataFrame:
     return (rejected_events(raw, mode).groupBy("reject_reason")
             .agg(F.count(F.lit(1)).alias("rejected_rows")))

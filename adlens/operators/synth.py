@@ -116,7 +116,10 @@ def value_counts(events: DataFrame) -> DataFrame:
 def distribution_check(events: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Observed share of each value against its configured weight."""
     counts = value_counts(events)
-    total = events.select(F.count(F.lit(1))).scalar()
+    # any one field's counts add up to the number of events; the subquery
+    # aggregates every column, so its plan equals the main query's
+    total = counts.select(F.struct(F.sum(F.when(F.col("field") == "platform", F.col("events"))).alias("n"),
+                                   F.count("value").alias("k"))).scalar()["n"]
     weight = F.lit(None).cast("double")
     for f, ws in WEIGHTED_FIELDS.items():
         for v, w in ws:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.constants import REQUIRED_FIELDS, VALID_EVENT_TYPES, VALID_PLATFORMS
-from adlens.functions.numeric import round_half_up, safe_divide
+from adlens.functions.numeric import exact_sum, round_half_up, safe_divide
 
 NOT_OBJECT = "Event is not a JSON object"
 MISSING = "Missing required field: "
@@ -259,8 +259,7 @@ def event_distribution(lines: DataFrame, line_col: str = "line") -> DataFrame:
 def total_cost(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Sum of convertible costs (absent -> 0), accumulated exactly."""
     df = _with_cost_number(_parse(lines, line_col, ["cost_usd"]))
-    cost = F.when(_c("_num_ok"), _c("_num")).otherwise(F.lit(0.0)).cast("decimal(28,6)")
-    return df.agg(F.sum(cost).cast("double").alias("total_cost"))
+    return df.agg(exact_sum(F.when(_c("_num_ok"), _c("_num")).otherwise(F.lit(0.0))).alias("total_cost"))
 
 
 def parsed_events(validated: DataFrame) -> DataFrame:
@@ -272,19 +271,22 @@ def batch_summary(events: DataFrame) -> DataFrame:
     """Batch totals plus per-type, per-partner and per-platform counts,
     costs and shares.
 
-    One grouping-sets aggregate gives the dimension rows; the batch totals
-    are a global aggregate read as a scalar subquery (one row, evaluated
-    once), which also fills the ``total`` row. An empty batch yields just
-    the ``total`` row, with zero events and null shares; no dimension is
-    gathered into a single task.
+    One grouping-sets aggregate gives the dimension rows; the batch totals are
+    the sum of the platform rows, read as a scalar subquery whose shuffle is
+    reused, so the lines are parsed once. It has one row even for an empty
+    batch: the ``total`` row, with zero events and null shares. No dimension
+    is gathered into a single task.
     """
-    cost = F.col("cost_usd").cast("decimal(28,6)")
     g = (events.groupingSets([["event_type"], ["partner"], ["platform"]],
                              "event_type", "partner", "platform")
-               .agg(F.count(F.lit(1)).alias("events"), F.sum(cost).alias("_cost"),
+               .agg(F.count(F.lit(1)).alias("events"), exact_sum("cost_usd").alias("_cost"),
                     F.grouping_id().alias("_gid")))
-    totals = events.select(F.struct(F.count(F.lit(1)).alias("n"),
-                                    F.sum(cost).cast("double").alias("c"))).scalar()
+    # every group column is aggregated, so that the subquery's plan equals the main query's
+    one = F.col("_gid") == 6
+    totals = g.select(F.struct(
+        F.coalesce(F.sum(F.when(one, F.col("events"))), F.lit(0)).cast("long").alias("n"),
+        exact_sum(F.when(one, F.col("_cost"))).alias("c"),
+        *[F.count(c).alias(f"k_{c}") for c in ("event_type", "partner", "platform")])).scalar()
     n, c = totals.getField("n"), totals.getField("c")
 
     def shares(events_col: Column, cost_col: Column) -> list[Column]:
@@ -297,7 +299,7 @@ def batch_summary(events: DataFrame) -> DataFrame:
             .when(F.col("_gid") == 5, F.lit("partner")).otherwise(F.lit("platform")))
     value = F.coalesce(F.col("event_type"), F.col("partner"), F.col("platform"))
     rows = g.select(dim.alias("dimension"), value.alias("value"),
-                    *shares(F.col("events"), F.col("_cost").cast("double")))
+                    *shares(F.col("events"), F.col("_cost")))
     # One-row carrier for the scalar totals (no data of its own).
     total = events.sparkSession.range(1).select(
         F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("value"),

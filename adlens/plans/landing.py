@@ -1,23 +1,24 @@
 """Landing job: generate -> validate -> write one stamped JSONL batch.
 
 The Spark form of the generate-and-upload entry point: synthetic events are
-drawn on the executors, serialized to JSON lines and validated there; the
-batch is refused (nothing is written) when any event is invalid, otherwise
-it lands under ``<landing>/batch=<stamp>/`` and is never overwritten. Only
-the two verdict counts reach the driver.
+drawn once on the executors and written to a pending folder, whose lines are
+validated; the batch is dropped when any event is invalid, otherwise it is
+renamed to ``<landing>/batch=<stamp>/``, never over an existing one. Only the
+two verdict counts reach the driver.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from adlens.constants import RAW_COLUMNS
 from adlens.operators.synth import synth_from_keys
 from adlens.operators.validate import batch_verdict, validate_lines
-from adlens.sources.jsonl import batch_stamp, write_events
+from adlens.session import delete_path, rename_path
+from adlens.sources.jsonl import batch_stamp, read_lines, write_events
 
 
 class InvalidBatch(ValueError):
@@ -26,13 +27,19 @@ class InvalidBatch(ValueError):
 
 def land_events(events: DataFrame, landing_dir: str, key_col: str,
                 batch: str | None = None) -> str:
-    """Validate raw ``events`` as JSON lines and land them as one batch."""
-    lines = events.select(F.col(key_col).alias("line_id"),
-                          F.to_json(F.struct(*RAW_COLUMNS)).alias("line"))
-    verdict = batch_verdict(validate_lines(lines)).first()
-    if verdict["invalid_count"]:
-        raise InvalidBatch(f"{verdict['invalid_count']} invalid events; batch not landed")
-    return write_events(events.select(*RAW_COLUMNS), landing_dir, batch or batch_stamp())
+    """Write raw ``events`` once, validate the lines as written, and publish
+    them as one batch, or drop them when any is invalid."""
+    spark, landing = events.sparkSession, landing_dir.rstrip("/")
+    batch = batch or batch_stamp()
+    pending = write_events(events.select(*RAW_COLUMNS), f"{landing}/_pending/{uuid.uuid4().hex}")
+    try:
+        verdict = batch_verdict(validate_lines(read_lines(spark, pending))).first()
+        if verdict["invalid_count"]:
+            raise InvalidBatch(f"{verdict['invalid_count']} invalid events; batch not landed")
+        rename_path(spark, pending, f"{landing}/batch={batch}")
+    finally:
+        delete_path(spark, pending)
+    return f"{landing}/batch={batch}"
 
 
 def land_synthetic(spark: SparkSession, keys: DataFrame, key_col: str, landing_dir: str,

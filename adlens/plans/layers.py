@@ -21,12 +21,13 @@ from adlens.sources.driver_events import raw_events
 
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "strict",
-                 load_stamp=False, raw: DataFrame | None = None):
+                 load_stamp=False, raw: DataFrame | None = None, check_cost: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.mode = mode
         self.load_stamp = load_stamp
         self._raw = raw
+        self.check_cost = check_cost
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -34,11 +35,11 @@ class Layers:
 
     @cached_property
     def stg_mmp_events(self) -> DataFrame:
-        return stage_events(self.raw, self.mode)
+        return stage_events(self.raw, self.mode, self.check_cost)
 
     @cached_property
     def _daily_parts(self) -> DataFrame:
-        """Daily groups with exact (decimal) measures, written once.
+        """Daily groups with exact measures, written once.
 
         Their size is days x partners x platforms whatever the event volume,
         and every grain and mart is derived from them; writing them to the
@@ -52,6 +53,10 @@ class Layers:
         return {g: MET.publish(MET.roll_up(self._daily_parts, g), g, self.load_stamp)
                 for g in MET.GRAIN_KEY}
 
+    def grain(self, name: str) -> DataFrame:
+        """One grain alone, lazily: nothing else shares its daily groups."""
+        return MET.publish(MET.roll_up(MET.daily_parts(self.stg_mmp_events), name), name, self.load_stamp)
+
     @property
     def int_daily_metrics(self) -> DataFrame:
         return self._grains["daily"]

@@ -1,12 +1,14 @@
 """DuckDB oracle SQL for the registered queries.
 
-Written independently of the Spark code, as plain SQL over the driver's
-pre-registered views, following the same model definitions. Engine
-differences are handled explicitly:
+Plain SQL over the driver's pre-registered views, following the same model
+definitions. The declared data tests, the accepted lists, the validator's
+text patterns and the generator's weights are the library's own (an error in
+those passes both sides; unit tests state them again). Engine differences
+are handled explicitly:
 
 * ROUND: Spark rounds the shortest decimal form of a double, half away from
   zero; the oracle rounds ``CAST(CAST(x AS VARCHAR) AS DECIMAL)`` (``rnd``).
-* Cost sums are accumulated as DECIMAL(18,6) in both engines, then DOUBLE.
+* Costs are summed in their written decimal form, huge ones as doubles.
 * ``count_if``/``sum(bigint)`` are HUGEINT in DuckDB: cast to BIGINT.
 * Day of week is 0-based in DuckDB: add 1.
 """
@@ -19,19 +21,24 @@ from adlens.constants import (
 from adlens.operators.checks import Check, DECLARED_CHECKS
 from adlens.operators.synth import COST_RANGES, WEIGHTED_FIELDS, cumulative
 from adlens.operators.validate import _ISO, _NUMERIC_STRING, _OFFSET, _TIME, _pylist
-from adlens.sources.driver_events import LINES_SQL, RAW_SQL
+from adlens.sources.driver_events import DIRTY_SQL, EXTREME_SQL, LANDED_SQL, LINES_SQL, RAW_SQL
 
 
 def rnd(x: str, places: int) -> str:
-    return f"CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,17)), {places}) AS DOUBLE)"
+    """Rounded half away from zero on the written form; doubles from 1e15 on have no such places."""
+    return (f"(CASE WHEN abs({x}) >= 1e15 THEN {x} ELSE "
+            f"CAST(ROUND(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,17)), {places}) AS DOUBLE) END)")
 
 
 def sql_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-def dec(x: str) -> str:
-    return f"CAST(({x}) AS DECIMAL(18,6))"
+def total(x: str) -> str:
+    """Sum of doubles: by their written decimal form, values from 1e10 on apart."""
+    return (f"(CAST(SUM(CASE WHEN abs({x}) < 1e10 THEN CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,12)) "
+            f"WHEN ({x}) IS NOT NULL THEN 0 END) AS DOUBLE) "
+            f"+ COALESCE(SUM(CASE WHEN abs({x}) >= 1e10 THEN {x} END), 0))")
 
 
 def big(x: str) -> str:
@@ -68,9 +75,9 @@ _COSTS = [("install_cost", "install"), ("reinstall_cost", "reinstall"),
 def _metric_select(key_expr: str, key_name: str) -> str:
     cols = [f"{key_expr} AS {key_name}", "partner", "platform"]
     cols += [f"{big(f'count_if(event_type = {chr(39)}{t}{chr(39)})')} AS {n}" for n, t in _TYPES]
-    cols += [f"CAST(SUM(CASE WHEN event_type = '{t}' THEN {dec('cost_usd')} ELSE 0 END) AS DOUBLE) AS {n}"
+    cols += [f"COALESCE({total('(CASE WHEN event_type = ' + chr(39) + t + chr(39) + ' THEN cost_usd END)')}, 0) AS {n}"
              for n, t in _COSTS]
-    cols += [f"CAST(SUM({dec('cost_usd')}) AS DOUBLE) AS total_cost",
+    cols += [f"{total('cost_usd')} AS total_cost",
              f"{big('COUNT(*)')} AS total_events"]
     return (f"SELECT {', '.join(cols)} FROM stg_mmp_events "
             f"GROUP BY {key_expr}, partner, platform")
@@ -125,16 +132,23 @@ MODEL_CTES = [
 ]
 
 
-def with_models(body: str, extra_ctes: list[tuple[str, str]] | None = None) -> str:
-    ctes = MODEL_CTES + list(extra_ctes or [])
+# Staging of the defective events: unparsable timestamps are quarantined, any finite cost stays.
+DIRTY_STG_SQL = (STG_SQL.replace("strptime(", "try_strptime(").replace("cost_usd >= 0 AND ", "")
+                 + " WHERE event_timestamp IS NOT NULL")
+DIRTY_CTES = [("raw", DIRTY_SQL), ("stg_mmp_events", DIRTY_STG_SQL), *MODEL_CTES[2:]]
+EXTREME_CTES = [("raw", EXTREME_SQL), *MODEL_CTES[1:]]
+
+
+def with_models(body: str, extra_ctes: list[tuple[str, str]] | None = None, models: list | None = None) -> str:
+    ctes = (models or MODEL_CTES) + list(extra_ctes or [])
     return "WITH " + ",\n".join(f"{n} AS (\n{s}\n)" for n, s in ctes) + "\n" + body
 
 
 ORACLE: dict[str, str] = {}
 
 
-def register(name: str, body: str, extra_ctes=None) -> None:
-    ORACLE[name] = with_models(body, extra_ctes)
+def register(name: str, body: str, extra_ctes=None, models=None) -> None:
+    ORACLE[name] = with_models(body, extra_ctes, models)
 
 
 register("stg_mmp_events", "SELECT * FROM stg_mmp_events")
@@ -144,6 +158,7 @@ register("int_monthly_metrics", "SELECT * FROM int_monthly_metrics")
 register("mart_installs_reinstalls", "SELECT * FROM mart_installs_reinstalls")
 register("mart_click_through_rate", "SELECT * FROM mart_click_through_rate")
 register("mart_cost_per_install", "SELECT * FROM mart_cost_per_install")
+register("int_extreme_costs", "SELECT * FROM mart_installs_reinstalls", models=EXTREME_CTES)
 
 
 # --- Validation and report queries ------------------------------------------
@@ -151,12 +166,8 @@ def _share(x: str, total: str, places: int) -> str:
     return rnd(f"CAST({x} AS DOUBLE) * 100.0 / NULLIF(CAST({total} AS DOUBLE), 0)", places)
 
 
-def _exact_sum(x: str) -> str:
-    return f"SUM(CAST(({x}) AS DECIMAL(28,6)))"
-
-
 def _exact_avg(x: str) -> str:
-    return f"(CAST(SUM(CAST(({x}) AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
+    return f"({total(x)} / NULLIF(COUNT({x}), 0))"
 
 
 register("v01_record_count", f"SELECT {big('COUNT(*)')} AS total_events FROM stg_mmp_events")
@@ -164,7 +175,7 @@ register("v01_record_count", f"SELECT {big('COUNT(*)')} AS total_events FROM stg
 register("v02_event_distribution", f"""
 SELECT event_type, event_count, {_share('event_count', 'SUM(event_count) OVER ()', 1)} AS percentage,
        {rnd('CAST(c AS DOUBLE)', 2)} AS total_cost
-FROM (SELECT event_type, {big('COUNT(*)')} AS event_count, {_exact_sum('cost_usd')} AS c
+FROM (SELECT event_type, {big('COUNT(*)')} AS event_count, {total('cost_usd')} AS c
       FROM stg_mmp_events GROUP BY event_type) g""")
 
 register("v03_partner_distribution", f"""
@@ -201,13 +212,13 @@ register("v07_grain_coverage", "\nUNION ALL\n".join(
 register("v08_install_volume", f"""
 SELECT partner, platform, {big('SUM(installs)')} AS total_installs,
        {big('SUM(reinstalls)')} AS total_reinstalls,
-       {rnd(f"CAST({_exact_sum('total_install_cost')} AS DOUBLE)", 2)} AS total_cost
+       {rnd(total('total_install_cost'), 2)} AS total_cost
 FROM mart_installs_reinstalls WHERE grain = 'monthly' GROUP BY partner, platform""")
 
 register("v09_cost_efficiency", f"""
 SELECT partner, {rnd(_exact_avg('cpi_direct_rounded'), 2)} AS avg_cpi,
        {big('SUM(installs)')} AS total_installs,
-       {rnd(f"CAST({_exact_sum('install_cost')} AS DOUBLE)", 2)} AS total_spend
+       {rnd(total('install_cost'), 2)} AS total_spend
 FROM mart_cost_per_install WHERE grain = 'daily' GROUP BY partner""")
 
 register("v10_daily_trend", f"""
@@ -228,7 +239,7 @@ register("v12_cost_share", f"""
 SELECT event_type, event_count, {rnd('CAST(c AS DOUBLE)', 2)} AS total_cost,
        {rnd('CAST(c AS DOUBLE) / NULLIF(n, 0)', 4)} AS avg_cost_per_event,
        {_share('c', 'SUM(c) OVER ()', 1)} AS cost_percentage
-FROM (SELECT event_type, {big('COUNT(*)')} AS event_count, {_exact_sum('cost_usd')} AS c,
+FROM (SELECT event_type, {big('COUNT(*)')} AS event_count, {total('cost_usd')} AS c,
              COUNT(cost_usd) AS n
       FROM stg_mmp_events GROUP BY event_type) g""")
 
@@ -253,7 +264,7 @@ SELECT grain, period, partner, installs, CAST(ic AS DOUBLE) AS install_cost,
        {rnd('CAST(ic AS DOUBLE) / NULLIF(installs, 0)', 2)} AS cpi_direct,
        {rnd('CAST(tc AS DOUBLE) / NULLIF(installs, 0)', 2)} AS cpi_blended
 FROM (SELECT grain, period, partner, {big('SUM(installs)')} AS installs,
-             {_exact_sum('install_cost')} AS ic, {_exact_sum('total_cost')} AS tc
+             {total('install_cost')} AS ic, {total('total_cost')} AS tc
       FROM mart_cost_per_install GROUP BY grain, period, partner) g""")
 
 
@@ -309,16 +320,16 @@ for _key, _test in (
         ("dq_ctr_percentage_range", "accepted_range_mart_click_through_rate_ctr_percentage"),
         ("dq_cpi_direct_non_negative", "expression_is_true_mart_cost_per_install_cpi_direct_ge_0"),
         ("dq_cpi_blended_ge_direct", "expression_is_true_mart_cost_per_install_cpi_blended_ge_direct")):
-    register(_key, _failing_sql(_by_name(_test)))
+    register(_key, _failing_sql(_by_name(_test)), models=DIRTY_CTES)
 
 register("dq_not_null", "SELECT test_name, table_name, column_name, failures FROM (\n"
          + "\nUNION ALL\n".join(_count_sql(c) for c in DECLARED_CHECKS if c.kind == "not_null")
-         + "\n) r")
+         + "\n) r", models=DIRTY_CTES)
 register("dq_accepted_values", "\nUNION ALL\n".join(
     f"SELECT '{c.table}' AS table_name, '{c.column}' AS column_name, "
     f"CAST(value_field AS VARCHAR) AS value_field, n_records FROM ({_failing_sql(c)}) f"
-    for c in DECLARED_CHECKS if c.kind == "accepted_values"))
-register("dq_report", _report_sql(DECLARED_CHECKS))
+    for c in DECLARED_CHECKS if c.kind == "accepted_values"), models=DIRTY_CTES)
+register("dq_report", _report_sql(DECLARED_CHECKS), models=DIRTY_CTES)
 
 
 # --- Sources, staging extras, incremental -------------------------------------
@@ -326,7 +337,7 @@ register("src_jsonl_roundtrip", "SELECT * FROM raw")
 
 register("src_batch_counts", f"""
 SELECT 'mmp_events_' || replace(substr("timestamp", 1, 10), '-', '') || '_000000' AS batch,
-       {big('COUNT(*)')} AS event_count, CAST({_exact_sum('cost_usd')} AS DOUBLE) AS total_cost
+       {big('COUNT(*)')} AS event_count, {total('cost_usd')} AS total_cost
 FROM raw GROUP BY 1""")
 
 register("out_table_roundtrip", "SELECT * FROM int_daily_metrics")
@@ -353,17 +364,21 @@ register("incr_new_rows", f"""
 SELECT {_STG_KEEP} FROM stg_mmp_events
 WHERE COALESCE(event_date > (SELECT MAX(event_date) FROM stg_mmp_events WHERE event_date < {_CUT}), true)""")
 
+_SENT = f"""
+SELECT {_STG_KEEP}, 'increment' AS load_batch FROM stg_mmp_events
+WHERE event_date >= CAST({_CUT} - INTERVAL 7 DAY AS DATE) AND CAST(event_id AS BIGINT) % 5 <> 0
+UNION ALL
+SELECT event_id, CAST(event_date + INTERVAL 1 DAY AS DATE), event_type, partner, platform, cost_usd, 'moved'
+FROM stg_mmp_events
+WHERE event_date >= CAST({_CUT} - INTERVAL 7 DAY AS DATE) AND CAST(event_id AS BIGINT) % 5 = 0"""
 register("incr_merge_by_key", f"""
 SELECT {_STG_KEEP}, 'initial' AS load_batch FROM stg_mmp_events t
-WHERE event_date < {_CUT}
-  AND NOT EXISTS (SELECT 1 FROM stg_mmp_events n
-                  WHERE n.event_id = t.event_id AND n.event_date >= CAST({_CUT} - INTERVAL 7 DAY AS DATE))
-UNION ALL
-SELECT {_STG_KEEP}, 'increment' AS load_batch FROM stg_mmp_events
-WHERE event_date >= CAST({_CUT} - INTERVAL 7 DAY AS DATE)""")
+WHERE event_date < {_CUT} AND event_id NOT IN (SELECT event_id FROM sent)
+UNION ALL SELECT * FROM sent""", [("sent", _SENT)])
+register("incr_batch_job", f"SELECT {_STG_KEEP} FROM stg_mmp_events")
 
 register("out_partition_pruned", f"""
-SELECT event_date, {big('COUNT(*)')} AS events, CAST({_exact_sum('cost_usd')} AS DOUBLE) AS total_cost
+SELECT event_date, {big('COUNT(*)')} AS events, {total('cost_usd')} AS total_cost
 FROM stg_mmp_events
 WHERE event_date > CAST((SELECT MAX(event_date) FROM stg_mmp_events) - INTERVAL 7 DAY AS DATE)
 GROUP BY event_date""")
@@ -470,10 +485,33 @@ SELECT CASE WHEN keys IS NOT NULL AND list_contains(keys, 'event_type') THEN {_p
             ELSE 'unknown' END AS event_type, {big('COUNT(*)')} AS events
 FROM validated GROUP BY 1""", _VAL_CTES)
 
-register("val_total_cost", f"""
-SELECT CAST(SUM(CAST(CASE WHEN {_COST_NUM} IS NOT NULL AND isfinite({_COST_NUM}) THEN {_COST_NUM} ELSE 0.0 END
-                AS DECIMAL(28,6))) AS DOUBLE) AS total_cost
-FROM validated""", _VAL_CTES)
+_TOTAL_COST = f"""
+SELECT {total('c')} AS total_cost
+FROM (SELECT CASE WHEN {_COST_NUM} IS NOT NULL AND isfinite({_COST_NUM}) THEN {_COST_NUM} ELSE 0.0 END AS c
+      FROM validated) v"""
+register("val_total_cost", _TOTAL_COST, _VAL_CTES)
+
+register("val_extreme_costs", _TOTAL_COST, _VAL_CTES, models=EXTREME_CTES)
+
+_LANDED = f"""
+SELECT *, CASE WHEN json_valid(line) THEN line ELSE 'null' END AS sl FROM ({LANDED_SQL}) l"""
+_BAD_COST = f"({_t('cost_usd')} <> 'NULL' AND ({_COST_NUM} IS NULL OR NOT isfinite({_COST_NUM})))"
+_REASONS = f"""
+SELECT line_id, line, CASE
+    WHEN NOT json_valid(line) OR json_type(sl) <> 'OBJECT' OR COALESCE({_BAD_COST}, false) THEN 'malformed_record'
+    WHEN {_s('timestamp')} IS NULL THEN 'null_timestamp'
+    WHEN NOT COALESCE({_s('event_type')} IN ({sql_list(EVENT_TYPES)}), false) THEN 'invalid_event_type'
+    WHEN NOT COALESCE({_COST_NUM} >= 0, false) THEN 'invalid_cost'
+    WHEN try_strptime({_s('timestamp')}, '%Y-%m-%dT%H:%M:%SZ') IS NULL THEN 'invalid_timestamp_format'
+  END AS reject_reason
+FROM landed"""
+_REJECT_CTES = [("landed", _LANDED), ("reasons", _REASONS)]
+register("stg_rejects_all_reasons", """
+SELECT line_id, reject_reason, CASE WHEN reject_reason = 'malformed_record' THEN line END AS record
+FROM reasons WHERE reject_reason IS NOT NULL""", _REJECT_CTES)
+register("stg_lines_accounted", f"""
+SELECT {big('COUNT(*)')} AS lines, {big('count_if(reject_reason IS NULL)')} AS accepted,
+       {big('count_if(reject_reason IS NOT NULL)')} AS rejected FROM reasons""", _REJECT_CTES)
 
 _OK_EVENTS = f"""
 SELECT {_str('event_type')} AS event_type, {_str('partner')} AS partner, {_str('platform')} AS platform,
@@ -486,17 +524,17 @@ SELECT dimension, value, events, cost,
        n AS total_events, c AS total_cost, {rnd('c / NULLIF(n, 0)', 2)} AS avg_cost
 FROM (
   SELECT 'event_type' AS dimension, event_type AS value, {big('COUNT(*)')} AS events,
-         CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE) AS cost FROM ok_events GROUP BY event_type
+         {total('cost_usd')} AS cost FROM ok_events GROUP BY event_type
   UNION ALL
-  SELECT 'partner', partner, {big('COUNT(*)')}, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE)
+  SELECT 'partner', partner, {big('COUNT(*)')}, {total('cost_usd')}
   FROM ok_events GROUP BY partner
   UNION ALL
-  SELECT 'platform', platform, {big('COUNT(*)')}, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE)
+  SELECT 'platform', platform, {big('COUNT(*)')}, {total('cost_usd')}
   FROM ok_events GROUP BY platform
   UNION ALL
-  SELECT 'total', NULL, {big('COUNT(*)')}, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE)
+  SELECT 'total', NULL, {big('COUNT(*)')}, {total('cost_usd')}
   FROM ok_events
-) g, (SELECT {big('COUNT(*)')} AS n, CAST(SUM(CAST(cost_usd AS DECIMAL(28,6))) AS DOUBLE) AS c FROM ok_events) t
+) g, (SELECT {big('COUNT(*)')} AS n, {total('cost_usd')} AS c FROM ok_events) t
 """, _VAL_CTES + [("ok_events", _OK_EVENTS)])
 
 
@@ -571,8 +609,21 @@ LEFT JOIN ({_WEIGHTS}) w ON c.field = w.field AND c.value = w.value,
 register("build_mart_click_through_rate", "SELECT * FROM mart_click_through_rate")
 register("build_int_monthly_metrics", "SELECT * FROM int_monthly_metrics")
 register("build_test_report", _report_sql(DECLARED_CHECKS))
-register("incr_stream_ingest", f"SELECT {_STG_KEEP} FROM stg_mmp_events")
-register("incr_stream_marts", "SELECT * FROM mart_click_through_rate")
+register("build_refresh_replaces", f"""
+SELECT event_date, {big('COUNT(*)')} AS events FROM stg_mmp_events
+WHERE event_date < (SELECT CAST(MAX(substr("timestamp", 1, 7)) || '-01' AS DATE) FROM raw) GROUP BY event_date""")
+register("build_view_staging", "SELECT * FROM mart_installs_reinstalls")
+# events of the first month's last day whose id divides by 11 were last sent a day later
+_MOVED_RAW = f"""
+SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 AND substr("timestamp", 1, 10) = (
+    SELECT MAX(substr("timestamp", 1, 10)) FROM ({RAW_SQL}) a
+    WHERE substr("timestamp", 1, 7) = (SELECT MIN(substr("timestamp", 1, 7)) FROM ({RAW_SQL}) b))
+  THEN strftime(strptime("timestamp", '%Y-%m-%dT%H:%M:%SZ') + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%SZ')
+  ELSE "timestamp" END AS "timestamp")
+FROM ({RAW_SQL}) r"""
+_MOVED_CTES = [("raw", _MOVED_RAW), *MODEL_CTES[1:]]
+register("incr_stream_ingest", f"SELECT {_STG_KEEP} FROM stg_mmp_events", models=_MOVED_CTES)
+register("incr_stream_marts", "SELECT * FROM mart_click_through_rate", models=_MOVED_CTES)
 register("gen_landed_batch", 'SELECT event_id, "timestamp", event_type, partner, cost_usd, app_id, '
          "campaign_id, platform, country_code FROM gen", _GEN_CTES)
 register("src_inventory_by_batch", f"""

@@ -31,7 +31,8 @@ from adlens.operators import checks as C
 from adlens.operators import marts as M
 from adlens.operators import metrics as MET
 from adlens.operators.incremental import write_partitioned_by_date
-from adlens.operators.staging import stage_events
+from adlens.operators.staging import STAGED_COLUMNS, stage_events, staged_and_rejected
+from adlens.session import path_exists, stored
 from adlens.sources.tables import create_view, read_table, with_docs, write_table
 
 LAYERS: dict[str, list[str]] = {
@@ -68,14 +69,6 @@ class BuildFailed(RuntimeError):
     pass
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - no table at this path
-        return False
-
-
 def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] | None = None,
           mode: str = "strict", load_stamp: bool | Column = True, run_tests: bool = True,
           fail_on_error: bool = False, staging: str = "table",
@@ -86,9 +79,9 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
     by ``event_date``, so the raw JSON is parsed a single time and every
     later job reads only the Parquet columns it needs. ``staging="view"``
     keeps the staging model lazy, as a view over the raw source.
-    ``exact_cost=False`` sums costs as doubles (for costs finer than 1e-6;
-    the default decimal sums are exact for cents and independent of
-    partitioning).
+    The staged table is replaced in full, and the rows it leaves out go to
+    ``staging/stg_rejects`` with their reason. ``exact_cost=False`` sums costs
+    as doubles at every grain.
     """
     if staging not in ("table", "view"):
         raise ValueError("staging must be 'table' or 'view'")
@@ -100,9 +93,16 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
     stg = with_docs(stage_events(raw, mode), STAGED_DOCS)
     stg_path = path("staging", "stg_mmp_events")
     if staging == "table" and "stg_mmp_events" in models:
-        res.tables["stg_mmp_events"] = write_partitioned_by_date(stg, stg_path)
-    if staging == "table" and _exists(spark, stg_path):
-        stg = read_table(spark, stg_path).select(*stg.columns)
+        # one parse serves the staged table, replaced in full, and the rejects
+        with stored(staged_and_rejected(raw, mode), "staging") as rows:
+            kept = rows.filter(F.col("reject_reason").isNull()).select(*STAGED_COLUMNS)
+            res.tables["stg_mmp_events"] = write_partitioned_by_date(with_docs(kept, STAGED_DOCS), stg_path, replace_all=True)
+            res.tables["stg_rejects"] = write_table(
+                rows.filter(F.col("reject_reason").isNotNull()).select("rejected.*", "reject_reason"),
+                path("staging", "stg_rejects"))
+    if staging == "table" and path_exists(spark, stg_path):
+        # with the schema: a source without rows leaves a table without files
+        stg = spark.read.schema(stg.schema).parquet(stg_path).select(*stg.columns)
     stg = create_view(stg, "stg_mmp_events")
     tables: dict[str, DataFrame] = {"stg_mmp_events": stg}
 
@@ -113,7 +113,7 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
             if df is None:
                 raise BuildFailed(f"{name}: an upstream model is neither selected nor built")
             res.tables[name] = write_table(df, path(layer, name), docs=METRIC_DOCS)
-        if not _exists(spark, path(layer, name)):
+        if not path_exists(spark, path(layer, name)):
             return None
         df = read_table(spark, path(layer, name))
         tables[name] = create_view(df, name)
@@ -122,9 +122,9 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
     daily = materialize("intermediate", "int_daily_metrics",
                         lambda: MET.grain_metrics(stg, "daily", exact_cost, load_stamp))
     weekly = materialize("intermediate", "int_weekly_metrics",
-                         lambda: daily and MET.roll_up_published(daily, "weekly", load_stamp))
+                         lambda: daily and MET.roll_up_published(daily, "weekly", load_stamp, exact_cost))
     monthly = materialize("intermediate", "int_monthly_metrics",
-                          lambda: daily and MET.roll_up_published(daily, "monthly", load_stamp))
+                          lambda: daily and MET.roll_up_published(daily, "monthly", load_stamp, exact_cost))
     for name, mart in M.MARTS.items():
         materialize("marts", name,
                     lambda mart=mart: (mart(daily, weekly, monthly)

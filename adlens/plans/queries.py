@@ -1,8 +1,10 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the driver tables under ``sf_dir`` (through the adapter of
-``adlens.sources.driver_events``) and returns a lazy DataFrame over the whole
-input; none is capped or sampled. Column names equal the oracle's.
+``adlens.sources.driver_events``) and returns a DataFrame over the whole
+input; none is capped or sampled. Column names equal the oracle's. Queries
+over several grains or marts, builds and loads write tables below the shared
+checkpoint folder when they are called; the others stay lazy.
 """
 
 from __future__ import annotations
@@ -18,14 +20,17 @@ from adlens.operators import incremental as INC
 from adlens.operators import reports as R
 from adlens.operators import synth as G
 from adlens.operators import validate as V
-from adlens.operators.staging import rejects_by_reason
+from adlens.operators.staging import rejected_events, rejects_by_reason, staged_and_rejected
 from adlens.plans import pipeline as P
+from adlens.plans.increment import load_increment
 from adlens.plans.landing import land_synthetic
 from adlens.plans.layers import Layers
 from adlens.session import scratch_path
 from adlens.sources import jsonl as J
 from adlens.sources import tables as TB
-from adlens.sources.driver_events import raw_events, read_driver_events, validation_lines
+from adlens.sources.driver_events import (
+    dirty_events, extreme_events, landed_lines, lines_from_raw, raw_events, read_driver_events, validation_lines,
+)
 from adlens.operators import marts as M
 from adlens.operators import metrics as MET
 from adlens.streaming.ingest import ingest, read_daily
@@ -48,10 +53,16 @@ def _model(name: str) -> QueryFn:
     return run
 
 
-for _name in ("stg_mmp_events", "int_daily_metrics", "int_weekly_metrics",
-              "int_monthly_metrics", "mart_installs_reinstalls",
-              "mart_click_through_rate", "mart_cost_per_install"):
+for _name in ("stg_mmp_events", "mart_installs_reinstalls", "mart_click_through_rate", "mart_cost_per_install"):
     QUERIES[_name] = _model(_name)
+for _grain in MET.GRAIN_KEY:
+    QUERIES[f"int_{_grain}_metrics"] = lambda s, d, g=_grain: Layers(s, d).grain(g)
+
+
+@query("int_extreme_costs")
+def int_extreme_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Install volumes of every grain where some costs are 4e-7, 1e12 or 1e25."""
+    return Layers(spark, sf_dir, raw=extreme_events(spark, sf_dir)).mart_installs_reinstalls
 
 
 # --- Validation and report queries (V1-V12, dashboard views) ---------------
@@ -106,10 +117,15 @@ def check_tables(L: Layers) -> dict[str, DataFrame]:
     return {t: L.table(t) for t in _CHECK_TABLES}
 
 
+def _dirty(spark: SparkSession, sf_dir: str) -> Layers:
+    """Models over defective events, without the cost rule: the tests have failures to find."""
+    return Layers(spark, sf_dir, mode="quarantine", raw=dirty_events(spark, sf_dir), check_cost=False)
+
+
 def _dq_rows(test_name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         chk = C.check_by_name(test_name)
-        return C.failing_rows(chk, _l(spark, sf_dir).table(chk.table))
+        return C.failing_rows(chk, _dirty(spark, sf_dir).table(chk.table))
     run.__name__ = test_name
     return run
 
@@ -130,13 +146,13 @@ QUERIES["dq_cpi_blended_ge_direct"] = _dq_rows(
 @query("dq_not_null")
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [c for c in C.DECLARED_CHECKS if c.kind == "not_null"]
-    return (C.run_checks(check_tables(_l(spark, sf_dir)), specs)
+    return (C.run_checks(check_tables(_dirty(spark, sf_dir)), specs)
             .select("test_name", "table_name", "column_name", "failures"))
 
 
 @query("dq_accepted_values")
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = _l(spark, sf_dir)
+    L = _dirty(spark, sf_dir)
     out = None
     for c in (c for c in C.DECLARED_CHECKS if c.kind == "accepted_values"):
         part = (C.failing_rows(c, L.table(c.table))
@@ -148,7 +164,7 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dq_report")
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.run_checks(check_tables(_l(spark, sf_dir)), C.DECLARED_CHECKS)
+    return C.run_checks(check_tables(_dirty(spark, sf_dir)), C.DECLARED_CHECKS)
 
 
 # --- Sources, sinks, staging extras (S1-S12, P7-P9, F4) ----------------------
@@ -179,7 +195,7 @@ def src_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _land_by_batch(spark, sf_dir)
     back = J.read_events(spark, out, base_path=out)
     return back.groupBy("batch").agg(F.count(F.lit(1)).alias("event_count"),
-                                     R.exact_sum("cost_usd").cast("double").alias("total_cost"))
+                                     R.exact_sum("cost_usd").alias("total_cost"))
 
 
 @query("src_file_inventory")
@@ -210,6 +226,22 @@ def stg_rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects_by_reason(raw_events(spark, sf_dir), mode="quarantine")
 
 
+@query("stg_rejects_all_reasons")
+def stg_rejects_all_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected line with its reason, and its text where it is malformed."""
+    raw = J.parse_events(landed_lines(spark, sf_dir), "line", mode="PERMISSIVE")
+    return rejected_events(raw).select("line_id", "reject_reason", F.col("_corrupt_record").alias("record"))
+
+
+@query("stg_lines_accounted")
+def stg_lines_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """accepted + rejected = lines."""
+    raw = J.parse_events(landed_lines(spark, sf_dir), "line", mode="PERMISSIVE")
+    return staged_and_rejected(raw, "quarantine").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("reject_reason").isNull()).alias("accepted"),
+        F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
+
+
 # --- Incremental (X1-X3) -----------------------------------------------------
 
 STG_KEEP = ["event_id", "event_date", "event_type", "partner", "platform", "cost_usd"]
@@ -229,12 +261,27 @@ def incr_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("incr_merge_by_key")
 def incr_merge_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg = _l(spark, sf_dir).stg_mmp_events.select(*STG_KEEP)
+    """The new batch repeats keys (one with a later date) and has rows without one."""
+    stg = _l(spark, sf_dir).stg_mmp_events.select("event_timestamp", *STG_KEEP)
     cut = _split_month(stg)
+    e = F.col("event_id").cast("bigint")
     target = stg.filter(F.col("event_date") < cut).withColumn("load_batch", F.lit("initial"))
-    new = (stg.filter(F.col("event_date") >= F.date_sub(cut, 7))
-              .withColumn("load_batch", F.lit("increment")))
-    return INC.upsert(target, new, "event_id")
+    new = stg.filter(F.col("event_date") >= F.date_sub(cut, 7)).withColumn("load_batch", F.lit("increment"))
+    moved = (new.filter(e % 5 == 0).withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL 1 DAY"))
+             .withColumn("event_date", F.date_add("event_date", 1)).withColumn("load_batch", F.lit("moved")))
+    nameless = new.filter(e % 7 == 0).withColumn("event_id", F.lit(None).cast("string"))
+    return INC.upsert(target, new.unionByName(moved).unionByName(nameless), "event_id",
+                      ["event_timestamp"]).drop("event_timestamp")
+
+
+@query("incr_batch_job")
+def incr_batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batch runs against a stored table: the second adds what is newer."""
+    stg = _l(spark, sf_dir).stg_mmp_events
+    target = scratch_path(spark, "increment")
+    load_increment(spark, stg.filter(F.col("event_date") < _split_month(stg)), target)
+    load_increment(spark, stg, target)
+    return spark.read.schema(stg.schema).parquet(target).select(*STG_KEEP)
 
 
 @query("out_partition_pruned")
@@ -246,7 +293,7 @@ def out_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (back.filter(F.col("event_date") > F.date_sub(newest, 7))
                 .groupBy("event_date")
                 .agg(F.count(F.lit(1)).alias("events"),
-                     R.exact_sum("cost_usd").cast("double").alias("total_cost")))
+                     R.exact_sum("cost_usd").alias("total_cost")))
 
 
 # --- Raw-event validator (R1-R11) ---------------------------------------------
@@ -263,6 +310,7 @@ _VALIDATOR: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "val_first_errors": lambda s, d: V.first_errors(_validated(s, d), "line_id", 10),
     "val_event_distribution": lambda s, d: V.event_distribution(validation_lines(s, d)),
     "val_total_cost": lambda s, d: V.total_cost(validation_lines(s, d)),
+    "val_extreme_costs": lambda s, d: V.total_cost(lines_from_raw(extreme_events(s, d))),
     "val_summary": lambda s, d: V.batch_summary(V.parsed_events(_validated(s, d))),
 }
 QUERIES.update(_VALIDATOR)
@@ -302,32 +350,58 @@ def build_int_monthly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TB.read_table(spark, res.tables["int_monthly_metrics"])
 
 
+@query("build_refresh_replaces")
+def build_refresh_replaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build over a shrunk source leaves nothing of the one before it."""
+    raw, out = raw_events(spark, sf_dir), scratch_path(spark, "build")
+    newest = raw.select(F.max(F.substring("timestamp", 1, 7))).scalar()
+    P.build(spark, raw, out, load_stamp=False, run_tests=False)
+    res = P.build(spark, raw.filter(F.substring("timestamp", 1, 7) < newest), out, load_stamp=False, run_tests=False)
+    staged = Layers(spark, sf_dir).stg_mmp_events.schema
+    return (spark.read.schema(staged).parquet(res.tables["stg_mmp_events"]).groupBy("event_date")
+            .agg(F.count(F.lit(1)).alias("events")))
+
+
+@query("build_view_staging")
+def build_view_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same marts over a lazy staging view."""
+    res = P.build(spark, raw_events(spark, sf_dir), scratch_path(spark, "build"), load_stamp=False,
+                  run_tests=False, staging="view")
+    return TB.read_table(spark, res.tables["mart_installs_reinstalls"])
+
+
 @query("build_test_report")
 def build_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _build(spark, sf_dir).report
 
 
 def _two_landings(spark: SparkSession, sf_dir: str, daily_path: str | None = None) -> str:
-    """Land events in two runs (the second re-sends a day), ingesting each
-    run incrementally; returns the staged target's path."""
+    """Land events in two runs, ingesting each; returns the staged target's path.
+
+    The second run re-sends a day, then some of its events a day later (the
+    last sending counts) and some without an id (rejected)."""
     raw = raw_events(spark, sf_dir).withColumn("batch", batch_of(F.col("timestamp")))
     month = F.substring(F.col("timestamp"), 1, 7)
     first_month = raw.select(F.min(month)).scalar()
     last_day_first = raw.filter(month == first_month).select(F.max("batch")).scalar()
     landing, target = scratch_path(spark, "landing"), scratch_path(spark, "staged")
-    ckpt, rejects = scratch_path(spark, "ingest-ckpt"), scratch_path(spark, "rejects")
     J.write_partitioned(raw.filter(month == first_month), landing, "batch")
-    ingest(spark, f"{landing}/batch=*", target, ckpt, rejects, daily_path=daily_path)
-    second = raw.filter(~F.coalesce(month == first_month, F.lit(False))
-                        | (F.col("batch") == last_day_first))
+    ingest(spark, f"{landing}/batch=*", target, daily_path=daily_path)
+    again = raw.filter(F.col("batch") == last_day_first)
+    e = F.col("event_id").cast("bigint")
+    at = F.to_timestamp_ntz("timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    late = (again.filter(e % 11 == 0).withColumn("batch", F.lit("mmp_events_99991231_000000"))
+            .withColumn("timestamp", F.date_format(at + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    nameless = again.filter(e % 13 == 0).withColumn("event_id", F.lit(None).cast("string"))
+    second = raw.filter(~F.coalesce(month == first_month, F.lit(False))).unionByName(again).unionByName(late).unionByName(nameless)
     J.write_partitioned(second, landing, "batch", mode="append")
-    ingest(spark, f"{landing}/batch=*", target, ckpt, rejects, daily_path=daily_path)
+    ingest(spark, f"{landing}/batch=*", target, daily_path=daily_path)
     return target
 
 
 @query("incr_stream_ingest")
 def incr_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two incremental runs; the target holds every staged event exactly once."""
+    """Two incremental runs; the target holds the last sending of every event."""
     return spark.read.parquet(_two_landings(spark, sf_dir)).select(*STG_KEEP)
 
 

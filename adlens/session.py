@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,8 +47,8 @@ def get_session(master: str | None = None, app_name: str = "adlens",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a local folder created
-    and registered; on a cluster the configured shared location is used.
+    Only a ``local`` session without one gets a folder of its own; anywhere
+    else executors would write to their own disks, so that is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:  # a classic session; Spark Connect has no SparkContext here
@@ -57,6 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local") or \
+                spark.conf.get("spark.master", "").startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="adlens-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -79,3 +83,42 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def stored(df, name: str):
+    """``df`` written once, as ``materialize`` does, and deleted afterwards:
+    for copies that nothing reads lazily once the block has ended."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is at ``path``; other faults of the store are raised."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _file_system(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(to):
+        raise FileExistsError(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"{source} could not be renamed to {target}")

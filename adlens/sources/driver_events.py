@@ -90,6 +90,62 @@ FROM events
 """
 
 
+# Further defects, for the data tests: what a source without this library's
+# staging rules could deliver (again by key residue, every row kept).
+DUPLICATE_ID_MOD, NULL_ID_MOD, NULL_PARTNER_MOD, NULL_PLATFORM_MOD, OTHER_PLATFORM_MOD = 103, 107, 109, 113, 127
+NULL_COUNTRY_MOD, NULL_APP_MOD, BAD_TIMESTAMP_MOD, NULL_COST_MOD = 131, 137, 139, 151
+# Costs far outside the usual range.
+TINY_COST_MOD, LARGE_COST_MOD, HUGE_COST_MOD = 7, 997, 2003
+TINY_COST, LARGE_COST, HUGE_COST = 4e-7, 1e12, 1e25
+
+
+def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events with repeated and null ids, nulls, an unknown platform and unparsable timestamps."""
+    raw = raw_events(spark, sf_dir).withColumn("_e", F.col("event_id").cast("bigint"))
+    e = F.col("_e")
+
+    def null_at(column: str, mod: int) -> F.Column:
+        return F.when(e % mod != 0, F.col(column))
+    return raw.withColumns({
+        "event_id": F.when(e % DUPLICATE_ID_MOD == 0, (e + 1).cast("string")).otherwise(null_at("event_id", NULL_ID_MOD)),
+        "timestamp": F.when(e % BAD_TIMESTAMP_MOD == 0, F.lit("2026-13-01T00:00:00Z")).otherwise(F.col("timestamp")),
+        "partner": null_at("partner", NULL_PARTNER_MOD),
+        "platform": F.when(e % OTHER_PLATFORM_MOD == 0, F.lit("Web")).otherwise(null_at("platform", NULL_PLATFORM_MOD)),
+        "country_code": null_at("country_code", NULL_COUNTRY_MOD),
+        "app_id": null_at("app_id", NULL_APP_MOD),
+        "cost_usd": null_at("cost_usd", NULL_COST_MOD),
+    }).drop("_e")
+
+
+DIRTY_SQL = f"""
+SELECT CASE WHEN e % {DUPLICATE_ID_MOD} = 0 THEN CAST(e + 1 AS VARCHAR) WHEN e % {NULL_ID_MOD} <> 0 THEN event_id END AS event_id,
+  CASE WHEN e % {BAD_TIMESTAMP_MOD} = 0 THEN '2026-13-01T00:00:00Z' ELSE "timestamp" END AS "timestamp", event_type,
+  CASE WHEN e % {NULL_PARTNER_MOD} <> 0 THEN partner END AS partner,
+  CASE WHEN e % {NULL_COST_MOD} <> 0 THEN cost_usd END AS cost_usd,
+  CASE WHEN e % {NULL_APP_MOD} <> 0 THEN app_id END AS app_id, campaign_id,
+  CASE WHEN e % {OTHER_PLATFORM_MOD} = 0 THEN 'Web' WHEN e % {NULL_PLATFORM_MOD} <> 0 THEN platform END AS platform,
+  CASE WHEN e % {NULL_COUNTRY_MOD} <> 0 THEN country_code END AS country_code
+FROM (SELECT *, CAST(event_id AS BIGINT) AS e FROM ({RAW_SQL}) r) d
+"""
+
+
+def extreme_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events some of which cost 4e-7, 1e12 or 1e25."""
+    e = F.col("event_id").cast("bigint")
+    cost = (F.when(e % HUGE_COST_MOD == 0, F.lit(HUGE_COST)).when(e % LARGE_COST_MOD == 0, F.lit(LARGE_COST))
+            .when(e % TINY_COST_MOD == 0, F.lit(TINY_COST)).otherwise(F.col("cost_usd")))
+    return raw_events(spark, sf_dir).withColumn("cost_usd", cost)
+
+
+EXTREME_SQL = f"""
+SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % {HUGE_COST_MOD} = 0 THEN CAST('1e25' AS DOUBLE)
+                       WHEN CAST(event_id AS BIGINT) % {LARGE_COST_MOD} = 0 THEN CAST('1e12' AS DOUBLE)
+                       WHEN CAST(event_id AS BIGINT) % {TINY_COST_MOD} = 0 THEN CAST('4e-7' AS DOUBLE)
+                       ELSE cost_usd END AS cost_usd)
+FROM ({RAW_SQL}) r
+"""
+
+
 # ---------------------------------------------------------------------------
 # JSON text lines for the validator: adapter rows written as JSON objects,
 # with defects by key residue (again: every row becomes exactly one line).
@@ -103,6 +159,7 @@ SPACE_SEPARATOR_MOD = 67       # "2024-01-05 10:00:00Z" (valid ISO, not staging'
 STRING_COST_MOD = 73           # "cost_usd": "12.31"
 TEXT_COST_MOD = 79             # "cost_usd": "n/a"
 TRUNCATED_MOD = 83             # line cut after 20 characters
+TWO_OBJECTS_MOD = 157          # in landed lines only: two objects on one line
 
 
 def _json_scalar(c: F.Column) -> F.Column:
@@ -185,3 +242,17 @@ FROM (
     FROM raw) r
 ) x
 """
+
+
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``validation_lines`` some of which hold their object twice."""
+    lines = validation_lines(spark, sf_dir)
+    # a generator: the parser's several uses of a line then don't write it out again each time
+    lines = lines.select("line_id", F.explode(F.array("line")).alias("line"))
+    return lines.withColumn("line", F.when(
+        F.col("line_id") % TWO_OBJECTS_MOD == 0, F.concat("line", F.lit(" "), "line")).otherwise(F.col("line")))
+
+
+LANDED_SQL = f"""
+SELECT line_id, CASE WHEN line_id % {TWO_OBJECTS_MOD} = 0 THEN line || ' ' || line ELSE line END AS line FROM ({LINES_SQL}) l
+"""

@@ -2,8 +2,10 @@
 
 * Reads use the fixed ``RAW_SCHEMA`` (no inference pass, no type drift) and
   ``FAILFAST`` by default, so a malformed line fails the load instead of
-  turning into a silently dropped all-null row. Non-numeric tokens (NaN,
-  Infinity) are refused.
+  turning into a silently dropped all-null row. A line of more than one
+  object, or with text after it, is malformed (Spark's own reader would take
+  the first object and drop the rest). Costs are what the validator takes:
+  numbers, numeric strings, true and false; NaN and infinity are refused.
 * Writes land each batch in its own directory (``batch=<stamp>``) and never
   overwrite; the file committer and task retries replace a client-side retry
   loop, and a partial task output is never visible.
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.constants import RAW_SCHEMA
+from adlens.session import path_exists
 
 BATCH_PREFIX = "mmp_events_"
 CORRUPT_COLUMN = "_corrupt_record"
@@ -31,11 +34,44 @@ def batch_stamp(now: _dt.datetime | None = None) -> str:
     return f"{BATCH_PREFIX}{now:%Y%m%d_%H%M%S}"
 
 
-def _reader(spark: SparkSession, schema: T.StructType, mode: str):
-    return (spark.read.schema(schema)
-            .option("mode", mode)
-            .option("allowNonNumericNumbers", "false")
-            .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
+NUMBER_TEXT = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def parse_events(lines: DataFrame, line: str = "value", mode: str = "FAILFAST") -> DataFrame:
+    """Raw events from JSON text lines, one object each; blank lines are none.
+
+    Other columns of ``lines`` are kept. ``mode="PERMISSIVE"`` adds
+    ``_corrupt_record``, the text of a malformed line.
+    """
+    if mode.upper() not in ("FAILFAST", "PERMISSIVE"):
+        raise ValueError("mode must be 'FAILFAST' or 'PERMISSIVE'")
+    fields = [T.StructField(f.name, T.StringType() if f.name == "cost_usd" else f.dataType) for f in RAW_SCHEMA.fields]
+    schema = T.StructType([*fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    text, j = F.col(line), F.col("_j")
+    others = [c for c in lines.columns if c != line]
+    df = lines.filter(F.trim(text) != "").withColumn("_j", F.from_json(text, schema, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "allowNonNumericNumbers": "false"}))
+    # only lines with something after a brace can hold more than one object: those are parsed as a list
+    several = F.when(text.rlike(r"\}\s*\S"), F.coalesce(F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$[1]", "variant").isNotNull()
+        | F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNull(), F.lit(True))).otherwise(F.lit(False))
+    cost = j["cost_usd"]
+    number = (F.when(F.lower(cost) == "true", F.lit(1.0)).when(F.lower(cost) == "false", F.lit(0.0))
+              .when(cost.rlike(NUMBER_TEXT), F.trim(cost).try_cast("double")))
+    bad = (j.isNull() | j[CORRUPT_COLUMN].isNotNull() | several
+           | (cost.isNotNull() & (number.isNull() | (F.abs(number) == float("inf")))))
+    df = df.withColumn("_bad", F.coalesce(bad, F.lit(True))).withColumn("_cost", number)
+    out = [(F.col("_cost") if f.name == "cost_usd" else j[f.name]).alias(f.name) for f in RAW_SCHEMA.fields]
+    if mode.upper() == "PERMISSIVE":
+        event = F.array(F.struct(*out, F.when(F.col("_bad"), text).alias(CORRUPT_COLUMN)))
+    else:
+        event = F.array(F.struct(*out))
+        event = F.when(F.col("_bad"), F.raise_error(F.concat(F.lit("Malformed event record: "), text))).otherwise(event)
+    # The event leaves through a one-element generator: a later filter on its
+    # fields then stays above it, where a plain projection would let the
+    # optimizer put the whole parse into the filter, several times over.
+    return df.select(*others, F.inline(event)).select(*[f.name for f in RAW_SCHEMA.fields],
+                                                      *([CORRUPT_COLUMN] if mode.upper() == "PERMISSIVE" else []), *others)
 
 
 def read_events(spark: SparkSession, path: str, mode: str = "FAILFAST",
@@ -46,13 +82,10 @@ def read_events(spark: SparkSession, path: str, mode: str = "FAILFAST",
     quarantine) instead of failing. With ``base_path`` set, ``batch=...``
     directories below it become a ``batch`` column (hive-style discovery).
     """
-    schema = RAW_SCHEMA
-    if mode.upper() == "PERMISSIVE":
-        schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    r = _reader(spark, schema, mode)
+    r = spark.read
     if base_path:
         r = r.option("basePath", base_path)
-    return r.json(path)
+    return parse_events(r.text(path), mode=mode)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -117,5 +150,8 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*.json*") -> Dat
 
 
 def file_exists(spark: SparkSession, path: str, name: str) -> bool:
-    """True when a file called ``name`` exists below ``path``."""
-    return list_files(spark, path, name).limit(1).count() > 0
+    """True when ``name`` is below ``path``: a name with folders at just that
+    place, a bare name in any folder."""
+    if path_exists(spark, f"{path.rstrip('/')}/{name}"):
+        return True
+    return "/" not in name and list_files(spark, path, name).limit(1).count() > 0

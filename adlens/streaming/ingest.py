@@ -6,52 +6,59 @@ landed since the previous run, however many runs there are, and a failed run
 is retried from the last committed offsets. Each micro-batch is merged into a
 date-partitioned staged table:
 
-* rows are staged in quarantine mode; rejects go to ``<target>_rejects``,
-  written per micro-batch id, so a retried batch replaces its own output;
-* the touched ``event_date`` partitions of the target are read back (the
-  join on the partition column prunes the rest), upserted by ``event_id``
-  (new row wins) and written with dynamic partition overwrite;
-* the merged rows are first written once below the cluster's checkpoint
-  folder, which cuts the read-from-target lineage before those partitions
-  are replaced.
+* the batch is parsed and staged once, in quarantine mode, and stored below
+  the cluster's checkpoint folder until it is merged; malformed lines (also
+  lines of more than one object) keep their text;
+* rejects, rows without an ``event_id`` among them, go to
+  ``<rejects>/run=<checkpoint>/epoch=<n>``: a retried batch replaces its own
+  output and nothing else;
+* of several rows of one ``event_id`` the last landed wins (batch folder,
+  then event time, then the other columns), within a micro-batch and across
+  them, so their number does not matter;
+* the dates that the batch or an earlier row of one of its ids falls on are
+  read back (static partition filter), merged and written with dynamic
+  partition overwrite; a date that an event has left empty is deleted.
+  Finding the earlier rows reads the target's two key columns.
+
+The default checkpoint and rejects folders are named after the target, so
+that later runs go on where the last one ended.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlens.constants import RAW_SCHEMA
 from adlens.operators import metrics as MET
-from adlens.operators.incremental import upsert, write_partitioned_by_date
-from adlens.operators.staging import rejected_events, stage_events
-from adlens.session import materialize, scratch_path
-
+from adlens.operators.incremental import write_partitioned_by_date
+from adlens.operators.staging import stage_events, staged_and_rejected
+from adlens.plans.increment import drop_dates, merge_staged
+from adlens.session import path_exists, stored
+from adlens.sources.jsonl import parse_events
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing or empty path
-        return False
+LANDED = "_landed"  # what orders the sendings of one event
 
 
 def staged_schema(spark: SparkSession):
     return stage_events(spark.createDataFrame([], RAW_SCHEMA)).schema
 
 
-def refresh_daily(spark: SparkSession, target: str, touched: DataFrame, daily_path: str) -> None:
+def refresh_daily(spark: SparkSession, target: str, touched: list, daily_path: str) -> None:
     """Recompute the daily metrics of the ``touched`` dates from the staged
     table and replace just those ``event_date`` partitions of ``daily_path``.
 
-    Only the touched partitions are read (the semi join on the partition
-    column prunes the rest); the daily groups are exact, so weekly and
-    monthly metrics rolled up from this table equal a full rebuild.
+    Only the touched partitions are read; the daily groups are exact, so
+    weekly and monthly metrics rolled up from this table equal a full rebuild.
     """
-    staged = (spark.read.schema(staged_schema(spark)).parquet(target)
-              .join(touched, "event_date", "left_semi"))
+    staged = spark.read.schema(staged_schema(spark)).parquet(target).filter(F.col("event_date").isin(touched))
     # Reads the staged table, writes the daily one: no read/write overlap,
     # so the result is written directly.
     write_partitioned_by_date(MET.grain_metrics(staged, "daily", load_stamp=False), daily_path)
+    held = {r.event_date for r in staged.select("event_date").distinct().collect()}
+    drop_dates(spark, daily_path, [d for d in touched if d not in held])
 
 
 def read_daily(spark: SparkSession, daily_path: str) -> DataFrame:
@@ -64,24 +71,24 @@ def _daily_parts_schema(spark: SparkSession):
     return MET.daily_parts(spark.createDataFrame([], staged_schema(spark))).schema
 
 
-def merge_batch(spark: SparkSession, batch: DataFrame, target: str,
-                rejects: str | None, epoch_id: int, daily_path: str | None = None) -> None:
-    staged = stage_events(batch, mode="quarantine")
-    if rejects:
-        (rejected_events(batch, mode="quarantine").write.mode("overwrite")
-         .parquet(f"{rejects}/epoch={epoch_id}"))
-    touched = staged.select("event_date").distinct()
-    current = (spark.read.schema(staged.schema).parquet(target)
-               .join(touched, "event_date", "left_semi"))
-    merged = upsert(current.select(*staged.columns), staged, "event_id")
-    write_partitioned_by_date(materialize(merged, "ingest-merge"), target)
-    if daily_path:
+def merge_batch(spark: SparkSession, batch: DataFrame, target: str, rejects: str, epoch_id: int,
+                daily_path: str | None = None) -> None:
+    """Merge raw rows into the staged table at ``target``; a ``_landed`` column orders
+    the sendings of one event."""
+    if LANDED not in batch.columns:
+        batch = batch.withColumn(LANDED, F.lit(""))
+    with stored(staged_and_rejected(batch, "quarantine", require_id=True, keep=(LANDED,)), "ingest-batch") as rows:
+        (rows.filter(F.col("reject_reason").isNotNull()).select("rejected.*", "reject_reason")
+         .write.mode("overwrite").parquet(f"{rejects}/epoch={epoch_id}"))
+        new = rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "rejected")
+        held = spark.read.schema(staged_schema(spark)).parquet(target)
+        touched = merge_staged(spark, new, held, target, [LANDED, "event_timestamp"], [LANDED])
+    if daily_path and touched:
         refresh_daily(spark, target, touched, daily_path)
 
 
-def ingest(spark: SparkSession, landing_glob: str, target: str,
-           checkpoint: str | None = None, rejects: str | None = None,
-           max_files_per_trigger: int | None = None, daily_path: str | None = None) -> None:
+def ingest(spark: SparkSession, landing_glob: str, target: str, checkpoint: str | None = None,
+           rejects: str | None = None, max_files_per_trigger: int | None = None, daily_path: str | None = None) -> None:
     """Process every batch landed under ``landing_glob`` not yet ingested.
 
     ``max_files_per_trigger`` bounds each micro-batch; ``availableNow`` then
@@ -89,21 +96,24 @@ def ingest(spark: SparkSession, landing_glob: str, target: str,
     ``daily_path`` the daily metrics of the dates each micro-batch touched
     are refreshed too (see ``refresh_daily``).
     """
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
-    if not _exists(spark, target):
+    target = target.rstrip("/")
+    checkpoint = checkpoint or f"{target}_checkpoint"
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    rejects = f"{(rejects or target + '_rejects').rstrip('/')}/run={run}"
+    if not path_exists(spark, target):
         # An empty, date-partitioned target: every micro-batch can then read
         # it with the staged schema and merge, with no existence probing.
         spark.createDataFrame([], staged_schema(spark)).write.mode("append") \
              .partitionBy("event_date").parquet(target)
-    reader = (spark.readStream.schema(RAW_SCHEMA)
-              .option("mode", "PERMISSIVE")
-              .option("allowNonNumericNumbers", "false"))
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landing_glob)
+    path = F.col("_metadata.file_path")
+    folder = F.regexp_extract(path, r"/batch=([^/]+)/", 1)
+    lines = reader.text(landing_glob).select("value", F.when(folder != "", folder).otherwise(path).alias(LANDED))
+    stream = parse_events(lines, mode="PERMISSIVE")
     q = (stream.writeStream
-         .foreachBatch(lambda df, epoch: merge_batch(spark, df, target, rejects, epoch,
-                                                     daily_path))
+         .foreachBatch(lambda df, epoch: merge_batch(spark, df, target, rejects, epoch, daily_path))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

@@ -6,11 +6,11 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from adlens.plans.oracle import ORACLE
+from adlens.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +35,12 @@ def test_every_query_has_an_oracle_or_is_listing():
     assert set(QUERIES) - set(ORACLE) <= {"src_file_inventory"}
 
 
+def test_entry_works_without_the_training_text_operators(monkeypatch):
+    import sys
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert set(E.queries()) == set(QUERIES) and set(E.oracle_sql()) <= set(QUERIES)
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "ctr_percentage" in df.columns

@@ -3,15 +3,15 @@ cartesian or nested-loop join, no window (so no single-task OVER ())."""
 import pytest
 from conftest import SF_SMALL, plan_text
 
-import __spark_entry__ as E
+from adlens.plans.queries import QUERIES
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
              "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Window [")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_uses_builtin_operators(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = plan_text(df, "extended")
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
