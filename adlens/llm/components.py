@@ -13,7 +13,7 @@ def _star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     large = (both.join(least, "a").where(F.col("b") > F.col("a"))
-             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"))
     low = large.groupBy("a").agg(F.min("b").alias("m"))
     return (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(low).where("a <> b").distinct())

@@ -47,8 +47,8 @@ THRESHOLD = 75            # per cent of the union
 SKETCH_BITS = 26          # at most 2^26 cells of half a byte: 32 MB broadcast
 BUCKET_SHINGLES = 1 << 20  # aimed at in one counting group (4 MB)
 BLOCK_SHINGLES = 1 << 20   # gathered by a task before it ships its blocks
-STAR_ROUNDS = 2
-LEADERS = 4               # of one shingle's group in one star round
+STAR_ROUNDS = 3
+LEADERS = 16              # of one shingle's group in one star round
 
 
 def need(n: int, m: int, per_cent: int = THRESHOLD) -> int:
@@ -234,7 +234,7 @@ def links(classes: DataFrame, per_cent: int = THRESHOLD) -> DataFrame:
         found = new if found is None else found.union(new)
         tried = pairs if tried is None else tried.union(pairs)
         if turn < STAR_ROUNDS:
-            root = materialize(connected_components(found), "roots")
+            root = connected_components(found)
     return found
 
 
