@@ -46,7 +46,7 @@ ROUNDS = 8
 HEX = "0123456789abcdef"
 _ALNUM = "A-Za-z0-9"
 PATTERNS = {
-    "secret": r"""(?i:\b(?:token|secret|password|passwd|api[_-]?key))\s{0,3}[=:]\s{0,3}["'][A-Za-z0-9+/_=.-]{8,256}["']""",
+    "secret": r"""(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}["'][A-Za-z0-9+/_=.-]{8,256}["']""",
     "email": rf"(?<![{_ALNUM}._%+-])[{_ALNUM}._%+-]{{1,64}}+@(?:[{_ALNUM}-]{{1,63}}\.){{1,8}}[A-Za-z]{{2,24}}(?![{_ALNUM}])",
     "iban": rf"(?<![{_ALNUM}])[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_ALNUM}])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-]|\.[0-9])",
