@@ -6,10 +6,10 @@ each for itself, so a text's count is the sum of its pre-tokens' counts:
 1. ``vocabulary``: the distinct pre-tokens of the whole corpus with how often
    they occur (tasks count before the shuffle) and, encoded once each, how
    many tokens they give.
-2. Every document's pre-token frequencies meet these counts. Pre-tokens that
-   make up at least one in ``HEAD`` of all occurrences - at most ``HEAD`` of
-   them, whatever the corpus - are broadcast and summed on the spot; the rest
-   are joined on the pre-token, and as each is rare, no key is hot.
+2. Every document's pre-token frequencies meet these counts. The most frequent
+   pre-tokens - at most ``HEAD`` of them, whatever the corpus - are broadcast
+   and summed on the spot; the rest are joined on the pre-token, and as each
+   of these is rare, no key is hot (``head_of``).
 
 The library's own rules hold: special strings inside a text are one token each
 (its default), nothing is added, nothing truncated. Texts in Latin-1 are cut
@@ -32,13 +32,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from adlens.llm.common import materialize, numbered
 
-HEAD = 300_000
+HEAD = 400_000
+COUNTED = 4096  # occurrences up to which the head's bound is found exactly
 FLUSH = 200_000  # distinct pre-tokens a task holds before it ships their counts
 
 #: The published split pattern of this family of tokenizers (fixed value).
@@ -134,6 +135,27 @@ def vocabulary(docs: DataFrame, spec, text: str = "text") -> DataFrame:
             .mapInArrow(encode, "piece string, n long, k long"))
 
 
+def head_of(known: DataFrame, head: int) -> Column:
+    """Which pieces are broadcast: the most frequent ones, at most ``head``.
+
+    The bound on n is the least, up to ``COUNTED``, that so many pieces reach;
+    failing that, pieces of at least one in ``head`` of all occurrences, of
+    which there can't be more than ``head``. What stays rare so occurs less
+    than ``COUNTED`` times or makes up less than one in ``head``.
+    """
+    n = F.least("n", F.lit(COUNTED))
+    held = known.groupBy(n.alias("n")).agg(F.count(F.lit(1)).alias("pieces"), F.sum(F.col("n")).alias("times")).collect()
+    pieces, bound = 0, None
+    for row in sorted(held, reverse=True):
+        pieces += row.pieces
+        if pieces > head:
+            break
+        bound = row.n
+    if bound is not None:
+        return F.col("n") >= bound
+    return F.col("n") * head >= sum(row.times for row in held)
+
+
 def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", limit: int = 1024,
                  head: int = HEAD) -> DataFrame:
     """Per row: doc_id, n_bytes, n_tokens, over_limit (more than ``limit``).
@@ -144,8 +166,7 @@ def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
     with open(tokenizer, encoding="utf-8") as f:
         spec = context.broadcast(f.read())
     known = materialize(vocabulary(docs, spec, text), "vocabulary")
-    total = known.agg(F.sum("n")).first()[0] or 0
-    common = F.col("n") * head >= total  # at most ``head`` pieces, as their n sum up to no more than total
+    common = head_of(known, head)
     table = known.where(common).select("piece", F.col("k").cast("int")).toArrow()
     top, key = context.broadcast(table.combine_chunks()), uuid.uuid4().hex
 
