@@ -1,11 +1,13 @@
 """Quality classifier from compressed sizes under two zstandard dictionaries.
 
 One dictionary is built from texts labelled good, one from texts labelled bad.
-A text is cut into blocks of ``BLOCK`` bytes, the whole text is compressed
-block by block under each, and the normalised difference of the two sizes,
-(bad - good) / (bad + good), is mapped to a probability by a logistic curve
-fitted on labelled rows that built no dictionary (short blocks keep a long
-text from teaching the compressor its own words).
+A text is cut into blocks of ``BLOCK`` bytes (short ones keep a long text from
+teaching the compressor its own words), and the whole text is compressed block
+by block under each. The normalised difference of the two sizes,
+(bad - good) / (bad + good), and the size per byte under the good dictionary -
+a text that repeats itself is small under either, whatever the difference -
+become a probability by a logistic curve fitted on labelled rows that built no
+dictionary, weighted to the classes' true shares.
 
 Learning takes a bounded sample: per class at most ``SAMPLE`` rows for the
 dictionary and as many for the curve, in the order of a hash of doc_id, of at
@@ -13,8 +15,8 @@ most ``SAMPLE_BYTES`` bytes each. Scores cover every whole text. Both
 dictionaries are built inside tasks; the driver sees them (``DICT_BYTES``
 each) and the curve's points, never the corpus.
 
-Defined results: a null text scores as an empty one, the score of difference
-0; contradictory labels of one doc_id, null labels and labels without a
+Defined results: a null text scores as an empty one, of difference and size 0;
+contradictory labels of one doc_id, null labels and labels without a
 document teach nothing; repeated rows score alike and count once in learning;
 while one class has no learning rows every score is 0.5; a null doc_id is
 scored and is not held out.
@@ -44,8 +46,7 @@ SAMPLE_BYTES = 32 << 10
 class Model:
     good: bytes
     bad: bytes
-    slope: float
-    offset: float
+    weights: tuple[float, ...]  # of difference, rate, rate squared, 1
 
 
 def held_out(doc_id: str | Column) -> Column:
@@ -68,36 +69,40 @@ def _compressor(raw: bytes) -> zstandard.ZstdCompressor:
                                     write_checksum=False, write_dict_id=False)
 
 
-def _difference(good: bytes, bad: bytes):
-    """Column -> normalised size difference of each whole text."""
+def _sizes(good: bytes, bad: bytes):
+    """Column -> (gap, rate): normalised size difference of each whole text, and
+    its size per byte under the good dictionary, frames apart."""
 
-    @F.arrow_udf("double")
-    def difference(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf("struct<gap:double,rate:double>")
+    def sizes(texts: pa.Array) -> pa.Array:
         both = _compressor(good), _compressor(bad)
-        out = np.zeros(len(texts))
+        frame = len(both[0].compress(b""))
+        gap, rate = np.zeros(len(texts)), np.zeros(len(texts))
         for i, t in enumerate(texts):
             if not t.is_valid or not (t := memoryview(t.as_buffer())):
                 continue
-            a, b = (sum(len(c.compress(t[k:k + BLOCK])) for k in range(0, len(t), BLOCK)) for c in both)
-            out[i] = (b - a) / (b + a)
-        return pa.array(out)
+            starts = range(0, len(t), BLOCK)
+            a, b = (sum(len(c.compress(t[k:k + BLOCK])) for k in starts) for c in both)
+            gap[i], rate[i] = (b - a) / (b + a), (a - frame * len(starts)) / len(t)
+        return pa.StructArray.from_arrays([pa.array(gap), pa.array(rate)], names=["gap", "rate"])
 
-    return difference
+    return sizes
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Maximum-likelihood slope and offset with a weak ridge (Newton steps)."""
-    scale = x.std() or 1.0
-    a = np.stack([x / scale, np.ones_like(x)], 1)
-    w, ridge = np.zeros(2), np.diag([1e-2, 1e-6])
-    for _ in range(50):
+def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[float, ...]:
+    """Weighted maximum-likelihood weights with a weak ridge (Newton steps)."""
+    mean, scale = x.mean(0), x.std(0) + 1e-12
+    a = np.column_stack([(x - mean) / scale, np.ones(len(x))])
+    w, ridge = np.zeros(a.shape[1]), np.append(np.full(x.shape[1], 0.05), 1e-6)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + ridge + 1e-9 * np.eye(2),
-                               a.T @ (y - p) - ridge @ w)
+        hessian = a.T @ (a * (share * p * (1 - p))[:, None]) + np.diag(ridge + 1e-9)
+        step = np.linalg.solve(hessian, a.T @ (share * (y - p)) - ridge * w)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-10:
             break
-    return float(w[0] / scale), float(w[1])
+    plain = w[:-1] / scale
+    return (*map(float, plain), float(w[-1] - plain @ mean))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
@@ -130,23 +135,29 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         return None
     good, bad = bytes(taught[1]), bytes(taught[0])
     points = (rows.where("curve").orderBy("h", "k").limit(2 * sample)
-              .select(_difference(good, bad)("t").alias("x"), "y").collect())
+              .select(_sizes(good, bad)("t").alias("s"), "y").select("s.*", "y").collect())
     if len({p.y for p in points}) < 2:  # too few rows for a curve: a fixed gentle one
-        return Model(good, bad, 100.0, 0.0)
-    x, y = np.array([(p.x, p.y) for p in points], float).T
-    order = np.lexsort((y, x))
-    return Model(good, bad, *_logistic(x[order], y[order]))
+        return Model(good, bad, (100.0, 0.0, 0.0, 0.0))
+    total = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    points.sort()
+    x = np.array([(p.gap, p.rate, p.rate ** 2) for p in points])
+    y = np.array([p.y for p in points], float)
+    per = {k: total[k] / np.sum(y == k) for k in (0, 1)}
+    share = np.where(y == 1, per[1], per[0]) * len(y) / sum(total.values())
+    return Model(good, bad, _logistic(x, y, share))
 
 
 def with_quality(docs: DataFrame, model: Model | None, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` and the score (0 to 1) of each whole text; ``docs`` must not have that column."""
     if model is None:
         return docs.withColumn(score, F.lit(0.5))
-    gap, = fresh(docs, "_gap")
-    return (docs.withColumn(gap, _difference(model.good, model.bad)(text))
-            .withColumn(score, 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(
-                F.lit(500.0), F.col(gap) * model.slope + model.offset)))))
-            .drop(gap))
+    size, = fresh(docs, "_size")
+    w = model.weights
+    gap, rate = F.col(size)["gap"], F.col(size)["rate"]
+    z = gap * w[0] + rate * w[1] + rate * rate * w[2] + w[3]
+    return (docs.withColumn(size, _sizes(model.good, model.bad)(text))
+            .withColumn(score, 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z)))))
+            .drop(size))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -47,7 +47,7 @@ def test_rerun_and_partitioning_agree(spark, docs):
     rows, labels = corpus(15, 200)
     a = fit(docs(rows), frame(spark, labels))
     b = fit(docs(rows[::-1]).repartition(7), frame(spark, labels[::-1] + labels[:20]))
-    assert (a.good, a.bad) == (b.good, b.bad) and a.slope == pytest.approx(b.slope) and a.slope > 0
+    assert (a.good, a.bad) == (b.good, b.bad) and a.weights == pytest.approx(b.weights)
 
 
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0)], [(1, None, 0), (2, 0, 1), (2, 1, 1), (None, 0, 0), (777, 0, 0)]])
