@@ -122,9 +122,22 @@ RAW_SCHEMA = T.StructType(
 )
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 
-# Column descriptions persisted as column comments (relation + columns).
+# Descriptions persisted as comments of tables and columns.
+TABLE_DOCS = {
+    "stg_mmp_events": """Cleaned and typed mobile measurement partner events.
+This staging model performs:
+- Type conversions (timestamp parsing, cost casting)
+- Normalization (lowercase event types, uppercase platforms)
+- Derived fields (date dimensions)
+- Data quality filters (non-null timestamps, non-negative costs)""",
+    "mart_installs_reinstalls": """Installs and reinstalls aggregated across daily, weekly, and monthly time grains.
+This mart combines multiple aggregation levels for flexible reporting.""",
+    "mart_click_through_rate": """Click-through rate (CTR) metrics aggregated across daily, weekly, and monthly time grains.
+CTR is calculated as clicks divided by impressions.""",
+    "mart_cost_per_install": """Cost per install (CPI) metrics aggregated across daily, weekly, and monthly time grains.
+Includes both direct CPI (install cost only) and blended CPI (total cost including impressions/clicks).""",
+}
 STAGED_DOCS = {
-    "__table__": "Cleaned and typed mobile measurement partner events.",
     "event_id": "Unique event identifier (UUID)",
     "event_timestamp": "Parsed timestamp as TIMESTAMP type",
     "event_date": "Event date (derived from timestamp)",
@@ -155,7 +168,7 @@ METRIC_DOCS = {
     "grain": "Time grain (daily, weekly, monthly)",
     "period": "Period identifier (formatted as YYYY-MM-DD string)",
     "partner": "Mobile measurement partner",
-    "platform": "Mobile platform",
+    "platform": "Mobile platform (iOS or Android)",
     "total_install_events": "Sum of installs and reinstalls",
     "total_install_cost": "Total cost for install and reinstall events",
     "ctr": "Click-through rate (decimal between 0 and 1)",

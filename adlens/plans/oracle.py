@@ -233,7 +233,7 @@ SELECT {big('count_if(event_id IS NULL)')} AS null_event_id,
        {big('count_if(partner IS NULL)')} AS null_partner,
        {big('count_if(cost_usd IS NULL)')} AS null_cost,
        {big('COUNT(*)')} AS total_records
-FROM stg_mmp_events""")
+FROM stg_mmp_events""", models=DIRTY_CTES)
 
 register("v12_cost_share", f"""
 SELECT event_type, event_count, {rnd('CAST(c AS DOUBLE)', 2)} AS total_cost,

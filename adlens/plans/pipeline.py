@@ -26,14 +26,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.constants import METRIC_DOCS, STAGED_DOCS
+from adlens.constants import METRIC_DOCS, STAGED_DOCS, TABLE_DOCS
 from adlens.operators import checks as C
 from adlens.operators import marts as M
 from adlens.operators import metrics as MET
 from adlens.operators.incremental import write_partitioned_by_date
 from adlens.operators.staging import STAGED_COLUMNS, stage_events, staged_and_rejected
 from adlens.session import path_exists, stored
-from adlens.sources.tables import create_view, read_table, with_docs, write_table
+from adlens.sources.tables import create_view, read_table, register_table, with_docs, write_table
 
 LAYERS: dict[str, list[str]] = {
     "staging": ["stg_mmp_events"],
@@ -72,7 +72,7 @@ class BuildFailed(RuntimeError):
 def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] | None = None,
           mode: str = "strict", load_stamp: bool | Column = True, run_tests: bool = True,
           fail_on_error: bool = False, staging: str = "table",
-          exact_cost: bool = True) -> BuildResult:
+          exact_cost: bool = True, database: str | None = None) -> BuildResult:
     """Build the selected models under ``out_dir``.
 
     ``staging="table"`` (default) writes the staged events once, partitioned
@@ -81,7 +81,8 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
     keeps the staging model lazy, as a view over the raw source.
     The staged table is replaced in full, and the rows it leaves out go to
     ``staging/stg_rejects`` with their reason. ``exact_cost=False`` sums costs
-    as doubles at every grain.
+    as doubles at every grain. With ``database`` every built table is also
+    entered in that catalog database, with its table and column comments.
     """
     if staging not in ("table", "view"):
         raise ValueError("staging must be 'table' or 'view'")
@@ -100,6 +101,8 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
             res.tables["stg_rejects"] = write_table(
                 rows.filter(F.col("reject_reason").isNotNull()).select("rejected.*", "reject_reason"),
                 path("staging", "stg_rejects"))
+        if database:
+            register_table(spark, f"{database}.stg_mmp_events", stg_path, stg.schema, TABLE_DOCS["stg_mmp_events"], "event_date")
     if staging == "table" and path_exists(spark, stg_path):
         # with the schema: a source without rows leaves a table without files
         stg = spark.read.schema(stg.schema).parquet(stg_path).select(*stg.columns)
@@ -117,6 +120,8 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
             return None
         df = read_table(spark, path(layer, name))
         tables[name] = create_view(df, name)
+        if database and name in models:
+            register_table(spark, f"{database}.{name}", path(layer, name), df.schema, TABLE_DOCS.get(name))
         return df
 
     daily = materialize("intermediate", "int_daily_metrics",

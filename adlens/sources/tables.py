@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def with_docs(df: DataFrame, docs: Mapping[str, str]) -> DataFrame:
@@ -71,6 +72,23 @@ def save_table(spark: SparkSession, df: DataFrame, name: str,
     return name
 
 
+def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType,
+                   comment: str | None = None, partition_by: str | None = None) -> str:
+    """A catalog table over the Parquet files at ``path``, with the comments of
+    its columns (from the schema) and its own; an earlier entry is replaced,
+    its files stay."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                     + (f" COMMENT {_quote(f.metadata['comment'])}" if (f.metadata or {}).get("comment") else "")
+                     for f in schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet"
+              + (f" PARTITIONED BY ({partition_by})" if partition_by else "")
+              + f" LOCATION {_quote(path)}" + (f" COMMENT {_quote(comment)}" if comment else ""))
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+    return name
+
+
 def _quote(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

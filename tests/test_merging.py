@@ -96,6 +96,18 @@ def test_build_replaces_and_keeps_rejects(spark, tmp_dir):
     assert kept == {"x": "invalid_cost", "y": "invalid_timestamp_format"}
 
 
+def test_build_enters_tables_with_comments(spark, tmp_dir):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS built LOCATION '{tmp_dir}/db'")
+    for _ in range(2):
+        build(spark, raw_df(spark, [event()]), tmp_dir + "/w", database="built", run_tests=False)
+    for name, word in (("stg_mmp_events", "Cleaned and typed"), ("mart_cost_per_install", "blended CPI (total cost")):
+        about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED built.{name}").collect()}
+        assert word in about["Comment"] and spark.table(f"built.{name}").count() > 0
+    comments = {c.name: c.description for c in spark.catalog.listColumns("built.mart_cost_per_install")}
+    assert comments["platform"] == "Mobile platform (iOS or Android)" and comments["cpi_direct"]
+    spark.sql("DROP DATABASE built CASCADE")
+
+
 def test_build_of_nothing(spark, tmp_dir):
     res = build(spark, raw_df(spark, []), tmp_dir, load_stamp=False)
     assert spark.read.parquet(res.tables["mart_cost_per_install"]).count() == 0
