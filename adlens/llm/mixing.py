@@ -193,7 +193,8 @@ def _assign(rows: DataFrame, plan: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0, doc_id: str = "doc_id", text: str = "text",
         source: str = "source", shard: str = "shard") -> DataFrame:
     """The mix itself: the columns of ``docs`` and the output shard, a row for
-    every copy taken, shuffled within its shard."""
+    every copy taken, shuffled within its shard; each shard is one partition,
+    so their number should grow with the corpus."""
     plan = materialize(mix_plan(materialize(sized(docs, seed, doc_id, text, source), "sized"), shards, seed), "mix")
     inner = [f"_m{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*inner)  # own names: the plan's can't clash
@@ -204,7 +205,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0, doc_id: str = "doc
     out = _assign(rows, plan).select(*inner, "ticket", F.posexplode("shards").alias("copy", "to"))
     name, = fresh(docs, shard)
     order = F.xxhash64(F.lit(seed), F.lit("order"), "ticket", "copy")
-    return (out.withColumn("o", order).repartition(shards, "to").sortWithinPartitions("to", "o")
+    return (out.withColumn("o", order).repartitionById(shards, F.col("to")).sortWithinPartitions("o")
             .select(*[F.col(i).alias(c) for i, c in zip(inner, docs.columns, strict=True)], F.col("to").alias(name)))
 
 

@@ -17,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import fresh, materialize, read, text_hash
+from adlens.llm.common import fresh, materialize, read, tasks, text_hash
 from adlens.llm.line_dedup import line_dedup
-from adlens.llm.mixing import mix
+from adlens.llm.mixing import SHARDS, mix
 from adlens.llm.ngram_join import ngram_join
 from adlens.llm.packing import pack
 from adlens.llm.quality import fit, with_quality
@@ -53,7 +53,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shard, = fresh(docs, "shard")
-    return mix(docs, shard=shard).drop(shard)
+    return mix(docs, shards=max(SHARDS, tasks(spark)), shard=shard).drop(shard)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
