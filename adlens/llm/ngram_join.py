@@ -21,6 +21,10 @@ documents link when 100 * |intersection| >= 75 * |union|.
    of classes in different components are still looked at, all of them, so a
    group of thousands of near copies never emits all its pairs.
 4. Components of the links give each document its ``component_id``.
+5. ``link_counts``: a link never leaves its component, so within each one every
+   pair of classes that the length filter allows is compared exactly, block
+   against block over an inverted index. Rows are made per class and block, not
+   per pair. Every document gets its number of links (``n_links``).
 
 Defined results: null text counts as empty; a text without words has an empty
 set and links with nothing; a null doc_id takes part as a text but never names
@@ -49,6 +53,8 @@ BUCKET_SHINGLES = 1 << 20  # aimed at in one counting group (4 MB)
 BLOCK_SHINGLES = 1 << 20   # gathered by a task before it ships its blocks
 STAR_ROUNDS = 3
 LEADERS = 16              # of one shingle's group in one star round
+BLOCK_CLASSES = 1024      # aimed at in one block whose links are counted
+BLOCK_SET = 1 << 20       # shingles of its sets (8 MB)
 
 
 def need(n: int, m: int, per_cent: int = THRESHOLD) -> int:
@@ -238,9 +244,91 @@ def links(classes: DataFrame, per_cent: int = THRESHOLD) -> DataFrame:
     return found
 
 
-def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_cent: int = THRESHOLD) -> DataFrame:
+def _degrees(per_cent: int):
+    """Counts the linked documents of a group's classes: of each with each
+    other (side 2), or of those of side 0 with those of side 1."""
+
+    def count(group: pa.Table) -> pa.Table:
+        side = group["side"].to_numpy()
+        size = group["size"].to_numpy()
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group["set"]]
+        n = np.array([len(x) for x in sets], np.int64)
+        links = np.zeros(len(sets), np.int64)
+        same = bool((side == 2).all())
+        left, right = (np.flatnonzero(side == (2 if same else k)) for k in (0, 1))
+        if same:
+            right = left
+        if len(left) and len(right):
+            values = np.concatenate([sets[i] for i in right])
+            order = np.argsort(values, kind="stable")
+            owner = np.repeat(np.arange(len(right)), n[right])[order]
+            values = values[order]
+            start = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+            long, values = np.diff(np.append(start, len(values))), values[start]
+            for i in left:
+                at = np.minimum(np.searchsorted(values, sets[i]), len(values) - 1)
+                at = at[values[at] == sets[i]]
+                if not len(at):
+                    continue
+                ends = np.cumsum(long[at])
+                spots = np.arange(ends[-1]) + np.repeat(start[at] - ends + long[at], long[at])
+                both = np.bincount(owner[spots], minlength=len(right))
+                found = right[(both > 0) & (100 * both >= per_cent * (n[i] + n[right] - both))]
+                if same:
+                    found = found[found != i]
+                else:
+                    links[found] += size[i]
+                links[i] += size[found].sum()
+        return pa.table({"cls": group["cls"], "links": pa.array(links)})
+
+    return count
+
+
+def link_counts(classes: DataFrame, root: DataFrame, per_cent: int = THRESHOLD) -> DataFrame:
+    """(cls, links): the documents of other classes that each class links to,
+    from classes (cls, n, size, set) and the components (node, root) of their links.
+
+    Components of one block at most share hashed groups. Larger ones are cut
+    by set size (powers of two) and hash into blocks, and all blocks of sizes
+    that can link meet in pairs.
+    """
+    bands = math.ceil(math.log2(100 / per_cent))  # apart at most
+    parts = lambda n, w: F.greatest(F.ceil(n / F.lit(BLOCK_CLASSES)), F.ceil(w / F.lit(BLOCK_SET))).cast("int")
+    member = materialize(classes.select("cls", "n", "size").join(root, F.col("cls") == F.col("node"))
+                         .select("cls", "size", "n", "root", F.length(F.bin("n")).alias("band")), "members")
+    whole = (member.groupBy("root", "band").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+             .groupBy("root").agg(F.sum("c").alias("c"), F.sum("w").alias("w"), F.collect_list(F.struct(
+                 "band", parts(F.col("c"), F.col("w")).alias("parts"))).alias("cut")))
+    whole = materialize(whole.withColumn("few", parts(F.col("c"), F.col("w")) == 1), "whole")
+    total = whole.where("few").agg(parts(F.sum("c"), F.sum("w"))).first()[0] or 1
+    few = (member.join(whole.where("few").select("root"), "root", "left_semi")
+           .select("cls", "size", (-1 - F.pmod(F.xxhash64("root"), F.lit(total))).alias("root"),
+                   F.lit(0).alias("b1"), F.lit(0).alias("s1"), F.lit(0).alias("b2"), F.lit(0).alias("s2"), F.lit(2).alias("side")))
+    salt = F.pmod(F.xxhash64("cls"), F.filter("cut", lambda x: x["band"] == F.col("band"))[0]["parts"]).cast("int")
+    others = F.flatten(F.transform(F.filter("cut", lambda x: F.abs(x["band"] - F.col("band")) <= bands), lambda x: F.transform(
+        F.sequence(F.lit(0), x["parts"] - 1), lambda j: F.struct(x["band"].alias("b"), j.alias("s")))))
+    own, to = F.col("own"), F.col("to")
+    many = (member.join(whole.where("not few").select("root", "cut"), "root")
+            .select("cls", "size", "root", F.struct(F.col("band").alias("b"), salt.alias("s")).alias("own"), others.alias("others"))
+            .select("cls", "size", "root", "own", F.explode("others").alias("to"))
+            .select("cls", "size", "root", F.least(own, to).alias("lo"), F.greatest(own, to).alias("hi"),
+                    F.when(own == to, 2).when(own < to, 0).otherwise(1).alias("side"))
+            .select("cls", "size", "root", F.col("lo.b").alias("b1"), F.col("lo.s").alias("s1"),
+                    F.col("hi.b").alias("b2"), F.col("hi.s").alias("s2"), "side"))
+    met = few.unionByName(many).join(classes.select("cls", "set"), "cls")
+    return (met.groupBy("root", "b1", "s1", "b2", "s2").applyInArrow(_degrees(per_cent), "cls long, links long")
+            .groupBy("cls").agg(F.sum("links").alias("links")))
+
+
+def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_cent: int = THRESHOLD,
+               count_links: bool = True) -> DataFrame:
     """One row per input row: doc_id, text_hash (of the whole text), n_shingles,
-    component_id, class_size (rows with an equal set), keep.
+    component_id, class_size (rows with an equal set), n_links (other rows it
+    links to, those with an equal set included), keep.
+
+    The sum of ``n_links`` is twice the number of links between rows. Without
+    ``count_links`` there is no such column, and pairs inside a component that
+    the components don't need are not compared.
 
     ``keep`` marks one (doc_id, text_hash) of each component, the least with
     null ids last; rows without words are all kept.
@@ -248,22 +336,25 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_
     rows = materialize(prefixes(docs, doc_id, text, per_cent), "prefixes")
     pick = lambda c: F.first(c).alias(c)  # noqa: E731  equal for equal sets
     classes = numbered(rows.where(F.size("tokens") > 0).groupBy("hi", "lo")
-                       .agg(*(pick(c) for c in ("n", "first", "tokens", "set"))), "classes", "cls")
+                       .agg(*(pick(c) for c in ("n", "first", "tokens", "set")), F.count(F.lit(1)).alias("size")), "classes", "cls")
     root = connected_components(links(classes, per_cent))
-    root = (classes.select("hi", "lo", "cls").join(root, F.col("cls") == F.col("node"))
-            .select("hi", "lo", "root"))
+    named = classes.select("hi", "lo", "cls").join(root, F.col("cls") == F.col("node"))
+    named = named.join(link_counts(classes, root, per_cent), "cls") if count_links else named.withColumn("links", F.lit(0))
+    root = named.select("hi", "lo", "root", "links")
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     own = (rows.where("n > 0").groupBy("hi", "lo").agg(head.alias("head"), F.count(F.lit(1)).alias("class_size"))
            .join(root, ["hi", "lo"], "left"))
     own = materialize(own, "own")
     joined = own.where("root is not null").groupBy("root").agg(F.min("head").alias("top"))
     own = (own.join(joined, "root", "left")
-           .select("hi", "lo", "class_size", F.coalesce("top", "head").alias("top")))
+           .select("hi", "lo", "class_size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("top", "head").alias("top")))
     slim = rows.select("doc_id", "text_hash", "n", "hi", "lo")
     top = F.col("top")
-    return (slim.join(own, ["hi", "lo"], "left")
-            .select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("n") > 0, top["doc_id"]).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-                    ((F.col("n") == 0) | (top["doc_id"].eqNullSafe(F.col("doc_id"))
-                                          & (top["text_hash"] == F.col("text_hash")))).alias("keep")))
+    out = (slim.join(own, ["hi", "lo"], "left")
+           .select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"),
+                   F.when(F.col("n") > 0, top["doc_id"]).otherwise(F.col("doc_id")).alias("component_id"),
+                   F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+                   F.when(F.col("n") > 0, F.col("class_size") - 1 + F.col("links")).otherwise(0).cast("long").alias("n_links"),
+                   ((F.col("n") == 0) | (top["doc_id"].eqNullSafe(F.col("doc_id"))
+                                         & (top["text_hash"] == F.col("text_hash")))).alias("keep")))
+    return out if count_links else out.drop("n_links")

@@ -44,7 +44,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Equal rows (same id and text) count as one document."""
     k_id, k_text = fresh(docs, "k_id", "k_text")
-    kept = (ngram_join(docs).where("keep").select(F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_text)).distinct())
+    kept = (ngram_join(docs, count_links=False).where("keep").select(F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_text)).distinct())
     hashed, = fresh(docs.select("*", F.lit(0).alias(k_id), F.lit(0).alias(k_text)), "hashed")
     rows = docs.withColumn(hashed, text_hash("text"))
     return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col(k_id)) & (F.col(hashed) == F.col(k_text)), "left_semi")

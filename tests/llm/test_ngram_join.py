@@ -1,8 +1,10 @@
 import itertools
 import random
 
+import pytest
 from llm_helpers import EDGES, prose, shingle_set
 
+from adlens.llm import ngram_join as ngram
 from adlens.llm.components import connected_components
 from adlens.llm.ngram_join import ngram_join
 
@@ -78,3 +80,29 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     out = dict(connected_components(spark.createDataFrame(links, "a long, b long")).collect())
     assert all(out[i] == 0 for i in range(41)) and all(out[100 + i] == 100 for i in range(30))
+
+
+def brute_links(rows):
+    """(doc_id, text) -> [(doc_id, n, number of other rows it links to)]"""
+    sets = [shingle_set(t) for _, t in rows]
+    return sorted(((i, len(s), sum(100 * len(s & t) >= 75 * len(s | t) for y, t in enumerate(sets) if y != x and s and t))
+                   for x, ((i, _), s) in enumerate(zip(rows, sets, strict=True))), key=repr)
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_every_link_is_counted(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(ngram, "BLOCK_CLASSES", block)
+    rng = random.Random(17)
+    base = prose(rng, 120)
+    texts = list(EDGES) + [edited(rng, base, 0.01) for _ in range(60)] + [base] * 3
+    for n in (30, 60, 64, 70, 128):
+        chain = prose(rng, n)
+        for _ in range(5):
+            chain = edited(rng, chain, 0.01) + " " + prose(rng, 3)
+            texts += [chain, chain]
+    rows = [*enumerate(texts), (None, base), (2, base)]
+    out = ngram_join(docs(rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in out), key=repr) == brute_links(rows)
+    assert sum(r.n_links for r in out) > 1000
+    plain = ngram_join(docs(rows), count_links=False)
+    assert "n_links" not in plain.columns and result(plain) == brute(rows)
