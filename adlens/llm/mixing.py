@@ -9,8 +9,11 @@ whole, and the rest comes from a further part pass.
 Each document has a ticket, a hash of seed, id and text: a keyed permutation
 of its source. The tickets' leading bits cut a source into at most ``CELLS``
 blocks. The part pass takes permuted blocks from the start while they fit, the
-block at the boundary up to the last ticket that fits, and then at most
-``CLOSERS`` single documents that bring the words nearest to the target.
+block at the boundary up to the last ticket that fits. The walk then goes on
+over the tickets behind that still fit the room left (``_fill``): a round takes
+them in order up to the next that does not fit, or the largest alone if that
+fills more than half the room, so each round halves the room, until no unused
+document fits; at the end the one that comes nearest is added, if it helps.
 
 The block quotas of all sources are dealt to the output shards by a splitting
 tree: a node gives its left half an exact share of its blocks, drawn without
@@ -42,7 +45,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 CELLS = 1024
-CLOSERS = 4
 SHARDS = 16
 
 
@@ -111,10 +113,48 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return leaves.withColumn("high", high).select("shard", "sid", (F.col("high") - F.col("got")).alias("low"), "high")
 
 
-def mix_plan(rows: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
-    """source, cell, source_size, target, each (shards of the full passes), part
-    (shard of the part pass or null), cut (last ticket of it; null: none),
-    closers (tickets taken besides), closer (their shard): a row per block."""
+def _fill(unused: DataFrame, room: DataFrame) -> DataFrame:
+    """(sid, ticket) of the unused documents (sid, cell, ticket, size) that
+    fill each source's room (sid, miss)."""
+    unused, room, extra = materialize(unused, "unused"), materialize(room, "room"), None
+
+    def take(chosen: DataFrame) -> None:
+        nonlocal extra, room
+        chosen = materialize(chosen.select("sid", "ticket", "size"), "taken")
+        extra = chosen if extra is None else extra.union(chosen)
+        spent = chosen.groupBy("sid").agg(F.sum("size").alias("spent"))
+        room = materialize(room.join(spent, "sid", "left").select(
+            "sid", (F.col("miss") - F.coalesce("spent", F.lit(0))).alias("miss")), "room")
+
+    by_cell = Window.partitionBy("sid").orderBy("cell")
+    every = Window.partitionBy("sid")
+    free = materialize(unused.join(room, "sid").where("size <= miss").drop("miss"), "free")
+    while not free.isEmpty():  # each source's room falls below half in every round
+        cells = (free.groupBy("sid", "cell").agg(F.sum("size").alias("words"), F.max(F.struct("size", "ticket")).alias("big"))
+                 .join(room, "sid").withColumn("before", F.sum("words").over(by_cell) - F.col("words"))
+                 .withColumn("big", F.max("big").over(every)).withColumn("one", 2 * F.col("big.size") > F.col("miss"))
+                 .where("one or before < miss"))
+        here = free.join(cells, ["sid", "cell"])
+        whole = F.col("before") + F.col("words") <= F.col("miss")
+        run = F.col("before") + F.sum("size").over(Window.partitionBy("sid", "cell").orderBy("ticket"))
+        edge = here.where(~F.col("one") & ~whole).withColumn("run", run).where("run <= miss")
+        take(here.where(F.when(F.col("one"), F.col("ticket") == F.col("big.ticket")).otherwise(whole))
+             .select("sid", "ticket", "size").union(edge.select("sid", "ticket", "size")))
+        free = materialize(free.join(room, "sid").where("size <= miss").drop("miss")
+                           .join(extra.select("sid", "ticket"), ["sid", "ticket"], "left_anti"), "free")
+    near = unused.join(room, "sid").where(F.col("size") < 2 * F.col("miss"))
+    if extra is not None:
+        near = near.join(extra.select("sid", "ticket"), ["sid", "ticket"], "left_anti")
+    take(near.groupBy("sid").agg(F.min(F.struct(F.abs(F.col("miss") - F.col("size")).alias("gap"), "ticket", "size")).alias("b"))
+         .select("sid", "b.ticket", "b.size"))
+    return materialize(extra.select("sid", "ticket"), "extra")
+
+
+def mix_plan(rows: DataFrame, shards: int = SHARDS, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """A row per block: source, sid, cell, source_size, target, each (shards of
+    the full passes), part (shard of the part pass or null), cut (last ticket
+    of it; null: none), closer (shard of what is taken besides); and (sid,
+    ticket) of what is taken besides."""
     per = materialize(targets(rows), "targets")
     cells = materialize(rows.groupBy("source", "cell").agg(F.sum("size").alias("words")), "cells")
     in_order = Window.partitionBy("source").orderBy("cell")
@@ -123,7 +163,7 @@ def mix_plan(rows: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     part = F.col("rest") > 0
     cells = cells.withColumn("full", part & (F.col("end") <= F.col("rest"))).withColumn(
         "edge", part & ~F.col("full") & (F.col("end") - F.col("words") < F.col("rest")))
-    edge = cells.where("edge").select(F.col("source").alias("e_source"), F.col("cell").alias("e_cell"),
+    edge = cells.where("edge").select(F.col("source").alias("e_source"), F.col("sid").alias("e_sid"), F.col("cell").alias("e_cell"),
                                       (F.col("rest") - F.col("end") + F.col("words")).alias("room"))
     same = lambda df, k: F.col("source").eqNullSafe(df[k])
     inner = (rows.join(edge, same(edge, "e_source") & (F.col("cell") == F.col("e_cell")))
@@ -133,25 +173,16 @@ def mix_plan(rows: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     inside = inner.withColumn("run", run).groupBy("source", "room").agg(
         F.max(F.when(fit, F.col("ticket"))).alias("cut"), F.max(F.when(fit, F.col("run"))).alias("run"))
     state = materialize(edge.join(inside.drop("room"), F.col("e_source").eqNullSafe(inside.source))
-                        .select("e_source", "e_cell", "cut", (F.col("room") - F.coalesce("run", F.lit(0))).alias("miss"),
-                                F.array().cast("array<bigint>").alias("closers")), "edges")
+                        .select("e_source", "e_sid", "e_cell", "cut", (F.col("room") - F.coalesce("run", F.lit(0))).alias("miss")), "edges")
     units = rows.where("size > 0").groupBy("source", "cell", "ticket").agg(F.sum("size").alias("size"))
-    for turn in range(CLOSERS):
-        last = turn == CLOSERS - 1
-        free = (units.join(state.where("miss > 0"), same(state, "e_source"))
-                .where((F.col("cell") > F.col("e_cell")) | (F.col("cell") == F.col("e_cell"))
-                       & F.coalesce(F.col("ticket") > F.col("cut"), F.lit(True)))
-                .where(~F.array_contains("closers", F.col("ticket"))))
-        # the largest that fits; at the end the one that comes nearest, if it helps
-        free = free.where(F.col("size") < 2 * F.col("miss") if last else F.col("size") <= F.col("miss"))
-        best = (free.groupBy("source").agg(F.min(F.struct(F.abs(F.col("miss") - F.col("size")).alias("gap"), "ticket", "size")).alias("b"))
-                .select("source", "b.ticket", "b.size"))
-        state = materialize(state.join(best, F.col("e_source").eqNullSafe(best.source), "left").select(
-            "e_source", "e_cell", "cut", (F.col("miss") - F.coalesce("size", F.lit(0))).alias("miss"),
-            F.when(F.col("ticket").isNull(), F.col("closers")).otherwise(F.array_append("closers", F.col("ticket"))).alias("closers")), "edges")
+    unused = (units.join(state.where("miss > 0"), same(state, "e_source"))
+              .where((F.col("cell") > F.col("e_cell")) | (F.col("cell") == F.col("e_cell"))
+                     & F.coalesce(F.col("ticket") > F.col("cut"), F.lit(True)))
+              .where(F.col("size") < 2 * F.col("miss")).select(F.col("e_sid").alias("sid"), "cell", "ticket", "size"))
+    extra = _fill(unused, state.where("miss > 0").select(F.col("e_sid").alias("sid"), "miss"))
     taken = (cells.join(state, same(state, "e_source"), "left")
              .select("source", "sid", "cell", "source_size", "target", "whole", "full", "edge",
-                     F.when(F.col("edge"), F.col("cut")).alias("cut"), "closers"))
+                     F.when(F.col("edge"), F.col("cut")).alias("cut")))
     copies = F.concat(F.when(F.col("whole") > 0, F.sequence(F.lit(1), F.col("whole").cast("int"))).otherwise(F.array().cast("array<int>")),
                       F.when(F.col("full") | F.col("edge"), F.array(F.lit(0))).otherwise(F.array().cast("array<int>")))
     taken = materialize(taken.withColumn("copies", copies), "taken")
@@ -167,27 +198,29 @@ def mix_plan(rows: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     none = F.array().cast("array<int>")
     plan = (taken.join(blocks, ["sid", "cell"], "left")
             .withColumn("closer", F.max(F.when(F.col("edge"), F.col("part"))).over(Window.partitionBy("sid"))))
-    return plan.select("source", "cell", "source_size", "target", F.coalesce("each", none).alias("each"),
-                       "part", "full", "edge", "cut", F.coalesce("closers", F.array().cast("array<bigint>")).alias("closers"), "closer")
+    plan = materialize(plan.select("source", "sid", "cell", "source_size", "target", F.coalesce("each", none).alias("each"),
+                                   "part", "full", "edge", "cut", "closer"), "mix")
+    return plan, extra
 
 
 def planned(rows: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     """``rows`` of ``sized`` and source_size, target, shards: one shard for
     every copy of the row that the mix takes."""
     stored = materialize(rows, "sized")
-    plan = materialize(mix_plan(stored, shards, seed), "mix")
-    return _assign(stored, plan)
+    return _assign(stored, *mix_plan(stored, shards, seed))
 
 
-def _assign(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    p = plan.select(F.col("source").alias("p_source"), F.col("cell").alias("p_cell"), "source_size", "target", "each",
-                    "part", "full", "edge", "cut", "closers", "closer")
+def _assign(rows: DataFrame, plan: DataFrame, extra: DataFrame) -> DataFrame:
+    p = plan.select(F.col("source").alias("p_source"), F.col("sid").alias("p_sid"), F.col("cell").alias("p_cell"), "source_size",
+                    "target", "each", "part", "full", "edge", "cut", "closer")
+    besides = extra.select(F.col("sid").alias("x_sid"), F.col("ticket").alias("x_ticket"))
     ticket = F.col("ticket")
-    extra = F.when(F.col("full") | F.col("edge") & F.coalesce(ticket <= F.col("cut"), F.lit(False)), F.col("part")).when(
-        F.array_contains("closers", ticket), F.col("closer"))
+    one = F.when(F.col("full") | F.col("edge") & F.coalesce(ticket <= F.col("cut"), F.lit(False)), F.col("part")).when(
+        F.col("x_ticket").isNotNull(), F.col("closer"))
     return (rows.join(p, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("cell") == F.col("p_cell")))
-            .withColumn("shards", F.when(extra.isNull(), F.col("each")).otherwise(F.array_append("each", extra)))
-            .drop("p_source", "p_cell", "each", "part", "full", "edge", "cut", "closers", "closer"))
+            .join(besides, (F.col("p_sid") == F.col("x_sid")) & (ticket == F.col("x_ticket")), "left")
+            .withColumn("shards", F.when(one.isNull(), F.col("each")).otherwise(F.array_append("each", one)))
+            .drop("p_source", "p_sid", "p_cell", "each", "part", "full", "edge", "cut", "closer", "x_sid", "x_ticket"))
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0, doc_id: str = "doc_id", text: str = "text",
@@ -195,14 +228,14 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0, doc_id: str = "doc
     """The mix itself: the columns of ``docs`` and the output shard, a row for
     every copy taken, shuffled within its shard; each shard is one partition,
     so their number should grow with the corpus."""
-    plan = materialize(mix_plan(materialize(sized(docs, seed, doc_id, text, source), "sized"), shards, seed), "mix")
+    plan = mix_plan(materialize(sized(docs, seed, doc_id, text, source), "sized"), shards, seed)
     inner = [f"_m{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*inner)  # own names: the plan's can't clash
     at = {c: inner[docs.columns.index(c)] for c in (doc_id, text, source)}
     ticket = F.xxhash64(F.lit(seed), F.col(at[doc_id]), text_hash(at[text]), F.col(at[source]))
     rows = rows.withColumn("source", F.col(at[source])).withColumn("ticket", ticket).withColumn(
         "cell", F.shiftrightunsigned("ticket", 64 - (CELLS - 1).bit_length()).cast("int"))
-    out = _assign(rows, plan).select(*inner, "ticket", F.posexplode("shards").alias("copy", "to"))
+    out = _assign(rows, *plan).select(*inner, "ticket", F.posexplode("shards").alias("copy", "to"))
     name, = fresh(docs, shard)
     order = F.xxhash64(F.lit(seed), F.lit("order"), "ticket", "copy")
     return (out.withColumn("o", order).repartitionById(shards, F.col("to")).sortWithinPartitions("o")

@@ -107,3 +107,11 @@ def test_one_source_with_a_third_of_all_rows(spark, docs):
     out = mixed_words(docs(rows)).join(docs(rows).select("doc_id", "source"), "doc_id")
     for r in out.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
         assert abs(r.taken - r.target) <= 5  # closers are whole documents
+
+
+def test_small_documents_fill_the_room_that_a_long_one_leaves(spark, docs):
+    rng = random.Random(4)
+    rows = docs([(i, "w " * rng.randrange(20, 81), "a") for i in range(600)] + [(600, "w " * 20_000, "a")])
+    for seed in range(3):  # the long text stands at the boundary in two orders of three
+        out = mixed_words(rows, seed=seed).collect()
+        assert abs(sum(r.taken for r in out) - out[0].target) <= 10
