@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.llm.common import fresh, materialize, read, tasks, text_hash
-from adlens.llm.line_dedup import line_dedup
+from adlens.llm.line_dedup import PASSAGE, line_dedup
 from adlens.llm.mixing import SHARDS, mix
 from adlens.llm.ngram_join import ngram_join
 from adlens.llm.packing import pack
@@ -33,7 +33,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     total, gone = fresh(docs, "n_lines", "n_removed")
-    out = line_dedup(docs, n_lines=total, n_removed=gone).where(
+    out = line_dedup(docs, n_lines=total, n_removed=gone, passage=PASSAGE).where(
         (F.col(gone) == 0) | (F.col(gone) < F.col(total)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(gone) > 0, F.char_length("text").cast(

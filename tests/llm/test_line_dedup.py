@@ -40,3 +40,12 @@ def test_repeated_rows_and_counts(spark, docs):
 
 def test_empty_table(spark, docs):
     assert line_dedup(docs([])).collect() == []
+
+
+def test_long_passages_of_one_or_two_lines_go(spark, docs):
+    long, half = " ".join(f"w{i}" for i in range(51)), " ".join(f"v{i}" for i in range(26))
+    rows = [(1, long), (2, long), (3, f"a\n{long}\nb"), (4, f"c\n{half}\n{half} x\nd"), (5, f"{half}\n{half} x"),
+            (6, f"e\n{half}"), (7, " ".join(long.split()[:50])), (8, " ".join(long.split()[:50])), (9, None), (10, "")]
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup(docs(rows), passage=50).collect()}
+    want = dict(rows) | {2: "", 3: "a\nb", 5: ""}
+    assert got == {i: (t, {2: 1, 3: 1, 5: 2}.get(i, 0)) for i, t in want.items()}
