@@ -5,15 +5,16 @@ import tempfile
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
+for folder in (ROOT, os.path.join(ROOT, "tests")):
+    if folder not in sys.path:
+        sys.path.insert(0, folder)
 
 
 @pytest.fixture(scope="session")
 def spark():
     from adlens.session import get_session
-    s = get_session("local[2]", app_name="adlens-tests", shuffle_partitions=4)
+    s = get_session("local[4]", app_name="adlens-tests", shuffle_partitions=4,
+                    extra={"spark.driver.memory": "4g", "spark.sql.sources.parallelPartitionDiscovery.parallelism": "4"})
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="adlens-test-ckpt-"))
     yield s
@@ -22,22 +23,3 @@ def spark():
 @pytest.fixture
 def tmp_dir():
     return tempfile.mkdtemp(prefix="adlens-test-")
-
-
-def raw_df(spark, rows):
-    """Raw events from dicts (missing keys -> null)."""
-    from adlens.constants import RAW_COLUMNS, RAW_SCHEMA
-    return spark.createDataFrame([tuple(r.get(c) for c in RAW_COLUMNS) for r in rows], RAW_SCHEMA)
-
-
-def event(**kw):
-    base = {"event_id": "e1", "timestamp": "2026-02-12T14:30:00Z", "event_type": "install",
-            "partner": "Adjust", "cost_usd": 5.5, "app_id": "com.test.app",
-            "campaign_id": "campaign_001", "platform": "iOS", "country_code": "US"}
-    base.update(kw)
-    return base
-
-
-def plan_text(df, mode="formatted"):
-    """The text ``df.explain(mode)`` prints."""
-    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)

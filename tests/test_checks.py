@@ -1,4 +1,4 @@
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from adlens.operators import checks as C

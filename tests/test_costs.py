@@ -2,7 +2,7 @@
 import math
 
 import pytest
-from conftest import event, plan_text, raw_df
+from helpers import event, plan_text, raw_df
 from pyspark.sql import functions as F
 
 from adlens.functions.numeric import exact_sum

@@ -3,7 +3,7 @@ import json
 import os
 
 import pytest
-from conftest import event, raw_df
+from helpers import event, raw_df
 from pyspark.sql import functions as F
 
 from adlens import session as S

@@ -1,4 +1,4 @@
-from conftest import SF_SMALL, event, plan_text, raw_df
+from helpers import SF_SMALL, event, plan_text, raw_df
 from pyspark.sql import functions as F
 
 from adlens.operators import marts as M

@@ -3,7 +3,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as E
 from adlens.plans.oracle import ORACLE

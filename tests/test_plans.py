@@ -1,7 +1,7 @@
 """Plan shape of every registered query: built-in operators only, no
 cartesian or nested-loop join, no window (so no single-task OVER ())."""
 import pytest
-from conftest import SF_SMALL, plan_text
+from helpers import SF_SMALL, plan_text
 
 from adlens.plans.queries import QUERIES
 

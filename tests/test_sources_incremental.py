@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from conftest import SF_SMALL, event, raw_df
+from helpers import SF_SMALL, event, raw_df
 from pyspark.sql import functions as F
 
 from adlens.constants import METRIC_DOCS, STAGED_DOCS

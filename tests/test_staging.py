@@ -1,5 +1,5 @@
 import pytest
-from conftest import event, plan_text, raw_df
+from helpers import event, plan_text, raw_df
 from pyspark.sql import functions as F
 
 from adlens.operators.staging import rejected_events, stage_events

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from adlens.operators import validate as V
 
 VALID = {"event_id": "test-123", "timestamp": "2026-02-12T14:30:00Z", "event_type": "install",
-         "partner": "Adjust", "cost_usd": 5.50, "app_id": "com.test.app",
-         "campaign_id": "campaign_001", "platform": "iOS", "country_code": "US"}
+         "partner": "Adjust", "cost_usd": 5.50, "app_id": "com.example.puzzle",
+         "campaign_id": "spring_launch", "platform": "iOS", "country_code": "US"}
 
 
 def _validate(spark, lines):
