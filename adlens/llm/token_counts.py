@@ -65,8 +65,8 @@ class Splitter:
         self.special = re.compile("|".join(re.escape(t["content"]) for t in sorted(
             extra, key=lambda t: -len(t["content"])))) if extra else None
         letter, digit, space = _class(r"\p{L}"), _class(r"\p{N}"), _class(r"\s")
-        mark = "'(?:[stmd]|re|ve|ll)"
-        self.latin = re.compile(f" ?[{letter}]+| ?(?!{mark})[^{space}{letter}{digit}]+|{mark}| ?[{digit}]+"
+        # as PATTERN, in its order: a contraction only where a piece starts, never after a space
+        self.latin = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+"
                                 f"|[{space}]+(?![^{space}])|[{space}]+").findall
         self.general = regex.compile(PATTERN).findall
         self.agreed: dict[str, bool] = {}

@@ -43,6 +43,39 @@ def test_pieces_equal_the_librarys_for_every_kind_of_character(library):
         assert split(text) == (0, own), repr(text)
 
 
+CONTRACTIONS = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"]
+
+
+def test_contractions_after_everything_equal_the_librarys(library):
+    """After a space, a mark, a letter, a digit and at the start; also as the head of a quoted word."""
+    with open(PATH, encoding="utf-8") as f:
+        split = Splitter(f.read())
+    for c in CONTRACTIONS:
+        for before in ["", " ", "  ", "\n", "\xa0", "dogs ", "dogs", "1", "1 ", "²", "(", " (", "'", " '", "é", "é ", "漢 "]:
+            for after in ["", "he", " end", "!", "'", "1", "é", "’", "\n", "漢"]:
+                for form in (c, c.upper()):
+                    text = before + form + after
+                    own = [text[i:j] for _, (i, j) in library.pre_tokenizer.pre_tokenize_str(text)]
+                    assert split(text) == (0, own), repr(text)
+
+
+@pytest.mark.parametrize("alphabet", [" 'stmdrevl", " 'sm²é1\n", " 'tx!漢\xa0"])
+def test_short_random_strings_equal_the_librarys(library, alphabet):
+    with open(PATH, encoding="utf-8") as f:
+        split = Splitter(f.read())
+    rng = random.Random(13)
+    for _ in range(8000):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(1, 12)))
+        own = [text[i:j] for _, (i, j) in library.pre_tokenizer.pre_tokenize_str(text)]
+        assert split(text) == (0, own), repr(text)
+
+
+def test_quoted_words_count_as_the_library_counts(spark, docs, library):
+    rows = list(enumerate(["he said 'the dog' ran", "the 'more' of it", "it 'really' is", "dogs 's", " 'tis", "a 'd b 'll c 're"]))
+    out = token_counts(docs(rows), PATH).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_tokens) for r in out) == expected(library, rows)
+
+
 def test_other_tokenizers_are_refused():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f, pytest.raises(ValueError):
         Splitter(f.read())
