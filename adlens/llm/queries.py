@@ -18,6 +18,7 @@ from adlens.llm.packing import pack
 from adlens.llm.pii import pseudonymise
 from adlens.llm.quality import quality_scores
 from adlens.llm.token_counts import token_counts
+from adlens.llm.toxicity import toxicity_scores
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_matches(read(spark, sf_dir))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read(spark, sf_dir), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
@@ -74,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_top_k": op9_exact_top_k,
     "op5_pii_pseudonyms": op5_pii_pseudonyms,
     "op6_license_scan": op6_license_scan,
+    "op13_toxicity": op13_toxicity,
 }
