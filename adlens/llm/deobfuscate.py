@@ -111,10 +111,11 @@ _LIKE = "".join(re.escape(c) for c in LOOKS_LIKE)
 #: (one or two, as three equal ones are ornament) at its end; long runs.
 _HINT = re.compile(
     rf"{_LETTER}[^\w]{{1,3}}{_LETTER}|{_LETTER}[\d_{_LIKE}*]{{1,4}}{_LETTER}|^[0-9@$€]{{1,2}}{_LETTER}"
-    rf"|{_LETTER}(?:[0134579]|[@$]{{1,2}})[.,;:!?]*$|({_LETTER})\1\1")
+    rf"|{_LETTER}(?:[0134579]|[@$]{{1,2}})$|({_LETTER})\1\1")
 _ROW = re.compile(r"(?<!\S)[^\W_](?: [^\W_]){2,}(?!\S)")  # three or more single characters
 _MAYBE_ROW = re.compile(r" [^\W_] [^\W_]")
 _RUN = re.compile(rf"({_LETTER})\1\1")
+_MARKS = ".,;:!?()[]\"'"
 _SPACE = re.compile(r"(\s+)")
 _WORD = re.compile(_LETTER + "+")
 
@@ -184,7 +185,11 @@ class Decoder:
         return found
 
     def _restore(self, word: str) -> str:
-        return self.decode(word) if _HINT.search(word) else word
+        core = word.strip(_MARKS)  # punctuation around a word is no obfuscation
+        if not _HINT.search(core):
+            return word
+        lo = word.index(core)
+        return word[:lo] + self.decode(core) + word[lo + len(core):]
 
     def _words_of(self, word: str) -> tuple[str, ...]:
         return tuple(_WORD.findall(self._restore(word)))
