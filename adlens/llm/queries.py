@@ -19,6 +19,7 @@ from adlens.llm.pii import pseudonymise
 from adlens.llm.quality import quality_scores
 from adlens.llm.token_counts import token_counts
 from adlens.llm.toxicity import toxicity_scores
+from adlens.llm.whitening import whiten
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,10 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
@@ -80,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii_pseudonyms": op5_pii_pseudonyms,
     "op6_license_scan": op6_license_scan,
     "op13_toxicity": op13_toxicity,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
