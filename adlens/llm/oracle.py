@@ -88,5 +88,47 @@ regions AS (
   FROM hits WHERE region >= 0 GROUP BY ALL)
 SELECT doc_id, template, max(containment) AS containment, arg_min(first_word, (-containment, first_word)) AS first_word
 FROM regions WHERE containment >= 0.75 GROUP BY doc_id, template
+""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE byte AS (  -- the table of the checksum, from its rule
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1
+                THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) ORDER BY b) AS t
+  FROM range(256) AS r(b)),
+runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n, length(run) AS len
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'),
+                                                 '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+sums AS MATERIALIZED (
+  SELECT doc_id, run, n, len, xor(list_reduce(
+    flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128
+            THEN [unicode(x)::BIGINT] ELSE [(192 + unicode(x) // 64)::BIGINT, (128 + unicode(x) % 64)::BIGINT] END)),
+    lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1]), 4294967295::BIGINT), 4294967295) AS h
+  FROM runs, byte),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % len) || substr(run, h % len + 2) ELSE run END AS word FROM sums)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+less AS MATERIALIZED (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+pairs AS MATERIALIZED (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS MATERIALIZED (
+  SELECT word, count(*) AS n_near, arg_min(near, (-near_n, encode(near))) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain(word, head) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.head WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.head AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c ON c.word = f.word JOIN forms last ON last.word = c.head AND last.form IS NULL
 """,
 }

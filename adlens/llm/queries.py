@@ -19,6 +19,7 @@ from adlens.llm.pii import pseudonymise
 from adlens.llm.quality import quality_scores
 from adlens.llm.token_counts import token_counts
 from adlens.llm.toxicity import toxicity_scores
+from adlens.llm.variants import spelling_variants
 from adlens.llm.whitening import whiten
 
 
@@ -73,6 +74,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
@@ -85,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii_pseudonyms": op5_pii_pseudonyms,
     "op6_license_scan": op6_license_scan,
     "op13_toxicity": op13_toxicity,
+    "op12_spelling_variants": op12_spelling_variants,
     "op11_embedding_whitening": op11_embedding_whitening,
 }
