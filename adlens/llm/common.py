@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.session import materialize, scratch_path
 
-__all__ = ["fresh", "materialize", "numbered", "read", "scratch_path", "tasks", "text_hash", "word_count"]
+__all__ = ["fresh", "materialize", "numbered", "read", "release", "scratch_path", "tasks", "text_hash", "word_count"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -46,3 +48,11 @@ def numbered(df: DataFrame, name: str, column: str) -> DataFrame:
     """``df`` written once with a unique long per row: the stored numbers hold
     for every later read, also after executors are lost."""
     return materialize(df.withColumn(column, F.monotonically_increasing_id()), name)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver go of finished work. Spark frees broadcasts, shuffle files
+    and plans once their handles are collected, which a driver with a small
+    heap full of short plans does late: first Python's references, then the JVM's."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

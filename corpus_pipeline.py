@@ -14,10 +14,12 @@ changes a text, ``n_chars`` follows it.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import fresh, materialize, read, tasks, text_hash
+from adlens.llm.common import fresh, materialize, read, release, tasks, text_hash
 from adlens.llm.line_dedup import PASSAGE, line_dedup
 from adlens.llm.mixing import SHARDS, mix
 from adlens.llm.ngram_join import ngram_join
@@ -60,12 +62,25 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pack(docs)
 
 
+def _alone(stage):
+    """The stage, begun and ended without what others have left on the driver."""
+
+    @wraps(stage)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark)
+        out = stage(spark, docs, sf_dir)
+        release(spark)
+        return out
+
+    return begin
+
+
 STAGES = [
-    ("quality_classifier", keep_good),
-    ("line_dedup", drop_repeated_lines),
-    ("ngram_jaccard_join", keep_one_of_each_group),
-    ("source_mixing", mix_sources),
-    ("best_fit_packing", pack_sequences),
+    ("quality_classifier", _alone(keep_good)),
+    ("line_dedup", _alone(drop_repeated_lines)),
+    ("ngram_jaccard_join", _alone(keep_one_of_each_group)),
+    ("source_mixing", _alone(mix_sources)),
+    ("best_fit_packing", _alone(pack_sequences)),
 ]
 
 #: The classifier, the keyed draws and best-fit have no SQL form.
