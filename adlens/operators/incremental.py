@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.sources.tables import replacing
+
 
 def incremental_rows(target: DataFrame | None, source: DataFrame,
                      date_col: str = "event_date", lookback_days: int = 0) -> DataFrame:
@@ -78,7 +80,10 @@ def write_partitioned_by_date(df: DataFrame, path: str, date_col: str = "event_d
     merged into one task (few files), and a hot date is split over as many
     tasks as its size needs, so no task writes a third of the data.
     """
-    (df.hint("rebalance", date_col).write.mode("overwrite")
-       .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-       .partitionBy(date_col).parquet(path))
+    w = df.hint("rebalance", date_col).write.mode("overwrite").partitionBy(date_col)
+    if replace_all:  # the former table stays until the new one is written
+        with replacing(df.sparkSession, path) as new:
+            w.parquet(new)
+    else:
+        w.option("partitionOverwriteMode", "dynamic").parquet(path)
     return path

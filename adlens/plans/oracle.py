@@ -375,6 +375,7 @@ register("incr_merge_by_key", f"""
 SELECT {_STG_KEEP}, 'initial' AS load_batch FROM stg_mmp_events t
 WHERE event_date < {_CUT} AND event_id NOT IN (SELECT event_id FROM sent)
 UNION ALL SELECT * FROM sent""", [("sent", _SENT)])
+register("incr_landed_late", f"SELECT {_STG_KEEP} FROM stg_mmp_events")
 register("incr_batch_job", f"SELECT {_STG_KEEP} FROM stg_mmp_events")
 
 register("out_partition_pruned", f"""
@@ -622,6 +623,12 @@ SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 AND substr("timest
   ELSE "timestamp" END AS "timestamp")
 FROM ({RAW_SQL}) r"""
 _MOVED_CTES = [("raw", _MOVED_RAW), *MODEL_CTES[1:]]
+_LATER_RAW = f"""
+SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 5 = 0
+  THEN strftime(strptime("timestamp", '%Y-%m-%dT%H:%M:%SZ') + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%SZ')
+  ELSE "timestamp" END AS "timestamp")
+FROM ({RAW_SQL}) r"""
+register("incr_retried_merge", "SELECT * FROM int_daily_metrics", models=[("raw", _LATER_RAW), *MODEL_CTES[1:]])
 register("incr_stream_ingest", f"SELECT {_STG_KEEP} FROM stg_mmp_events", models=_MOVED_CTES)
 register("incr_stream_marts", "SELECT * FROM mart_click_through_rate", models=_MOVED_CTES)
 register("gen_landed_batch", 'SELECT event_id, "timestamp", event_type, partner, cost_usd, app_id, '
@@ -631,3 +638,12 @@ SELECT COALESCE('mmp_events_' || replace(substr("timestamp", 1, 10), '-', '') ||
                 '__HIVE_DEFAULT_PARTITION__') AS batch,
        {big('COUNT(*)')} AS event_count, true AS has_bytes
 FROM raw GROUP BY 1""")
+register("src_landing_manifest", f"""
+SELECT COALESCE('mmp_events_' || replace(substr("timestamp", 1, 10), '-', '') || '_000000',
+                '__HIVE_DEFAULT_PARTITION__') AS batch,
+       {big('ceil(COUNT(*) / 1000)')} AS files, {big('COUNT(*)')} AS event_count,
+       {big(f"""COUNT(*) FILTER (WHERE NOT COALESCE(event_id <> '' AND "timestamp" IS NOT NULL AND partner IS NOT NULL
+         AND app_id IS NOT NULL AND campaign_id IS NOT NULL AND country_code IS NOT NULL AND cost_usd >= 0
+         AND event_type IN ({sql_list(VALID_EVENT_TYPES)}) AND platform IN ({sql_list(VALID_PLATFORMS)}), false))""")} AS invalid_count,
+       true AS has_bytes
+FROM raw GROUP BY 1""")

@@ -20,12 +20,13 @@ from adlens.operators import incremental as INC
 from adlens.operators import reports as R
 from adlens.operators import synth as G
 from adlens.operators import validate as V
-from adlens.operators.staging import rejected_events, rejects_by_reason, staged_and_rejected
+from adlens.operators.staging import rejected_events, rejects_by_reason, stage_events, staged_and_rejected
 from adlens.plans import pipeline as P
-from adlens.plans.increment import load_increment
-from adlens.plans.landing import land_synthetic
+from adlens.plans.increment import load_increment, merge_staged, start_table
+from adlens.plans.landing import inventory, land_batches, land_synthetic
 from adlens.plans.layers import Layers
-from adlens.session import scratch_path
+from adlens.plans.loads import load_landed
+from adlens.session import materialize, scratch_path, stored
 from adlens.sources import jsonl as J
 from adlens.sources import tables as TB
 from adlens.sources.driver_events import (
@@ -33,7 +34,7 @@ from adlens.sources.driver_events import (
 )
 from adlens.operators import marts as M
 from adlens.operators import metrics as MET
-from adlens.streaming.ingest import ingest, read_daily
+from adlens.streaming.ingest import ingest, merge_batch, read_daily, refresher, staged_schema
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -257,9 +258,14 @@ def _split_month(stg: DataFrame) -> F.Column:
     return stg.select(F.trunc(F.max("event_date"), "month")).scalar()
 
 
+def _stored_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged events written once, as a stored table's readers find them."""
+    return materialize(_l(spark, sf_dir).stg_mmp_events, "staged")
+
+
 @query("incr_new_rows")
 def incr_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg = _l(spark, sf_dir).stg_mmp_events
+    stg = _stored_staging(spark, sf_dir)
     target = stg.filter(F.col("event_date") < _split_month(stg))
     return INC.incremental_rows(target, stg).select(*STG_KEEP)
 
@@ -267,7 +273,7 @@ def incr_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("incr_merge_by_key")
 def incr_merge_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The new batch repeats keys (one with a later date) and has rows without one."""
-    stg = _l(spark, sf_dir).stg_mmp_events.select("event_timestamp", *STG_KEEP)
+    stg = _stored_staging(spark, sf_dir).select("event_timestamp", *STG_KEEP)
     cut = _split_month(stg)
     e = F.col("event_id").cast("bigint")
     target = stg.filter(F.col("event_date") < cut).withColumn("load_batch", F.lit("initial"))
@@ -282,13 +288,57 @@ def incr_merge_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("incr_batch_job")
 def incr_batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batch runs against a stored table: the second adds what is newer."""
-    stg = _l(spark, sf_dir).stg_mmp_events
+    stg = _stored_staging(spark, sf_dir)
     target = scratch_path(spark, "increment")
     load_increment(spark, stg.filter(F.col("event_date") < _split_month(stg)), target)
     load_increment(spark, stg, target)
     return spark.read.schema(stg.schema).parquet(target).select(*STG_KEEP)
 
 
+@query("incr_landed_late")
+def incr_landed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs by load marks: the second run's batches hold events of every
+    date, most of them older than what is stored; no lookback is given."""
+    raw = raw_events(spark, sf_dir)
+    late = F.coalesce(F.col("event_id").cast("bigint") % 3 == 0, F.lit(False))
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "loaded")
+    batch = F.when(late, F.lit("mmp_events_99990101_000000")).otherwise(batch_of(F.col("timestamp")))
+    rows = raw.withColumn("batch", batch)
+    J.write_partitioned(rows.filter(~late), landing, "batch")
+    load_landed(spark, landing, target)
+    J.write_partitioned(rows.filter(late), landing, "batch", mode="append")
+    load_landed(spark, landing, target)
+    load_landed(spark, landing, target)  # every batch bears its mark: nothing to do
+    return spark.read.parquet(target).select(*STG_KEEP)
+
+
+@query("incr_retried_merge")
+def incr_retried_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily metrics of a merge that is lost between table and metrics and tried again.
+
+    The second batch sends a fifth of the events a day later, so dates lose
+    rows; its first run ends where the metrics would be refreshed."""
+    raw = raw_events(spark, sf_dir)
+    e, at = F.col("event_id").cast("bigint"), F.to_timestamp_ntz("timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    moved = raw.filter(e % 5 == 0).withColumn(
+        "timestamp", F.date_format(at + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    target, daily_path, rejects = (scratch_path(spark, n) for n in ("retried", "daily", "rejects"))
+    schema = staged_schema(spark)
+    start_table(spark, target, schema)
+    merge_batch(spark, raw, target, rejects, 0, daily_path)
+
+    def lost(dates: list) -> None:
+        raise ConnectionError("lost before the metrics were refreshed")
+
+    with stored(stage_events(moved), "moved") as new:
+        try:
+            merge_staged(spark, new, target, schema, ["event_timestamp"], after=lost)
+        except ConnectionError:
+            pass
+        merge_staged(spark, new, target, schema, ["event_timestamp"], after=refresher(spark, target, daily_path))
+    return read_daily(spark, daily_path)
+
+
 @query("out_partition_pruned")
 def out_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stg_by_date")
@@ -439,3 +489,19 @@ def src_inventory_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     inv = src_file_inventory(spark, sf_dir)
     return inv.groupBy("batch").agg(F.sum("event_count").alias("event_count"),
                                     (F.sum("size_bytes") > 0).alias("has_bytes"))
+
+
+FILE_EVENTS = 1000
+
+
+@query("src_landing_manifest")
+def src_landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings of batches, read back from their manifests: no line is read again."""
+    raw = raw_events(spark, sf_dir).withColumn("batch", batch_of(F.col("timestamp")))
+    landing = scratch_path(spark, "landing")
+    early = F.coalesce(F.dayofmonth(F.to_timestamp_ntz("timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))) < 15, F.lit(False))
+    for part in (early, ~early):
+        land_batches(raw.filter(part), landing, "batch", max_records_per_file=FILE_EVENTS, on_invalid="keep")
+    return (inventory(spark, landing).groupBy("batch")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("event_count").alias("event_count"),
+                 F.sum("invalid_count").alias("invalid_count"), (F.min("size_bytes") > 0).alias("has_bytes")))

@@ -122,3 +122,9 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(to.getParent())
     if not fs.rename(p, to):
         raise OSError(f"{source} could not be renamed to {target}")
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in the folder ``path``; none where it is missing."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []

@@ -1,7 +1,9 @@
 """View and table materialization with persisted column documentation.
 
-A view is a lazy DataFrame registered by name. A table is written in full
-(overwrite) as Parquet, optionally partitioned; column descriptions travel as
+A view is a lazy DataFrame registered by name. A table is written in full as
+Parquet, optionally partitioned, to a folder of its own, and then takes the
+place of the former one by rename, so that a run that ends while writing
+leaves the former table as it was (``replacing``); column descriptions travel as
 ``comment`` metadata in the Parquet footer's Spark schema, and as column
 comments when the table is saved to the catalog. A written table also cuts
 the lineage of everything downstream: a lost executor re-reads files instead
@@ -10,11 +12,14 @@ of recomputing the models above it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from adlens.session import delete_path, path_exists, rename_path
+
 
 def with_docs(df: DataFrame, docs: Mapping[str, str]) -> DataFrame:
     """Attach ``comment`` metadata to documented columns."""
@@ -38,10 +43,39 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def _aside(path: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_replacing/{name}"
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Put back the former table where a run ended between the two renames, and
+    drop what such a run left besides."""
+    aside = _aside(path)
+    if not path_exists(spark, path) and path_exists(spark, f"{aside}/former"):
+        rename_path(spark, f"{aside}/former", path)
+    delete_path(spark, aside)
+
+
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder to write the new contents of ``path`` to; they take its place
+    when the block ends well, and otherwise nothing changes."""
+    restore(spark, path)
+    aside = _aside(path)
+    try:
+        yield f"{aside}/new"
+        if path_exists(spark, path):
+            rename_path(spark, path, f"{aside}/former")
+        rename_path(spark, f"{aside}/new", path)
+    finally:
+        restore(spark, path)
+
+
 def write_table(df: DataFrame, path: str, docs: Mapping[str, str] | None = None,
                 partition_by: list[str] | None = None, mode: str = "overwrite",
                 dynamic_partitions: bool = False) -> str:
-    """Full-refresh Parquet table at ``path``.
+    """Full-refresh Parquet table at ``path``, replaced only once it is written.
 
     With ``partition_by`` and ``dynamic_partitions=True`` only the partitions
     present in ``df`` are replaced (the rest of the table is kept).
@@ -53,7 +87,11 @@ def write_table(df: DataFrame, path: str, docs: Mapping[str, str] | None = None,
         w = w.partitionBy(*partition_by)
     if dynamic_partitions:
         w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+    if mode == "overwrite" and not dynamic_partitions:
+        with replacing(df.sparkSession, path) as new:
+            w.parquet(new)
+    else:
+        w.parquet(path)
     return path
 
 
@@ -94,4 +132,6 @@ def _quote(s: str) -> str:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
+    if not path_exists(spark, path):
+        restore(spark, path)
     return spark.read.parquet(path)

@@ -18,7 +18,11 @@ date-partitioned staged table:
 * the dates that the batch or an earlier row of one of its ids falls on are
   read back (static partition filter), merged and written with dynamic
   partition overwrite; a date that an event has left empty is deleted.
-  Finding the earlier rows reads the target's two key columns.
+  Finding the earlier rows reads the key column only of dates whose key
+  filter is hit (``sources.keyfilter``);
+* new contents and touched dates are journalled before the table changes
+  (``plans.increment``), so a run that ends between the merge and the refresh
+  of the daily metrics is finished by the next one.
 
 The default checkpoint and rejects folders are named after the target, so
 that later runs go on where the last one ended.
@@ -35,8 +39,8 @@ from adlens.constants import RAW_SCHEMA
 from adlens.operators import metrics as MET
 from adlens.operators.incremental import write_partitioned_by_date
 from adlens.operators.staging import stage_events, staged_and_rejected
-from adlens.plans.increment import drop_dates, merge_staged
-from adlens.session import path_exists, stored
+from adlens.plans.increment import drop_dates, merge_staged, recover, start_table
+from adlens.session import stored
 from adlens.sources.jsonl import parse_events
 
 LANDED = "_landed"  # what orders the sendings of one event
@@ -81,10 +85,13 @@ def merge_batch(spark: SparkSession, batch: DataFrame, target: str, rejects: str
         (rows.filter(F.col("reject_reason").isNotNull()).select("rejected.*", "reject_reason")
          .write.mode("overwrite").parquet(f"{rejects}/epoch={epoch_id}"))
         new = rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "rejected")
-        held = spark.read.schema(staged_schema(spark)).parquet(target)
-        touched = merge_staged(spark, new, held, target, [LANDED, "event_timestamp"], [LANDED])
-    if daily_path and touched:
-        refresh_daily(spark, target, touched, daily_path)
+        merge_staged(spark, new, target, staged_schema(spark), [LANDED, "event_timestamp"], [LANDED],
+                     refresher(spark, target, daily_path))
+
+
+def refresher(spark: SparkSession, target: str, daily_path: str | None):
+    """What a merge does after replacing dates: refresh their daily metrics."""
+    return (lambda dates: refresh_daily(spark, target, dates, daily_path)) if daily_path else None
 
 
 def ingest(spark: SparkSession, landing_glob: str, target: str, checkpoint: str | None = None,
@@ -100,11 +107,8 @@ def ingest(spark: SparkSession, landing_glob: str, target: str, checkpoint: str
     checkpoint = checkpoint or f"{target}_checkpoint"
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     rejects = f"{(rejects or target + '_rejects').rstrip('/')}/run={run}"
-    if not path_exists(spark, target):
-        # An empty, date-partitioned target: every micro-batch can then read
-        # it with the staged schema and merge, with no existence probing.
-        spark.createDataFrame([], staged_schema(spark)).write.mode("append") \
-             .partitionBy("event_date").parquet(target)
+    start_table(spark, target, staged_schema(spark))
+    recover(spark, target, staged_schema(spark), refresher(spark, target, daily_path))
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
