@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
@@ -32,7 +32,7 @@ def test_query_equals_its_sql(spark, name):
 
 @pytest.mark.parametrize("name, rows", [("op2_best_fit_packing", None), ("op4_document_fingerprints", 200),
                                         ("op5_pii_pseudonyms", 200), ("op7_source_mixing", 200), ("op8_token_counts", 200),
-                                        ("op10_quality_classifier", 200)])
+                                        ("op10_quality_classifier", 200), ("op13_toxicity", 200)])
 def test_query_covers_the_whole_table(spark, name, rows):
     out = QUERIES[name](spark, SMALL)
     ids = out.select("doc_id").distinct().count()
