@@ -12,10 +12,10 @@ Generic tests (semantics of the usual schema-test package):
 
 ``run_checks`` evaluates a whole suite as one Spark job: per table one
 aggregate for all row-level and accepted-values tests, whose shuffle holds
-one row per value and task, and for each ``unique`` test a narrow aggregate of
-its own (key and count), the only one that moves a row per distinct key. Only
-counts reach the report; failing rows stay distributed and are returned by
-the per-test functions.
+one row per value and task, and for each ``unique`` test a pass of its own over
+the key column, which moves eight bytes per distinct key; whole keys move only
+where their hash came twice. Only counts reach the report; failing rows stay
+distributed and are returned by the per-test functions.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.constants import GRAINS, STAGED_PLATFORMS, VALID_EVENT_TYPES
+from adlens.session import materialize
 
 
 @dataclass(frozen=True)
@@ -49,11 +50,27 @@ class Check:
         return f"{self.kind}_{self.table}_{self.column}"
 
 
+# Hashes seen twice that are broadcast (some 32 MB as a hash table); beyond
+# them so many keys repeat that all are grouped.
+SUSPECTS = 1_000_000
+
+
 # --- failing-row queries ----------------------------------------------------
-def unique(df: DataFrame, c: str) -> DataFrame:
-    return (df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("unique_field"))
-              .agg(F.count(F.lit(1)).alias("n_records"))
-              .filter(F.col("n_records") > 1))
+def unique(df: DataFrame, c: str, suspects: int = SUSPECTS) -> DataFrame:
+    """Values of ``c`` seen more than once, with their number.
+
+    The first pass counts 64-bit hashes and stores those seen twice; the
+    second groups only the values with such a hash, exactly. It reads the
+    column twice, so ``df`` is best a stored table.
+    """
+    keys = df.select(F.col(c).alias("unique_field")).filter(F.col("unique_field").isNotNull())
+    h = F.xxhash64("unique_field")
+    twice = materialize(keys.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("n"))
+                        .filter("n > 1").select("_h"), "suspects")
+    if twice.count() <= suspects:
+        keys = keys.withColumn("_h", h).join(F.broadcast(twice), "_h", "left_semi")
+    return (keys.groupBy("unique_field").agg(F.count(F.lit(1)).alias("n_records"))
+                .filter(F.col("n_records") > 1))
 
 
 def not_null(df: DataFrame, c: str) -> DataFrame:
@@ -135,7 +152,7 @@ def _meta(check: Check) -> list[Column]:
 
 
 def _unique_failures(df: DataFrame, check: Check) -> DataFrame:
-    """Values seen more than once, counted from a shuffle of key and count."""
+    """How many values are seen more than once."""
     return (unique(df.select(check.column), check.column)
             .agg(F.count(F.lit(1)).alias("failures")).select(*_meta(check), "failures"))
 

@@ -78,9 +78,13 @@ MARTS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
 }
 
 
+def present_order() -> list[Column]:
+    """Grain, newest period first, partner, platform."""
+    return [F.col("grain"), F.col("period").desc(), F.col("partner"), F.col("platform")]
+
+
 def present(mart: DataFrame) -> DataFrame:
-    """Presentation order: grain, newest period first, partner, platform."""
-    return mart.orderBy("grain", F.col("period").desc(), "partner", "platform")
+    return mart.orderBy(*present_order())
 
 
 def grain_filter(grain: str) -> Column:

@@ -106,10 +106,14 @@ def all_grain_metrics(staged: DataFrame, exact_cost: bool = True,
     return {g: publish(roll_up(daily, g), g, load_stamp) for g in GRAIN_KEY}
 
 
-def present(metrics: DataFrame) -> DataFrame:
-    """Presentation order: newest period first, then partner, platform."""
+def present_order(metrics: DataFrame) -> list[Column]:
+    """Newest period first, then partner, platform."""
     key = next(k for k in GRAIN_KEY.values() if k in metrics.columns)
-    return metrics.orderBy(F.col(key).desc(), "partner", "platform")
+    return [F.col(key).desc(), F.col("partner"), F.col("platform")]
+
+
+def present(metrics: DataFrame) -> DataFrame:
+    return metrics.orderBy(*present_order(metrics))
 
 
 def roll_up_published(daily: DataFrame, grain: str, load_stamp: bool | Column = True,

@@ -74,14 +74,24 @@ def _ratio_stats(mart: DataFrame, keys: list[str], col: str, prefix: str) -> Dat
         F.count(F.lit(1)).alias("record_count"))
 
 
+def ctr_order() -> list[Column]:
+    """Grain, best rate first, partner."""
+    return [F.col("grain"), F.col("avg_ctr_pct").desc(), F.col("partner")]
+
+
 def ctr_stats(ctr_mart: DataFrame) -> DataFrame:
     return (_ratio_stats(ctr_mart, ["grain", "partner"], "ctr_percentage", "ctr_pct")
-            .orderBy("grain", F.col("avg_ctr_pct").desc(), "partner"))
+            .orderBy(*ctr_order()))
+
+
+def cpi_order() -> list[Column]:
+    """Grain, least cost first, platform."""
+    return [F.col("grain"), F.col("avg_cpi"), F.col("platform")]
 
 
 def cpi_stats(cpi_mart: DataFrame) -> DataFrame:
     return (_ratio_stats(cpi_mart, ["grain", "platform"], "cpi_direct_rounded", "cpi")
-            .orderBy("grain", "avg_cpi", "platform"))
+            .orderBy(*cpi_order()))
 
 
 def grain_coverage(ir: DataFrame, ctr: DataFrame, cpi: DataFrame) -> DataFrame:

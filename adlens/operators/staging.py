@@ -85,8 +85,11 @@ def stage_events(raw: DataFrame, mode: str = "strict", check_cost: bool = True)
     kept = raw.filter(staging_predicate(check_cost))
     if "_corrupt_record" in raw.columns:
         kept = kept.filter(F.col("_corrupt_record").isNull())
-    # Parse once into a column; the strict check then only reads it.
-    kept = kept.withColumn("_parsed", parse_event_timestamp(F.col("timestamp"), strict=False))
+    # Parse once into a column; the strict check then only reads it. The filter
+    # of quarantine reads it too, and would be rewritten into the parse (the
+    # timestamp's own expression once per digit group) but for the generator.
+    parsed = parse_event_timestamp(F.col("timestamp"), strict=False)
+    kept = kept.select("*", (F.explode(F.array(parsed)) if mode == "quarantine" else parsed).alias("_parsed"))
     ts = F.col("_parsed")
     if mode == "strict":
         ts = F.when(F.col("_parsed").isNull(),

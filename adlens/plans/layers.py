@@ -21,13 +21,14 @@ from adlens.sources.driver_events import raw_events
 
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "strict",
-                 load_stamp=False, raw: DataFrame | None = None, check_cost: bool = True):
+                 load_stamp=False, raw: DataFrame | None = None, check_cost: bool = True, store: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.mode = mode
         self.load_stamp = load_stamp
         self._raw = raw
         self.check_cost = check_cost
+        self.store = store
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -35,7 +36,9 @@ class Layers:
 
     @cached_property
     def stg_mmp_events(self) -> DataFrame:
-        return stage_events(self.raw, self.mode, self.check_cost)
+        """Lazy, or with ``store`` written once for all that reads it."""
+        staged = stage_events(self.raw, self.mode, self.check_cost)
+        return materialize(staged, "staged") if self.store else staged
 
     @cached_property
     def _daily_parts(self) -> DataFrame:

@@ -16,7 +16,7 @@ are handled explicitly:
 from __future__ import annotations
 
 from adlens.constants import (
-    EVENT_TYPES, REQUIRED_FIELDS, SAMPLE_APPS, SAMPLE_CAMPAIGNS, VALID_EVENT_TYPES, VALID_PLATFORMS,
+    EVENT_TYPES, METRIC_DOCS, REQUIRED_FIELDS, SAMPLE_APPS, SAMPLE_CAMPAIGNS, TABLE_DOCS, VALID_EVENT_TYPES, VALID_PLATFORMS,
 )
 from adlens.operators.checks import Check, DECLARED_CHECKS
 from adlens.operators.synth import COST_RANGES, WEIGHTED_FIELDS, cumulative
@@ -268,6 +268,29 @@ FROM (SELECT grain, period, partner, {big('SUM(installs)')} AS installs,
       FROM mart_cost_per_install GROUP BY grain, period, partner) g""")
 
 
+# --- Order and load stamp as data ----------------------------------------------
+
+
+def _placed(order: str, cols: str, table: str) -> str:
+    return f"SELECT {cols}, {big(f'row_number() OVER (ORDER BY {order})')} AS position FROM {table}"
+
+
+register("ord_daily_metrics", _placed(
+    "event_date DESC NULLS LAST, partner NULLS FIRST, platform NULLS FIRST",
+    "event_date, partner, platform, total_events", "int_daily_metrics"))
+register("ord_mart_click_through_rate", _placed(
+    "grain, period DESC, partner NULLS FIRST, platform NULLS FIRST",
+    "grain, period, partner, platform, clicks, impressions", "mart_click_through_rate"))
+register("ord_ctr_stats", _placed("grain, avg_ctr_pct DESC NULLS LAST, partner NULLS FIRST", "*", "(" + _ratio_stats(
+    "mart_click_through_rate", "grain, partner", "ctr_percentage", "ctr_pct") + ") s"))
+register("ord_cpi_stats", _placed("grain, avg_cpi NULLS FIRST, platform NULLS FIRST", "*", "(" + _ratio_stats(
+    "mart_cost_per_install", "grain, platform", "cpi_direct_rounded", "cpi") + ") s"))
+register("int_weekly_stamped", """
+SELECT week_start_date, partner, platform, total_events,
+       (SELECT MAX(event_timestamp) FROM stg_mmp_events) AS dbt_updated_at
+FROM int_weekly_metrics""")
+
+
 # --- Data tests ---------------------------------------------------------------
 
 
@@ -340,6 +363,31 @@ SELECT 'mmp_events_' || replace(substr("timestamp", 1, 10), '-', '') || '_000000
        {big('COUNT(*)')} AS event_count, {total('cost_usd')} AS total_cost
 FROM raw GROUP BY 1""")
 
+register("src_batch_presence", """
+SELECT day, 'mmp_events_' || strftime(day, '%Y%m%d') || '_000000' AS batch,
+       day IN (SELECT CAST(substr("timestamp", 1, 10) AS DATE) FROM raw WHERE "timestamp" IS NOT NULL) AS present
+FROM (SELECT CAST(unnest(generate_series(MIN(d), MAX(d) + INTERVAL 7 DAY, INTERVAL 1 DAY)) AS DATE) AS day
+      FROM (SELECT CAST(substr("timestamp", 1, 10) AS DATE) AS d FROM raw) r) s""")
+
+register("src_file_sizes", f"""
+SELECT COALESCE('mmp_events_' || replace(substr("timestamp", 1, 10), '-', '') || '_000000',
+                '__HIVE_DEFAULT_PARTITION__') AS batch,
+       {big('COUNT(*)')} AS event_count, true AS size_matches
+FROM raw GROUP BY 1""")
+
+_CPI_COLUMNS = ["grain", "period", "partner", "platform", "installs", "install_cost", "total_cost",
+                "cpi_direct", "cpi_blended", "cpi_direct_rounded", "cpi_blended_rounded"]
+
+
+def _text(s: str | None) -> str:
+    return "CAST(NULL AS VARCHAR)" if s is None else "'" + s.replace("'", "''") + "'"
+
+
+register("out_column_comments", "\nUNION ALL\n".join(
+    f"SELECT {_text(c)} AS column_name, {_text(doc)} AS comment, {big(f'COUNT({c or chr(42)})')} AS n_values "
+    "FROM mart_cost_per_install"
+    for c, doc in [(None, TABLE_DOCS["mart_cost_per_install"])] + [(c, METRIC_DOCS.get(c)) for c in _CPI_COLUMNS]))
+
 register("out_table_roundtrip", "SELECT * FROM int_daily_metrics")
 
 register("stg_date_parts", f"""
@@ -608,6 +656,7 @@ LEFT JOIN ({_WEIGHTS}) w ON c.field = w.field AND c.value = w.value,
 
 # --- Pipeline build and streaming ingest -------------------------------------------
 register("build_mart_click_through_rate", "SELECT * FROM mart_click_through_rate")
+register("build_extreme_weekly", "SELECT * FROM int_weekly_metrics", models=EXTREME_CTES)
 register("build_int_monthly_metrics", "SELECT * FROM int_monthly_metrics")
 register("build_test_report", _report_sql(DECLARED_CHECKS))
 register("build_refresh_replaces", f"""

@@ -12,8 +12,9 @@ Execution plan, chosen for scale:
 1. One job reads the staged columns it needs and writes the daily table
    (partial aggregation on the map side; the shuffle carries at most one
    row per day/partner/platform per task).
-2. Weekly and monthly tables roll up the *written* daily table (exact, see
-   ``roll_up_published``): their input is tiny and does not touch events.
+2. The daily sums are written as they add up (decimals and what these can't
+   hold, ``int_daily_state``); the daily, weekly and monthly tables are published
+   from them, so a roll-up equals a direct aggregation and reads no events.
 3. Marts read the written intermediates. Every written table cuts the
    lineage, so a lost executor re-reads files instead of rescanning events.
 4. Tests run as one report job per build.
@@ -124,12 +125,19 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, select: list[str] |
             register_table(spark, f"{database}.{name}", path(layer, name), df.schema, TABLE_DOCS.get(name))
         return df
 
-    daily = materialize("intermediate", "int_daily_metrics",
-                        lambda: MET.grain_metrics(stg, "daily", exact_cost, load_stamp))
-    weekly = materialize("intermediate", "int_weekly_metrics",
-                         lambda: daily and MET.roll_up_published(daily, "weekly", load_stamp, exact_cost))
-    monthly = materialize("intermediate", "int_monthly_metrics",
-                          lambda: daily and MET.roll_up_published(daily, "monthly", load_stamp, exact_cost))
+    state = path("intermediate", "int_daily_state")
+    if "int_daily_metrics" in models:
+        write_table(MET.daily_parts(stg, exact_cost), state)
+
+    def grain(name: str) -> DataFrame | None:
+        """A grain from the stored sums; from the published table where a build of old left no sums."""
+        if path_exists(spark, state):
+            return MET.publish(MET.roll_up(read_table(spark, state), name), name, load_stamp)
+        return daily and MET.roll_up_published(daily, name, load_stamp, exact_cost)
+
+    daily = materialize("intermediate", "int_daily_metrics", lambda: grain("daily"))
+    weekly = materialize("intermediate", "int_weekly_metrics", lambda: grain("weekly"))
+    monthly = materialize("intermediate", "int_monthly_metrics", lambda: grain("monthly"))
     for name, mart in M.MARTS.items():
         materialize("marts", name,
                     lambda mart=mart: (mart(daily, weekly, monthly)

@@ -9,6 +9,7 @@ checkpoint folder when they are called; the others stay lazy.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from adlens.operators import incremental as INC
 from adlens.operators import reports as R
 from adlens.operators import synth as G
 from adlens.operators import validate as V
+from adlens.operators.ordering import positions
 from adlens.operators.staging import rejected_events, rejects_by_reason, stage_events, staged_and_rejected
 from adlens.plans import pipeline as P
 from adlens.plans.increment import load_increment, merge_staged, start_table
@@ -34,7 +36,7 @@ from adlens.sources.driver_events import (
 )
 from adlens.operators import marts as M
 from adlens.operators import metrics as MET
-from adlens.streaming.ingest import ingest, merge_batch, read_daily, refresher, staged_schema
+from adlens.streaming.ingest import ingest, merge_batch, read_daily, refresher, rolled_up, staged_schema
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -107,6 +109,39 @@ for _name in _REPORTS:
     QUERIES[_name] = _report(_name)
 
 
+# --- Order and load stamp as data (A8, A9, M12, B4) --------------------------
+
+
+@query("ord_daily_metrics")
+def ord_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = _l(spark, sf_dir).grain("daily")
+    return positions(daily, *MET.present_order(daily)).select("position", "event_date", "partner", "platform", "total_events")
+
+
+@query("ord_mart_click_through_rate")
+def ord_mart_click_through_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = _l(spark, sf_dir).mart_click_through_rate
+    return positions(mart, *M.present_order()).select("position", *M.MART_KEYS, "clicks", "impressions")
+
+
+@query("ord_ctr_stats")
+def ord_ctr_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positions(R.ctr_stats(_l(spark, sf_dir).mart_click_through_rate), *R.ctr_order())
+
+
+@query("ord_cpi_stats")
+def ord_cpi_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positions(R.cpi_stats(_l(spark, sf_dir).mart_cost_per_install), *R.cpi_order())
+
+
+@query("int_weekly_stamped")
+def int_weekly_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly metrics as of the newest event: a load stamp that a rerun repeats."""
+    newest = _l(spark, sf_dir).stg_mmp_events.select(F.max("event_timestamp")).scalar()
+    return (Layers(spark, sf_dir, load_stamp=newest).grain("weekly")
+            .select("week_start_date", "partner", "platform", "total_events", "dbt_updated_at"))
+
+
 # --- Data tests (T1-T9) ------------------------------------------------------
 
 _CHECK_TABLES = ("stg_mmp_events", "mart_installs_reinstalls", "mart_click_through_rate",
@@ -117,9 +152,11 @@ def check_tables(L: Layers) -> dict[str, DataFrame]:
     return {t: L.table(t) for t in _CHECK_TABLES}
 
 
-def _dirty(spark: SparkSession, sf_dir: str) -> Layers:
-    """Models over defective events, without the cost rule: the tests have failures to find."""
-    return Layers(spark, sf_dir, mode="quarantine", raw=dirty_events(spark, sf_dir), check_cost=False)
+def _dirty(spark: SparkSession, sf_dir: str, store: bool = False) -> Layers:
+    """Models over defective events, without the cost rule: the tests have failures to find.
+
+    ``store`` writes the staged events once, for tests that read them more than once."""
+    return Layers(spark, sf_dir, mode="quarantine", raw=dirty_events(spark, sf_dir), check_cost=False, store=store)
 
 
 def _dq_rows(test_name: str) -> QueryFn:
@@ -152,13 +189,13 @@ def v11_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_not_null")
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [c for c in C.DECLARED_CHECKS if c.kind == "not_null"]
-    return (C.run_checks(check_tables(_dirty(spark, sf_dir)), specs)
+    return (C.run_checks(check_tables(_dirty(spark, sf_dir, store=True)), specs)
             .select("test_name", "table_name", "column_name", "failures"))
 
 
 @query("dq_accepted_values")
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = _dirty(spark, sf_dir)
+    L = _dirty(spark, sf_dir, store=True)
     out = None
     for c in (c for c in C.DECLARED_CHECKS if c.kind == "accepted_values"):
         part = (C.failing_rows(c, L.table(c.table))
@@ -170,7 +207,7 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dq_report")
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.run_checks(check_tables(_dirty(spark, sf_dir)), C.DECLARED_CHECKS)
+    return C.run_checks(check_tables(_dirty(spark, sf_dir, store=True)), C.DECLARED_CHECKS)
 
 
 # --- Sources, sinks, staging extras (S1-S12, P7-P9, F4) ----------------------
@@ -212,6 +249,50 @@ def src_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         "file_name", "size_bytes", "size_kb", "event_count")
 
 
+@query("src_batch_presence")
+def src_batch_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the days from the first event to a week after the last have a landed batch."""
+    raw = raw_events(spark, sf_dir)
+    day = F.substring("timestamp", 1, 10).cast("date")
+    span = raw.agg(F.min(day).alias("a"), F.date_add(F.max(day), 7).alias("b"))
+    days = span.select(F.explode(F.sequence("a", "b")).alias("day"))
+    expected = days.select("day", batch_of(F.col("day").cast("string")).alias("batch"))
+    return J.with_presence(spark, _land_by_batch(spark, sf_dir), expected)
+
+
+@query("src_file_sizes")
+def src_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per batch: the sizes of the inventory against the bytes of the lines."""
+    out = _land_by_batch(spark, sf_dir)
+    batch = F.regexp_extract("path", r"batch=([^/]+)/", 1).alias("batch")
+    listed = (J.file_inventory(spark, out).groupBy(batch)
+              .agg(F.sum("event_count").alias("event_count"), F.sum("size_bytes").alias("size_bytes")))
+    lines = (spark.read.option("recursiveFileLookup", "true").text(out)
+             .groupBy(F.regexp_extract(F.col("_metadata.file_path"), r"batch=([^/]+)/", 1).alias("batch"))
+             .agg(F.sum(F.octet_length("value") + 1).alias("line_bytes")))
+    return listed.join(lines, "batch").select("batch", "event_count", (F.col("size_bytes") == F.col("line_bytes")).alias("size_matches"))
+
+
+@query("out_column_comments")
+def out_column_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments of a built table and its columns, as the catalog has them, with
+    the number of values under each (of rows, under the table's own)."""
+    name = "mart_cost_per_install"
+    db = f"adlens_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalog')}'")
+    try:
+        res = P.build(spark, raw_events(spark, sf_dir), scratch_path(spark, "build"), load_stamp=False,
+                      run_tests=False, database=db)
+        own = spark.catalog.getTable(f"{db}.{name}").description
+        docs = {c.name: c.description for c in spark.catalog.listColumns(f"{db}.{name}")}
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")  # entries only: the tables' files are their own
+    entry = lambda c, doc, n: F.struct(F.lit(c).cast("string").alias("column_name"), F.lit(doc).cast("string").alias("comment"),
+                                       n.alias("n_values"))
+    entries = [entry(None, own, F.count(F.lit(1)))] + [entry(c, d, F.count(c)) for c, d in docs.items()]
+    return TB.read_table(spark, res.tables[name]).agg(F.array(*entries).alias("e")).select(F.inline("e"))
+
+
 @query("out_table_roundtrip")
 def out_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "int_daily_metrics")
@@ -399,6 +480,15 @@ def build_mart_click_through_rate(spark: SparkSession, sf_dir: str) -> DataFrame
     return TB.read_table(spark, res.tables["mart_click_through_rate"])
 
 
+@query("build_extreme_weekly")
+def build_extreme_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly metrics that a build rolled up from its stored daily sums, where
+    some costs are 4e-7, 1e12 or 1e25."""
+    res = P.build(spark, extreme_events(spark, sf_dir), scratch_path(spark, "build"), select=["staging", "intermediate"],
+                  load_stamp=False, run_tests=False)
+    return TB.read_table(spark, res.tables["int_weekly_metrics"])
+
+
 @query("build_int_monthly_metrics")
 def build_int_monthly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = _build(spark, sf_dir, select=["intermediate"])
@@ -467,8 +557,8 @@ def incr_stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily_path = scratch_path(spark, "daily")
     _two_landings(spark, sf_dir, daily_path)
     daily = read_daily(spark, daily_path)
-    return M.mart_click_through_rate(daily, MET.roll_up_published(daily, "weekly", False),
-                                     MET.roll_up_published(daily, "monthly", False))
+    return M.mart_click_through_rate(daily, rolled_up(spark, daily_path, "weekly"),
+                                     rolled_up(spark, daily_path, "monthly"))
 
 
 # --- Landing job (generate -> validate -> stamped JSONL batch) -------------------

@@ -149,6 +149,17 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*.json*") -> Dat
                     F.coalesce(F.col("event_count"), F.lit(0)).cast("long").alias("event_count")))
 
 
+def with_presence(spark: SparkSession, path: str, expected: DataFrame, batch: str = "batch",
+                  glob: str = "*.json*") -> DataFrame:
+    """``expected`` with ``present``: whether a file of its batch lies below
+    ``path`` (a null batch has none). One listing serves all; no text is read."""
+    landed = (list_files(spark, path, glob)
+              .select(F.regexp_extract("path", r"/batch=([^/]+)/[^/]+$", 1).alias("_landed")).distinct()
+              .withColumn("_here", F.lit(True)))
+    return (expected.join(landed, F.col(batch) == F.col("_landed"), "left")
+            .withColumn("present", F.coalesce("_here", F.lit(False))).drop("_landed", "_here"))
+
+
 def file_exists(spark: SparkSession, path: str, name: str) -> bool:
     """True when ``name`` is below ``path``: a name with folders at just that
     place, a bare name in any folder."""

@@ -54,15 +54,27 @@ def refresh_daily(spark: SparkSession, target: str, touched: list, daily_path: s
     """Recompute the daily metrics of the ``touched`` dates from the staged
     table and replace just those ``event_date`` partitions of ``daily_path``.
 
-    Only the touched partitions are read; the daily groups are exact, so
-    weekly and monthly metrics rolled up from this table equal a full rebuild.
+    Only the touched partitions are read. The sums themselves are kept in
+    ``<daily_path>_state``; weekly and monthly metrics rolled up from them
+    (``rolled_up``) equal a full rebuild.
     """
     staged = spark.read.schema(staged_schema(spark)).parquet(target).filter(F.col("event_date").isin(touched))
-    # Reads the staged table, writes the daily one: no read/write overlap,
-    # so the result is written directly.
-    write_partitioned_by_date(MET.grain_metrics(staged, "daily", load_stamp=False), daily_path)
-    held = {r.event_date for r in staged.select("event_date").distinct().collect()}
-    drop_dates(spark, daily_path, [d for d in touched if d not in held])
+    with stored(MET.daily_parts(staged), "daily-parts") as parts:
+        write_partitioned_by_date(parts, _state(daily_path))
+        write_partitioned_by_date(MET.publish(parts, "daily", False), daily_path)
+        held = {r.event_date for r in parts.select("event_date").distinct().collect()}
+    for path in (_state(daily_path), daily_path):
+        drop_dates(spark, path, [d for d in touched if d not in held])
+
+
+def _state(daily_path: str) -> str:
+    return f"{daily_path.rstrip('/')}_state"
+
+
+def rolled_up(spark: SparkSession, daily_path: str, grain: str) -> DataFrame:
+    """A grain's metrics from the maintained sums of the days."""
+    parts = spark.read.schema(_daily_parts_schema(spark)).parquet(_state(daily_path))
+    return MET.publish(MET.roll_up(parts, grain), grain, False)
 
 
 def read_daily(spark: SparkSession, daily_path: str) -> DataFrame:

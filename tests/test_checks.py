@@ -1,4 +1,4 @@
-from helpers import SF_SMALL
+from helpers import SF_SMALL, plan_text
 from pyspark.sql import functions as F
 
 from adlens.operators import checks as C
@@ -43,3 +43,27 @@ def test_declared_suite_runs(spark):
                    "expression_is_true_mart_click_through_rate_impressions_ge_clicks",
                    "accepted_range_mart_click_through_rate_ctr_percentage"}
     assert rep.filter(F.col("failures") < 0).count() == 0
+
+
+def test_unique_by_hashes_equals_unique_by_keys(spark):
+    rows = [(f"k{i % 40}" if i % 9 else None,) for i in range(60)] + [(f"once{i}",) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string")
+    want = {}
+    for (k,) in rows:
+        if k is not None:
+            want[k] = want.get(k, 0) + 1
+    want = sorted((k, n) for k, n in want.items() if n > 1)
+    by_hash, by_key = C.unique(df, "k"), C.unique(df, "k", suspects=0)
+    assert sorted(map(tuple, by_hash.collect())) == sorted(map(tuple, by_key.collect())) == want
+    # only keys under a hash seen twice reach the shuffle of whole keys
+    assert "LeftSemi" in plan_text(by_hash) and "LeftSemi" not in plan_text(by_key)
+    assert C.unique(df.where("k like 'once%'"), "k").collect() == []
+    assert C.unique(df.limit(0), "k").collect() == []
+
+
+def test_quarantine_reads_the_timestamp_once(spark):
+    """The filter on the parsed timestamp is not rewritten into the parse."""
+    from adlens.plans.queries import _dirty
+    plan = plan_text(_dirty(spark, SF_SMALL).stg_mmp_events)
+    assert plan.count("try_make_timestamp_ntz") + plan.count("make_timestamp_ntz") <= 4
+    assert not any("make_timestamp" in line for line in plan.splitlines() if line.startswith("Condition"))

@@ -162,3 +162,11 @@ def test_stream_merge_is_idempotent_on_retry(spark, tmp_dir):
     assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == first
     assert sorted(tuple(r) for r in read_daily(spark, daily).collect()) == first_daily
     assert spark.read.parquet(tmp_dir + "/rej").count() == raw.count() - len(first)
+
+
+def test_presence_of_batches_from_one_listing(spark, tmp_dir):
+    rows = [event(event_id=str(i)) for i in range(3)]
+    J.write_events(raw_df(spark, rows), f"{tmp_dir}/l", batch="a")
+    expected = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("a", 4)], "batch string, path int")
+    out = J.with_presence(spark, f"{tmp_dir}/l", expected)
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[1]) == [("a", 1, True), ("b", 2, False), (None, 3, False), ("a", 4, True)]
