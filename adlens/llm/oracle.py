@@ -22,14 +22,16 @@ common AS (
   FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
   GROUP BY 1, 2),
 links AS MATERIALIZED (
-  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  SELECT a, b, k = x.n AND k = y.n AS twin FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
   WHERE 100 * k >= 75 * (x.n + y.n - k)),
+degrees AS MATERIALIZED (SELECT a, count(*) AS n_links, count(*) FILTER (twin) AS twins FROM links GROUP BY a),
 reach(a, b) AS (
   SELECT doc_id, doc_id FROM words
   UNION
   SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
-SELECT r.a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.b) AS component_id
-FROM reach r LEFT JOIN sizes s ON s.doc_id = r.a
+SELECT r.a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.b) AS component_id,
+       coalesce(any_value(twins), 0) + 1 AS class_size, coalesce(any_value(n_links), 0) AS n_links
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.a LEFT JOIN degrees d ON d.a = r.a
 GROUP BY r.a
 """,
     "op3_line_dedup": """

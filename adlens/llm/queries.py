@@ -24,7 +24,7 @@ from adlens.llm.whitening import whiten
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(read(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+    return ngram_join(read(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "class_size", "n_links")
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
