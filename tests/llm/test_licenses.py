@@ -15,7 +15,7 @@ def test_every_template_is_found_wherever_it_stands(spark, docs):
             n += 1
     out = {(r.doc_id, r.template): r.containment for r in license_matches(docs(rows)).collect()}
     assert all(out.get((i, name)) == 1.0 for i, _, name in rows)
-    also = {"Apache-2.0-header": {"Apache-2.0"}}  # the notice opens the header
+    also = {"Apache-2.0-header": {"Apache-2.0"}, "MIT-text": {"MIT-grant"}}  # one opens the other
     assert all(t == rows[i][2] or t in also.get(rows[i][2], ()) for i, t in out)
 
 
@@ -44,3 +44,32 @@ def test_own_templates_and_bound(spark, docs):
 def test_very_many_hits_in_one_text(spark, docs, times):
     out = license_matches(docs([(1, "Released under the MIT License. " * times)])).collect()
     assert [(r.template, r.first_word) for r in out] == [("MIT", 0)]
+
+
+def test_passes_over_many_templates(spark, docs, monkeypatch):
+    """More shingles than one broadcast takes: further passes, the same rows."""
+    from adlens.llm import licenses
+    rng = random.Random(3)
+    own = [(f"t{i}", prose(rng, 12)) for i in range(20)] + [(None, prose(rng, 9))]
+    rows = [(i, prose(rng, 7) + " " + text + " " + prose(rng, 5)) for i, (_, text) in enumerate(own)]
+    table = spark.createDataFrame(own, "template string, text string")
+    once = license_matches(docs(rows), table).collect()
+    monkeypatch.setattr(licenses, "MOST", 40)
+    split = license_matches(docs(rows), table).collect()
+    assert len(once) == 21 and sorted(map(str, once)) == sorted(map(str, split))
+
+
+def test_a_quarter_of_any_template_may_be_gone(spark, docs):
+    """Whatever shingles are lost, one of the kept bands retrieves the rest."""
+    rng = random.Random(5)
+    rows, want = [], set()
+    for n, (name, text) in enumerate(TEMPLATES):
+        words = text.split()
+        for j in range(6):
+            cut = list(words)
+            if len(words) > 30:
+                cut[rng.randrange(len(cut))] = "other"
+                want.add((10 * n + j, name))
+            rows.append((10 * n + j, " ".join(cut)))
+    found = {(r.doc_id, r.template) for r in license_matches(docs(rows)).collect() if r.containment < 1}
+    assert want <= found
