@@ -110,9 +110,10 @@ def _shingles(words: Column, first: Column, count: Column) -> Column:
 
 def _bands(hashes: Column) -> Column:
     """The least hash of every bin: sorted hashes stand bin by bin, as the upper bits name the bin."""
-    up = F.array_sort(hashes)
     name = lambda x: F.shiftright(x, 64 - BIN_BITS)
-    return F.filter(up, lambda x, i: (i == 0) | (name(x) != name(F.get(up, i - 1))))
+    # as the variable of a transform the sorted array is made once, not for every element
+    return F.transform(F.array(F.sort_array(hashes)), lambda up: F.filter(
+        up, lambda x, i: (i == 0) | (name(x) != name(F.get(up, i - 1)))))[0]
 
 
 def _starts(hashes: Column) -> Column:
