@@ -108,12 +108,17 @@ def _shingles(words: Column, first: Column, count: Column) -> Column:
     return F.transform(F.sequence(first, last), lambda i: F.array_join(F.slice(words, i + 1, F.lit(WIDTH)), " "))
 
 
+def _opens(x: Column, i: Column, up: Column) -> Column:
+    """Whether x, at i of sorted hashes, is the least of its bin: these stand
+    bin by bin, as their upper bits name the bin."""
+    name = lambda y: F.shiftright(y, 64 - BIN_BITS)
+    return (i == 0) | (name(x) != name(F.get(up, i - 1)))
+
+
 def _bands(hashes: Column) -> Column:
-    """The least hash of every bin: sorted hashes stand bin by bin, as the upper bits name the bin."""
-    name = lambda x: F.shiftright(x, 64 - BIN_BITS)
+    """The least hash of every bin."""
     # as the variable of a transform the sorted array is made once, not for every element
-    return F.transform(F.array(F.sort_array(hashes)), lambda up: F.filter(
-        up, lambda x, i: (i == 0) | (name(x) != name(F.get(up, i - 1)))))[0]
+    return F.transform(F.array(F.sort_array(hashes)), lambda up: F.filter(up, lambda x, i: _opens(x, i, up)))[0]
 
 
 def _starts(hashes: Column) -> Column:
@@ -139,9 +144,11 @@ def license_matches(docs: DataFrame, templates: DataFrame | None = None, doc_id:
     passes = max(1, -(-(table.agg(F.sum("size")).first()[0] or 0) // MOST))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), _words(F.col(text)).alias("w"))
     rows = rows.withColumn("h", _hashes(F.col("w"))).where(F.size("h") > 0)
-    sketch = F.flatten(F.transform(_starts(F.col("h")), lambda s: F.transform(
-        _bands(F.slice("h", s + 1, F.lit(WINDOW))), lambda b: F.struct(s.alias("start"), b.alias("band")))))
-    windows = rows.select("row", "doc_id", "w", F.explode(sketch).alias("x")).select("row", "doc_id", "w", "x.*")
+    # one row per window, then per band: no lambda runs for each of them
+    windows = (rows.select("row", "doc_id", "w", "h", F.explode(_starts(F.col("h"))).alias("start"))
+               .select("row", "doc_id", "w", "start", F.sort_array(F.slice("h", F.col("start") + 1, F.lit(WINDOW))).alias("up"))
+               .select("row", "doc_id", "w", "start", "up", F.posexplode("up").alias("i", "band"))
+               .where(_opens(F.col("band"), F.col("i"), F.col("up"))).drop("up", "i"))
     found = [_verified(windows, table.where(F.pmod(F.xxhash64("tid"), F.lit(passes)) == i), per_cent) for i in range(passes)]
     return reduce(DataFrame.unionByName, found)
 
