@@ -9,7 +9,7 @@ per range.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.session import materialize
@@ -21,8 +21,8 @@ def positions(df: DataFrame, *order: Column | str, name: str = "position") -> Da
     """``df`` with a ``name`` column: the row's place (from 1) in ``order``.
 
     Ties go by the other columns from left to right, nulls first; equal rows
-    are counted before they are sorted, so that many of them do not meet in
-    one range, and get places that follow each other. ``df`` is sorted and
+    are numbered first and sorted by that too, so that many of them are cut
+    into ranges as others are, and get places that follow each other. ``df`` is sorted and
     written once, below the shared checkpoint folder.
     """
     cols = df.columns
@@ -32,21 +32,18 @@ def positions(df: DataFrame, *order: Column | str, name: str = "position") -> Da
     while any(c.startswith(pre) for c in cols):
         pre += "_"
     n, at, part, start = (pre + x for x in ("n", "at", "part", "start"))
-    keys = [*order, *cols]
+    zero, step = F.lit(0).cast("long"), F.lit(CHUNK).cast("long")
+    copies = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
+              .select(*cols, n, F.explode(F.sequence(zero, F.col(n) - 1, step)).alias(at))
+              .select(*cols, F.explode(F.sequence(F.col(at) + 1, F.least(F.col(n), F.col(at) + step))).alias(n)))
+    keys = [*order, *cols, n]
     # the id of a row is its range times 2^33 plus its place in the range
-    ranked = materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
-                         .repartitionByRange(*keys).sortWithinPartitions(*keys)
-                         .withColumn(at, F.monotonically_increasing_id())
+    ranked = materialize(copies.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                         .select(*cols, F.monotonically_increasing_id().alias(at))
                          .withColumn(part, F.shiftright(at, 33)), "ranked")
-    total = ranked.groupBy(part).agg(F.sum(n).alias(start))
-    total = total.select(part, (F.sum(start).over(Window.orderBy(part)) - F.col(start)).alias(start))  # one row a range
-    before = F.sum(n).over(Window.partitionBy(part).orderBy(at)) - F.col(n)
-    rows = (ranked.withColumn(at, before).join(F.broadcast(total), part)
-            .select(*cols, n, (F.col(start) + F.col(at)).alias(start)))
-    few = rows.where(F.col(n) <= CHUNK)
-    many = (rows.where(F.col(n) > CHUNK)
-            .select(*cols, n, start, F.explode(F.sequence(F.lit(0).cast("long"), (F.col(n) - 1), F.lit(CHUNK).cast("long"))).alias(at))
-            .select(*cols, F.least(F.col(n) - F.col(at), F.lit(CHUNK)).alias(n), (F.col(start) + F.col(at)).alias(start))
-            .hint("rebalance"))
-    return (few.unionByName(many)
-            .select(*cols, F.explode(F.sequence(F.col(start) + 1, F.col(start) + F.col(n))).alias(name)))
+    sizes = ranked.groupBy(part).agg(F.count(F.lit(1)).alias(n))  # one row per range
+    sizes = sizes.agg(F.array_sort(F.collect_list(F.struct(part, n))).alias(at))
+    before = F.transform(at, lambda x, i: F.struct(x[part].alias(part), F.aggregate(
+        F.slice(at, F.lit(1), i), zero, lambda a, y: a + y[n]).alias(start)))
+    return (ranked.join(F.broadcast(sizes.select(F.inline(before))), part)
+            .select(*cols, (F.col(start) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(name)))
