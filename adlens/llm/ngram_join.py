@@ -19,7 +19,8 @@ documents link when 100 * |intersection| >= 75 * |union|.
    filter comes before the exact intersection. Star rounds first compare each
    member with a few leaders of each shingle's group; afterwards only pairs
    of classes in different components are still looked at, all of them, so a
-   group of thousands of near copies never emits all its pairs.
+   group of thousands of near copies never emits all its pairs. There a pair
+   leaves the join at the first shingle it meets on, not at each one.
 4. Components of the links give each document its ``component_id``.
 5. ``link_counts``: a link never leaves its component, so within each one every
    pair of classes that the length filter allows is compared exactly, block
@@ -40,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.llm.common import materialize, numbered, text_hash
@@ -53,6 +54,7 @@ BUCKET_SHINGLES = 1 << 20  # aimed at in one counting group (4 MB)
 BLOCK_SHINGLES = 1 << 20   # gathered by a task before it ships its blocks
 STAR_ROUNDS = 3
 LEADERS = 16              # of one shingle's group in one star round
+BEFORE = 16               # earlier shingles that tell whether a pair has met already
 BLOCK_CLASSES = 1024      # aimed at in one block whose links are counted
 BLOCK_SET = 1 << 20       # shingles of its sets (8 MB)
 
@@ -205,6 +207,20 @@ def _may_link(per_cent: int):
             & (F.least(n - F.col("pos"), m - F.col("lpos")) >= least))
 
 
+def _with_before(members: DataFrame) -> DataFrame:
+    """``members`` (token, cls, pos, ...) with ``before``: up to BEFORE shingles
+    of the class that stand before this one and are members too.
+
+    Two classes that have one of these in common meet on that shingle as well,
+    so their pair is left to it. At the first shingle they share nothing before
+    is common: there every pair stays, and there a pair that links passes the
+    positional filter. More than BEFORE others in between let a pair through
+    again, to be made distinct.
+    """
+    return members.withColumn("before", F.collect_list("token").over(
+        Window.partitionBy("cls").orderBy("pos").rowsBetween(-BEFORE, -1)))
+
+
 def links(classes: DataFrame, per_cent: int = THRESHOLD) -> DataFrame:
     """(a, b) links between classes (cls, n, first, tokens, set) that keep
     every component of the whole link graph; each is verified exactly."""
@@ -227,10 +243,12 @@ def links(classes: DataFrame, per_cent: int = THRESHOLD) -> DataFrame:
             other = here.groupBy("token", F.pmod(h, F.lit(LEADERS))).agg(F.min(F.struct(
                 h.alias("h"), F.col("cls").alias("lcls"), F.col("n").alias("ln"), F.col("pos").alias("lpos"),
                 F.col("root").alias("lroot"))).alias("l")).select("token", "l.*").drop("h")
+            apart = F.col("root") != F.col("lroot")
         else:
-            other = here.select("token", F.col("cls").alias("lcls"), F.col("n").alias("ln"),
-                                F.col("pos").alias("lpos"), F.col("root").alias("lroot"))
-        apart = F.col("root") < F.col("lroot") if turn == STAR_ROUNDS else F.col("root") != F.col("lroot")
+            here = materialize(_with_before(here), "last")
+            other = here.select("token", F.col("cls").alias("lcls"), F.col("n").alias("ln"), F.col("pos").alias("lpos"),
+                                F.col("root").alias("lroot"), F.col("before").alias("lbefore"))
+            apart = (F.col("root") < F.col("lroot")) & ~F.arrays_overlap("before", "lbefore")
         pairs = (here.join(other, "token").where(apart & _may_link(per_cent))
                  .select(F.least("cls", "lcls").alias("a"), F.greatest("cls", "lcls").alias("b")).distinct())
         if tried is not None:

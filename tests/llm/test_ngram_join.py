@@ -106,3 +106,26 @@ def test_every_link_is_counted(spark, docs, monkeypatch, block):
     assert sum(r.n_links for r in out) > 1000
     plain = ngram_join(docs(rows), count_links=False)
     assert "n_links" not in plain.columns and result(plain) == brute(rows)
+
+
+@pytest.mark.parametrize("before", [1, 16])
+def test_the_last_round_alone_finds_all(spark, docs, monkeypatch, before):
+    monkeypatch.setattr(ngram, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(ngram, "BEFORE", before)
+    rng = random.Random(23)
+    base = prose(rng, 100)
+    texts = list(EDGES) + [edited(rng, base, 0.03) for _ in range(40)]
+    for _ in range(10):
+        text = prose(rng, rng.randrange(8, 120))
+        texts += [text, edited(rng, text, 0.02), text + " " + prose(rng, 9)]
+    rows = list(enumerate(texts))
+    assert result(ngram_join(docs(rows), count_links=False)) == brute(rows)
+
+
+def test_pairs_meet_at_their_first_shingle(spark):
+    members = [(t, c, t) for c in range(6) for t in range(c, 40)]  # class c has the shingles from c on
+    m = ngram._with_before(spark.createDataFrame(members, "token long, cls long, pos int"))
+    other = m.selectExpr("token", "cls as lcls", "before as lbefore")
+    met = m.join(other, "token").where("cls < lcls and not arrays_overlap(before, lbefore)")
+    assert sorted((r.cls, r.lcls, r.token) for r in met.collect()) == [(a, b, b) for a, b in itertools.combinations(range(6), 2)]
+    assert m.where(f"size(before) > {ngram.BEFORE}").isEmpty()
