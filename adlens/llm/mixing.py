@@ -36,6 +36,8 @@ together; a source without words has target 0; extra columns are kept by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,38 +118,32 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 def _fill(unused: DataFrame, room: DataFrame) -> DataFrame:
     """(sid, ticket) of the unused documents (sid, cell, ticket, size) that
     fill each source's room (sid, miss)."""
-    unused, room, extra = materialize(unused, "unused"), materialize(room, "room"), None
-
-    def take(chosen: DataFrame) -> None:
-        nonlocal extra, room
-        chosen = materialize(chosen.select("sid", "ticket", "size"), "taken")
-        extra = chosen if extra is None else extra.union(chosen)
-        spent = chosen.groupBy("sid").agg(F.sum("size").alias("spent"))
-        room = materialize(room.join(spent, "sid", "left").select(
-            "sid", (F.col("miss") - F.coalesce("spent", F.lit(0))).alias("miss")), "room")
-
+    unused, room, rounds = materialize(unused, "unused"), materialize(room, "room"), []
+    spent = lambda chosen: chosen.groupBy("sid").agg(F.sum("size").alias("spent"))
+    less = F.col("miss") - F.coalesce("spent", F.lit(0))
     by_cell = Window.partitionBy("sid").orderBy("cell")
     every = Window.partitionBy("sid")
-    free = materialize(unused.join(room, "sid").where("size <= miss").drop("miss"), "free")
+    free = materialize(unused.join(room, "sid").where("size <= miss"), "free")
     while not free.isEmpty():  # each source's room falls below half in every round
-        cells = (free.groupBy("sid", "cell").agg(F.sum("size").alias("words"), F.max(F.struct("size", "ticket")).alias("big"))
-                 .join(room, "sid").withColumn("before", F.sum("words").over(by_cell) - F.col("words"))
+        cells = (free.groupBy("sid", "cell", "miss").agg(F.sum("size").alias("words"), F.max(F.struct("size", "ticket")).alias("big"))
+                 .withColumn("before", F.sum("words").over(by_cell) - F.col("words"))
                  .withColumn("big", F.max("big").over(every)).withColumn("one", 2 * F.col("big.size") > F.col("miss"))
                  .where("one or before < miss"))
-        here = free.join(cells, ["sid", "cell"])
+        here = free.drop("miss").join(cells, ["sid", "cell"])
         whole = F.col("before") + F.col("words") <= F.col("miss")
         run = F.col("before") + F.sum("size").over(Window.partitionBy("sid", "cell").orderBy("ticket"))
         edge = here.where(~F.col("one") & ~whole).withColumn("run", run).where("run <= miss")
-        take(here.where(F.when(F.col("one"), F.col("ticket") == F.col("big.ticket")).otherwise(whole))
-             .select("sid", "ticket", "size").union(edge.select("sid", "ticket", "size")))
-        free = materialize(free.join(room, "sid").where("size <= miss").drop("miss")
-                           .join(extra.select("sid", "ticket"), ["sid", "ticket"], "left_anti"), "free")
-    near = unused.join(room, "sid").where(F.col("size") < 2 * F.col("miss"))
-    if extra is not None:
-        near = near.join(extra.select("sid", "ticket"), ["sid", "ticket"], "left_anti")
-    take(near.groupBy("sid").agg(F.min(F.struct(F.abs(F.col("miss") - F.col("size")).alias("gap"), "ticket", "size")).alias("b"))
-         .select("sid", "b.ticket", "b.size"))
-    return materialize(extra.select("sid", "ticket"), "extra")
+        chosen = materialize(here.where(F.when(F.col("one"), F.col("ticket") == F.col("big.ticket")).otherwise(whole))
+                             .select("sid", "ticket", "size").union(edge.select("sid", "ticket", "size")), "taken")
+        rounds.append(chosen)
+        free = materialize(free.join(spent(chosen), "sid", "left").select("sid", "cell", "ticket", "size", less.alias("miss"))
+                           .where("size <= miss").join(chosen.select("sid", "ticket"), ["sid", "ticket"], "left_anti"), "free")
+    extra = materialize(reduce(DataFrame.union, rounds), "taken") if rounds else unused.select("sid", "ticket", "size").where("false")
+    near = (unused.join(room.join(spent(extra), "sid", "left").select("sid", less.alias("miss")), "sid")
+            .where(F.col("size") < 2 * F.col("miss"))
+            .join(extra.select("sid", "ticket"), ["sid", "ticket"], "left_anti"))
+    last = near.groupBy("sid").agg(F.min(F.struct(F.abs(F.col("miss") - F.col("size")).alias("gap"), "ticket")).alias("b"))
+    return materialize(extra.select("sid", "ticket").union(last.select("sid", "b.ticket")), "extra")
 
 
 def mix_plan(rows: DataFrame, shards: int = SHARDS, seed: int = 0) -> tuple[DataFrame, DataFrame]:
