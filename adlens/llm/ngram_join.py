@@ -16,11 +16,14 @@ documents link when 100 * |intersection| >= 75 * |union|.
    document has are dropped. Documents with equal sets form one class.
 3. ``links``: classes meet on prefix shingles, pass the length and positional
    filters, are made distinct and verified once per pair, where a suffix
-   filter comes before the exact intersection. Star rounds first compare each
-   member with a few leaders of each shingle's group; afterwards only pairs
-   of classes in different components are still looked at, all of them, so a
-   group of thousands of near copies never emits all its pairs. There a pair
-   leaves the join at the first shingle it meets on, not at each one.
+   filter comes before the exact intersection. Star rounds (one, and more
+   while the groups that still span components hold more than ``LAST_PAIRS``
+   pairs) first compare each member with a few leaders of each shingle's
+   group; afterwards only pairs of classes in different components are still
+   looked at, all of them, so a group of thousands of near copies never emits
+   all its pairs. There a pair leaves the join at the first shingle it meets
+   on, not at each one, and only if 512 parities of the two sets differ in
+   no more places than those of linked sets can.
 4. Components of the links give each document its ``component_id``.
 5. ``link_counts``: a link never leaves its component, so within each one every
    pair of classes that the length filter allows is compared exactly, block
@@ -52,9 +55,11 @@ THRESHOLD = 75            # per cent of the union
 SKETCH_BITS = 26          # at most 2^26 cells of half a byte: 32 MB broadcast
 BUCKET_SHINGLES = 1 << 20  # aimed at in one counting group (4 MB)
 BLOCK_SHINGLES = 1 << 20   # gathered by a task before it ships its blocks
-STAR_ROUNDS = 3
+STAR_ROUNDS = 3           # at most
+LAST_PAIRS = 1 << 26      # of members of one group: as many are joined sooner than a star round is run
 LEADERS = 16              # of one shingle's group in one star round
 BEFORE = 16               # earlier shingles that tell whether a pair has met already
+SIGN_LONGS = 8            # 64 bits each of a set's sign
 BLOCK_CLASSES = 1024      # aimed at in one block whose links are counted
 BLOCK_SET = 1 << 20       # shingles of its sets (8 MB)
 
@@ -221,45 +226,76 @@ def _with_before(members: DataFrame) -> DataFrame:
         Window.partitionBy("cls").orderBy("pos").rowsBetween(-BEFORE, -1)))
 
 
+def _signs(sets: DataFrame) -> DataFrame:
+    """(cls, sign): for each of 64 * SIGN_LONGS remainders of a hash, whether
+    an odd number of the set's shingles leave it."""
+    bits = 64 * SIGN_LONGS
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [np.packbits(np.bincount((np.frombuffer(v.as_buffer(), np.uint64) % np.uint64(bits)).astype(np.int64),
+                                           minlength=bits).astype(np.uint8) & 1).view(np.int64) for v in batch["set"]]
+            yield pa.RecordBatch.from_arrays([batch["cls"], pa.array(out, pa.list_(pa.int64()))], names=["cls", "sign"])
+
+    return sets.mapInArrow(sign, "cls long, sign array<long>")
+
+
+def _signs_may_link(per_cent: int):
+    """Whether signs allow a link: each bit in which two signs differ takes a
+    shingle that only one of the sets has, and linked sets have at most n + m
+    less twice the least intersection of those."""
+    both = F.col("n") + F.col("ln")
+    least = F.ceil(F.lit(per_cent) * both / F.lit(100 + per_cent))
+    apart = F.lit(0)
+    for i in range(SIGN_LONGS):
+        apart = apart + F.bit_count(F.col("sign")[i].bitwiseXOR(F.col("lsign")[i]))
+    return apart <= both - 2 * least
+
+
 def links(classes: DataFrame, per_cent: int = THRESHOLD) -> DataFrame:
-    """(a, b) links between classes (cls, n, first, tokens, set) that keep
-    every component of the whole link graph; each is verified exactly."""
+    """(a, b) between classes (cls, n, first, tokens, set) with the components
+    of the whole link graph: the exactly verified links of the last round, and
+    for the rounds before it each class with the root they give it."""
     tokens = materialize(classes.select("cls", "n", F.posexplode("tokens").alias("i", "token"), "first")
                          .select("token", "cls", "n", (F.col("first") + F.col("i")).alias("pos")), "tokens")
     sets = classes.select("cls", "set")
     # shingles that two classes have
     shared = materialize(tokens.join(tokens.groupBy("token").count().where("count > 1").select("token"), "token"), "shared")
-    found, tried, root = None, None, None
+    stars, tried, root = None, None, None
     for turn in range(STAR_ROUNDS + 1):
+        last = turn == STAR_ROUNDS
         here = shared.withColumn("root", F.col("cls")) if root is None else (
             shared.join(root, shared.cls == root.node, "left")
             .select("token", "cls", "n", "pos", F.coalesce("root", "cls").alias("root")))
         if turn:  # only groups that still hold more than one component
             here = materialize(here, "here")
-            here = here.join(here.groupBy("token").agg(F.min("root").alias("p"), F.max("root").alias("q"))
-                             .where("p < q").select("token"), "token")
-        if turn < STAR_ROUNDS:
+            groups = (here.groupBy("token").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count(F.lit(1)).alias("c"))
+                      .where("p < q"))
+            last = last or (groups.agg(F.sum(F.col("c") * (F.col("c") - 1.0) / 2)).first()[0] or 0) <= LAST_PAIRS
+            here = here.join(groups.select("token"), "token")
+        if not last:
             h = F.xxhash64("cls", F.lit(turn))
             other = here.groupBy("token", F.pmod(h, F.lit(LEADERS))).agg(F.min(F.struct(
                 h.alias("h"), F.col("cls").alias("lcls"), F.col("n").alias("ln"), F.col("pos").alias("lpos"),
                 F.col("root").alias("lroot"))).alias("l")).select("token", "l.*").drop("h")
             apart = F.col("root") != F.col("lroot")
         else:
-            here = materialize(_with_before(here), "last")
+            here = materialize(_with_before(here).join(_signs(sets), "cls"), "last")
             other = here.select("token", F.col("cls").alias("lcls"), F.col("n").alias("ln"), F.col("pos").alias("lpos"),
-                                F.col("root").alias("lroot"), F.col("before").alias("lbefore"))
-            apart = (F.col("root") < F.col("lroot")) & ~F.arrays_overlap("before", "lbefore")
-        pairs = (here.join(other, "token").where(apart & _may_link(per_cent))
+                                F.col("root").alias("lroot"), F.col("before").alias("lbefore"), F.col("sign").alias("lsign"))
+            apart = (F.col("root") < F.col("lroot")) & ~F.arrays_overlap("before", "lbefore") & _signs_may_link(per_cent)
+        pairs = (here.join(other, "token").where(_may_link(per_cent) & apart)
                  .select(F.least("cls", "lcls").alias("a"), F.greatest("cls", "lcls").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         new = materialize(_verify(pairs, sets, per_cent), "links")
-        found = new if found is None else found.union(new)
+        edges = new if stars is None else stars.union(new)
+        if last:
+            return edges
         tried = pairs if tried is None else tried.union(pairs)
-        if turn < STAR_ROUNDS:
-            root = connected_components(found)
-    return found
+        root = connected_components(edges)
+        stars = root.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def _degrees(per_cent: int):

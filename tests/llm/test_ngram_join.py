@@ -1,9 +1,11 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from llm_helpers import EDGES, prose, shingle_set
 
+from adlens.llm import components
 from adlens.llm import ngram_join as ngram
 from adlens.llm.components import connected_components
 from adlens.llm.ngram_join import ngram_join
@@ -129,3 +131,60 @@ def test_pairs_meet_at_their_first_shingle(spark):
     met = m.join(other, "token").where("cls < lcls and not arrays_overlap(before, lbefore)")
     assert sorted((r.cls, r.lcls, r.token) for r in met.collect()) == [(a, b, b) for a, b in itertools.combinations(range(6), 2)]
     assert m.where(f"size(before) > {ngram.BEFORE}").isEmpty()
+
+
+def counted(monkeypatch, module, name):
+    calls, real = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda *a, **k: calls.append(a) or real(*a, **k))
+    return calls
+
+
+@pytest.mark.parametrize("pairs,rounds", [(1 << 26, 1), (-1, ngram.STAR_ROUNDS)])
+def test_star_rounds_end_once_few_pairs_are_left(spark, docs, monkeypatch, pairs, rounds):
+    """Each star round makes components; the last round makes them once more."""
+    monkeypatch.setattr(ngram, "LAST_PAIRS", pairs)
+    calls = counted(monkeypatch, ngram, "connected_components")
+    rng = random.Random(31)
+    base, passage = prose(rng, 120), prose(rng, 40)
+    texts = [edited(rng, base, 0.03) for _ in range(60)] + [passage + " " + prose(rng, 40) for _ in range(20)]
+    rows = list(enumerate(texts))
+    assert result(ngram_join(docs(rows), count_links=False)) == brute(rows)
+    assert len(calls) == rounds + 1
+
+
+def test_components_end_with_the_round_that_leaves_stars(spark, monkeypatch):
+    made = counted(monkeypatch, components, "materialize")
+    star = [(5, k) for k in range(6, 40)] + [(5, 6), (6, 5), (8, 8), (None, 5)]
+    out = connected_components(spark.createDataFrame(star, "a long, b long")).collect()
+    assert sorted(out) == [(k, 5) for k in range(5, 40)] and len(made) == 1
+
+
+def test_components_of_random_links_equal_a_union_find(spark):
+    rng = random.Random(37)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] * 2 + [(1000 + (i * 37) % 101, 1000 + ((i + 1) * 37) % 101) for i in range(100)]
+    root = {x: x for link in links for x in link}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert sorted(connected_components(spark.createDataFrame(links, "a long, b long")).collect()) == sorted((x, find(x)) for x in linked)
+
+
+def test_signs_keep_every_link_and_drop_most_others(spark):
+    """The last round hands on no unlinked pairs of a group by the thousands."""
+    rng = np.random.default_rng(41)
+    base = rng.integers(1, 1 << 62, 120)
+    sets = [np.sort(np.concatenate([base[: 120 - 2 * k], rng.integers(1, 1 << 62, 2 * k)])) for k in range(40)]
+    rows = [(i, len(x), x.astype(np.uint64).tobytes()) for i, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "cls long, n int, set binary")
+    m = df.join(ngram._signs(df.select("cls", "set")), "cls")
+    other = m.selectExpr("cls as lcls", "n as ln", "sign as lsign")
+    got = {(r.cls, r.lcls) for r in m.crossJoin(other).where("cls < lcls").where(ngram._signs_may_link(75)).collect()}
+    linked = {(i, j) for i, j in itertools.combinations(range(40), 2)
+              if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+    assert linked <= got and len(got) < 1.6 * len(linked) < 40 * 39 / 4
