@@ -76,6 +76,7 @@ def char_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(CLASSES ** 3, np.int64)
+        some, size = [], 0  # texts to be counted together, apart by a line's end
         for batch in batches:
             for t in batch.column(0):
                 t = (t.as_py() or "").lower()
@@ -84,8 +85,13 @@ def char_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                     to = at + SLICE
                     while to < len(t) and t[to - 1].isalpha():  # never inside a word
                         to += 1
-                    held += np.bincount(_trigrams(t[at:to]), minlength=CLASSES ** 3)
+                    some.append(t[at:to])
+                    size += len(some[-1])
+                    if size >= SLICE:
+                        held += np.bincount(_trigrams("\n".join(some)), minlength=CLASSES ** 3)
+                        some, size = [], 0
                     at = to
+        held += np.bincount(_trigrams("\n".join(some)), minlength=CLASSES ** 3)
         code = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(code, pa.int32()), pa.array(held[code])], names=["code", "n"])
 
@@ -125,6 +131,7 @@ class Decoder:
         self.cost = np.frombuffer(model, np.float32).tolist()
         self.readings: dict[str, str] = {}
         self.word_lists: dict[str, tuple[str, ...]] = {}
+        self.plain: set[str] = set()  # words seen that nothing can change
 
     def _lattice(self, word: str) -> list[list[tuple[str, float]]]:
         """Readings (letters, channel cost) of each run of equal characters."""
@@ -207,13 +214,15 @@ class Decoder:
 
     def words(self, text: str | None) -> set[str]:
         """Distinct words (runs of letters) of the restored text."""
-        text = self._joined(text)
-        tokens = set(text.split())
-        out = {w for w in tokens if w.isalpha()}
-        odd = tokens - out
-        if _RUN.search(text):
-            odd.update(w for w in out if _RUN.search(w))
-            out -= odd
-        for w in odd:
-            out.update(self._remembered(w, self.word_lists, self._words_of))
+        tokens = set(self._joined(text).split())
+        out = tokens & self.plain
+        for w in tokens - out:
+            if w not in self.word_lists and w.isalpha() and not _RUN.search(w):
+                out.add(w)
+                if len(w) <= 64:
+                    if len(self.plain) >= REMEMBERED:
+                        self.plain.clear()
+                    self.plain.add(w)
+            else:
+                out.update(self._remembered(w, self.word_lists, self._words_of))
         return out

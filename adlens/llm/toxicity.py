@@ -115,15 +115,20 @@ class Evidence:
         self.counts = {f: (p, n) for f, p, n in zip(*(counts[c].to_pylist() for c in ("feature", "p", "n")), strict=True)}
         self.odds = {f: x for f, (p, n) in self.counts.items() if (x := log_odds(p, n, toxic, clean)) >= LEAST}
         self.seen: dict[str, float] = {}
+        self.silent: set[str] = set()  # words seen that are no evidence
 
     def of_word(self, word: str) -> float:
         x = self.seen.get(word)
         if x is None:
             x = max((self.odds[f] for f in features(word) if f in self.odds), default=0.0)
             if len(word) <= 64:
-                if len(self.seen) >= FLUSH:
+                if len(self.seen) + len(self.silent) >= FLUSH:
                     self.seen.clear()
-                self.seen[word] = x
+                    self.silent.clear()
+                if x:
+                    self.seen[word] = x
+                else:
+                    self.silent.add(word)
         return x
 
     def of_learned(self, word: str, label: int) -> float:
@@ -136,8 +141,8 @@ class Evidence:
                 best = max(best, x if x >= LEAST else 0.0)
         return best
 
-    def point(self, words, label: int | None = None) -> list[float]:
-        found = map(self.of_word, words) if label is None else (self.of_learned(w, label) for w in words)
+    def point(self, words: set[str] | list[str], label: int | None = None) -> list[float]:
+        found = map(self.of_word, words - self.silent) if label is None else (self.of_learned(w, label) for w in words)
         top = sorted(found, reverse=True)[:TOP]
         return [*top, *[0.0] * (TOP - len(top)), math.log1p(len(words))]
 

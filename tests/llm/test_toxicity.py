@@ -2,7 +2,9 @@ import itertools
 import math
 import random
 import zlib
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from llm_helpers import EDGES, WORDS, prose
@@ -188,3 +190,30 @@ def test_restored_column_keeps_rows_and_nulls(spark, docs):
     out = T.restored_text(df, D.char_model(docs([(i, "quonder " * 30) for i in range(3)]))).collect()
     assert sorted((r.doc_id, r.restored) for r in out if r.restored is not None) == [(1, "quonder quonder"), (2, "")]
     assert len(out) == 3
+
+
+def test_texts_are_counted_together(spark, monkeypatch):
+    """One count over all texts of a task, up to SLICE characters, not one for each."""
+    calls, real = [], D._trigrams
+    monkeypatch.setattr(D, "_trigrams", lambda t: calls.append(t) or real(t))
+    taken = {}
+    df = spark.createDataFrame([("a",)], "text string")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: taken.setdefault("f", f) and df.selectExpr("0 code", "0L n"))
+    D.char_counts(df)
+    texts = [*EDGES, "ab cd", "ab", "Σ ΟΔΟΣ", "ΟΔΟΣ", "x" * (D.SLICE + 9), *(prose(random.Random(43), 20) for _ in range(50))]
+    batches = [pa.record_batch([pa.array(texts[k::3], pa.string())], names=["text"]) for k in range(3)]
+    out, = taken["f"](iter(batches))
+    want = Counter(c for t in texts for c in real((t or "").lower()).tolist())
+    assert dict(zip(*(out[c].to_pylist() for c in ("code", "n")), strict=True)) == want and len(calls) < 4
+
+
+def test_known_words_are_looked_up_once(decoder, monkeypatch):
+    """Neither the restoring nor the evidence looks at a known plain word again."""
+    d, tried = D.Decoder(np.array(decoder.cost, np.float32).tobytes()), []
+    monkeypatch.setattr(T, "features", lambda w, real=T.features: tried.append(w) or real(w))
+    e = T.Evidence(pa.table({"feature": ["grumpo$"], "p": [9], "n": [1]}), 10, 90)
+    text = "some gr.umpo and grumpo or quoooonder"
+    first, again = ([sorted(d.words(text)), e.point(d.words(text))] for _ in range(2))
+    assert first == again and first[1][0] > 0 and len(tried) == len(set(tried))
+    assert {"some", "and", "or", "grumpo"} <= d.plain and "quoooonder" not in d.plain
+    assert {"some", "and", "or"} <= e.silent and "grumpo" not in e.silent
